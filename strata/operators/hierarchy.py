@@ -81,12 +81,18 @@ def transitive_closure(edges: DataFrame, parent: str = "parent_id", child: str =
               .filter(F.col("_p").isNotNull() & F.col("_c").isNotNull())
               .distinct())
     e = checkpoint(e)
-    known = checkpoint(e.select(F.col("_p").alias("ancestor_id"),
+    first = checkpoint(e.select(F.col("_p").alias("ancestor_id"),
                                 F.col("_c").alias("descendant_id"),
                                 F.col("_l").alias("descendant_level")))
-    frontier = known
     keys = ["ancestor_id", "descendant_id", "descendant_level"]
+    # ``known`` is a union of checkpointed deltas: each round writes only its new
+    # pairs, and the union's lineage is one level deep.
+    deltas = [first]
+    frontier = first
     for _ in range(max_rounds):
+        known = deltas[0]
+        for d in deltas[1:]:
+            known = known.unionByName(d)
         step = (frontier.join(e, frontier["descendant_id"] == e["_p"], "inner")
                         .select(frontier["ancestor_id"], e["_c"].alias("descendant_id"),
                                 e["_l"].alias("descendant_level"))
@@ -95,10 +101,13 @@ def transitive_closure(edges: DataFrame, parent: str = "parent_id", child: str =
         step = checkpoint(step)
         if step.isEmpty():
             break
-        known = checkpoint(known.unionByName(step))
+        deltas.append(step)
         frontier = step
     else:
         raise RuntimeError(f"hierarchy closure did not converge in {max_rounds} rounds")
+    known = deltas[0]
+    for d in deltas[1:]:
+        known = known.unionByName(d)
     return known
 
 
