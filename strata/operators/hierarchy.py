@@ -24,6 +24,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.keys import dedup_by_key
 from strata.session import checkpoint
 
 
@@ -53,7 +54,7 @@ def edges_from_parent_columns(df: DataFrame, child: str | Column,
              .select(F.explode(F.filter(parents, lambda x: x.isNotNull())).alias("parent_id"),
                      child_c.cast(key_type).alias("child_id"),
                      level_c.cast("int").alias("child_level")))
-    return out.dropDuplicates(["child_id", "parent_id"])
+    return dedup_by_key(out, ["child_id", "parent_id"])
 
 
 def edges_from_parent_array(df: DataFrame, child: str, parents_array: str,
@@ -66,7 +67,7 @@ def edges_from_parent_array(df: DataFrame, child: str, parents_array: str,
               .select(F.explode(F.filter(ids, lambda x: x.isNotNull())).alias("parent_id"),
                       F.col(child).cast(key_type).alias("child_id"),
                       level_c.cast("int").alias("child_level"))
-              .dropDuplicates(["child_id", "parent_id"]))
+              .transform(lambda d: dedup_by_key(d, ["child_id", "parent_id"])))
 
 
 def transitive_closure(edges: DataFrame, parent: str = "parent_id", child: str = "child_id",
