@@ -98,7 +98,7 @@ def union_heterogeneous(frames: Sequence[DataFrame]) -> DataFrame:
 def unpivot_panel(items: DataFrame, item_col: str = "item",
                   fields: Sequence[str] | None = None,
                   indicator: str = "indicador", position: str = "indice",
-                  value: str = "valor") -> DataFrame:
+                  value: str = "valor", keep: Sequence[str] = ()) -> DataFrame:
     """B2: one-key items -> long rows (see module doc).
 
     ``fields`` are the keys that object elements may carry; when None they are
@@ -107,19 +107,21 @@ def unpivot_panel(items: DataFrame, item_col: str = "item",
     """
     m = F.from_json(F.col(item_col), "map<string,string>")
     first = F.element_at(F.map_entries(m), 1)
-    base = (items.select(first.alias("_kv"))
+    keep = list(keep)
+    base = (items.select(first.alias("_kv"), *keep)
                  .filter(F.col("_kv").isNotNull())
-                 .select(F.col("_kv.key").alias("_ind"), F.col("_kv.value").alias("_val")))
+                 .select(F.col("_kv.key").alias("_ind"), F.col("_kv.value").alias("_val"),
+                         *keep))
     arr = F.when(F.ltrim(F.col("_val")).startswith("["),
                  F.from_json(F.col("_val"), "array<string>"))
     # scalars explode a one-null placeholder (one row); an empty list gives no row
     one = F.array(F.lit(None).cast("string"))
-    exploded = base.select("_ind", "_val", arr.alias("_arr")).select(
-        "_ind", "_val", "_arr",
+    exploded = base.select("_ind", "_val", arr.alias("_arr"), *keep).select(
+        "_ind", "_val", "_arr", *keep,
         F.posexplode(F.coalesce(F.col("_arr"), one)).alias("_pos", "_elem"))
     is_obj = F.ltrim(F.col("_elem")).startswith("{")
     obj = F.when(is_obj, F.from_json(F.col("_elem"), "map<string,string>"))
-    rows = exploded.select("_ind", "_val", "_arr", "_pos", "_elem", obj.alias("_obj"))
+    rows = exploded.select("_ind", "_val", "_arr", "_pos", "_elem", obj.alias("_obj"), *keep)
     if fields is None:
         fields = sorted(r[0] for r in rows.select(F.explode(F.map_keys("_obj")))
                         .distinct().collect())
@@ -139,4 +141,4 @@ def unpivot_panel(items: DataFrame, item_col: str = "item",
         if f in (indicator, position, value):
             continue
         out.append(from_obj(f, F.lit(None).cast("string")).alias(f))
-    return rows.select(*out)
+    return rows.select(*out, *keep)

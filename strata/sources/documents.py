@@ -18,31 +18,42 @@ from pyspark.sql import functions as F
 
 from strata.operators.flatten import flatten, unpivot_panel
 
+FILE_COL, TIME_COL = "nome_arquivo", "data_insercao"
+
 
 def read_entity_document(spark: SparkSession, path: str, list_key: str = "entidades",
-                         flat: bool = True) -> DataFrame:
+                         flat: bool = True, lineage: bool = False) -> DataFrame:
     """A1: ``{list_key: [ {...}, ... ]}`` files -> one (flattened) row per element.
 
     A document without ``list_key`` raises, like the API client it replaces.
+    ``lineage`` adds the source file name and load time (A12).
     """
     raw = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
            .json(path))
     if list_key not in raw.columns:
         raise KeyError(f"document at {path} has no '{list_key}' list")
-    rows = raw.select(F.explode(F.col(list_key)).alias("_e")).select("_e.*")
-    return flatten(rows) if flat else rows
+    extra = [F.col("_metadata.file_name").alias(FILE_COL)] if lineage else []
+    rows = raw.select(F.explode(F.col(list_key)).alias("_e"), *extra).select("_e.*", *(
+        [FILE_COL] if lineage else []))
+    out = flatten(rows) if flat else rows
+    return out.withColumn(TIME_COL, F.current_timestamp()) if lineage else out
 
 
 def read_panel_items(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
-    """A2: panel file(s) -> one row per item (JSON text in column ``item``)."""
+    """A2: panel file(s) -> one row per item (JSON text in ``item``, file in ``nome_arquivo``)."""
     if json_lines:
-        return (spark.read.text(path).select(F.trim("value").alias("item"))
+        return (spark.read.text(path)
+                .select(F.trim("value").alias("item"),
+                        F.col("_metadata.file_name").alias(FILE_COL))
                 .filter(F.length("item") > 0))
     docs = spark.read.text(path, wholetext=True)
     arr = F.from_json(F.col("value"), "array<string>")
-    return docs.select(F.explode(arr).alias("item"))
+    return docs.select(F.explode(arr).alias("item"), F.col("_metadata.file_name").alias(FILE_COL))
 
 
-def read_panel(spark: SparkSession, path: str, fields=None, json_lines: bool = False) -> DataFrame:
+def read_panel(spark: SparkSession, path: str, fields=None, json_lines: bool = False,
+               lineage: bool = False) -> DataFrame:
     """A2 + B2: panel file(s) -> long indicator rows."""
-    return unpivot_panel(read_panel_items(spark, path, json_lines), "item", fields=fields)
+    items = read_panel_items(spark, path, json_lines)
+    out = unpivot_panel(items, "item", fields=fields, keep=[FILE_COL] if lineage else ())
+    return out.withColumn(TIME_COL, F.current_timestamp()) if lineage else out
