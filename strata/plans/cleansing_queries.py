@@ -162,9 +162,12 @@ SELECT md5(text) AS text_md5, doc_id, lang, source, n_chars FROM (
   FROM documents) WHERE rn = 1""")
 def dedup_keys(t: Tables) -> DataFrame:
     """exact-copy removal; the survivor per text is the smallest doc id."""
-    d = t.documents.select("text", "doc_id", "lang", "source", "n_chars")
-    return (dedup_by_key(d, ["text"], order_by=["doc_id"])
-            .select(F.md5("text").alias("text_md5"), "doc_id", "lang", "source", "n_chars"))
+    # group on a 256-bit digest of the whole text: the shuffle carries 64 hex chars per
+    # document instead of texts of up to 20,000 words
+    d = t.documents.select(F.sha2("text", 256).alias("text_sha"), F.md5("text").alias("text_md5"),
+                           "doc_id", "lang", "source", "n_chars")
+    return (dedup_by_key(d, ["text_sha"], order_by=["doc_id"])
+            .select("text_md5", "doc_id", "lang", "source", "n_chars"))
 
 
 ORDER_RULES = [

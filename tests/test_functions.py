@@ -118,3 +118,11 @@ def test_surrogate_key_matches_python(spark):
 
 def test_initcap_only_after_spaces(spark):
     assert one(spark, F.initcap(F.col("v")), "das-flores RUA") == "Das-flores Rua"
+
+
+@pytest.mark.parametrize("text", [
+    "a &amp; b", "&amp;lt;x&amp;gt;", "&lt;b&gt; &quot;q&quot; &#39;s&#39; &apos;", "x&nbsp;y",
+    "&copy; 2025 &middot; &#233;&#x41;", "url?a=1&ref=x", "&ampx &copyright", "&&lt;", "plain"])
+def test_decode_entities_matches_python(spark, text):
+    import html
+    assert one(spark, X.decode_entities(F.col("v")), text) == html.unescape(text)
