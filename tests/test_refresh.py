@@ -172,3 +172,24 @@ def test_duplicate_keys_are_reported(spark, tmp_path):
         RF.refresh(spark, land, str(tmp_path / "out"), AS_OF)
     res = RF.refresh(spark, land, str(tmp_path / "out2"), AS_OF, duplicates="last")
     assert res["merge"] == {"insert": 1}
+
+
+def test_gold_domain_checks(spark, run):
+    from strata.plans.quality import gold_domain_report
+    gold = RF.gold_tables(spark, run["out"])  # earlier tests rewrote the gold files
+    rep = {(r["table_name"], r["rule"]): r["n_violations"]
+           for r in gold_domain_report(gold).collect()}
+    # the fixtures carry an unknown UF ("XX") and an 'OUTROS' certificate type on purpose
+    assert rep[("dim_entidade", "uf_formato")] == 0
+    assert rep[("dim_entidade", "tipo")] == 0
+    assert rep[("fato_segmentacao_certificados", "tipo_certificado")] == 1
+    assert rep[("fato_segmentacao_certificados", "titular")] == 1
+    assert rep[("fato_emissao_mensal", "serie")] == 0
+    assert rep[("dim_hierarquia", "nivel")] == 0
+
+
+def test_bronze_lineage(spark, run):
+    b = spark.read.parquet(os.path.join(run["out"], "bronze", "entidades"))
+    assert {r[0] for r in b.select("nome_arquivo").distinct().collect()} == {"entidades.json"}
+    n = spark.read.parquet(os.path.join(run["out"], "bronze", "numeros"))
+    assert "data_insercao" in n.columns
