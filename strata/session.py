@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -79,9 +80,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
+    """Reliable checkpoint into the shared folder (never ``localCheckpoint``).
+
+    The frame is persisted for the duration of the call: an eager reliable
+    checkpoint runs one job to materialise the data and a second one to write the
+    files, and without the cache the second job would recompute the whole plan.
+    If an executor holding cached blocks is lost, the write recomputes just those
+    partitions from lineage.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def scratch_dir(prefix: str = "strata-run-") -> str:
