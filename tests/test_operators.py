@@ -14,21 +14,20 @@ from strata.operators.rules import classify
 
 
 def brute_closure(edges):
-    children = {}
-    level = {}
+    """Recursive-CTE semantics: the level travels on each traversed edge row."""
+    adj = {}
     for p, c, lv in edges:
-        children.setdefault(p, set()).add(c)
-        level[c] = lv
+        adj.setdefault(p, []).append((c, lv))
     out = set()
-    for a in list(children):
-        seen, stack = set(), list(children[a])
+    for a in adj:
+        seen, stack = set(), list(adj[a])
         while stack:
-            n = stack.pop()
-            if n in seen:
+            c, lv = stack.pop()
+            if (c, lv) in seen:
                 continue
-            seen.add(n)
-            stack.extend(children.get(n, ()))
-        out |= {(a, d, level[d]) for d in seen}
+            seen.add((c, lv))
+            stack.extend(adj.get(c, ()))
+        out |= {(a, c, lv) for c, lv in seen}
     return out
 
 
@@ -178,3 +177,23 @@ def test_classify_first_match_wins(spark):
                                 ("x",)], "f string")
     got = [r[0] for r in df.select(classify(rules, "'OUTROS'")).collect()]
     assert got == ["AC1", "AR", "OUTROS"]
+
+
+def test_closure_with_salted_hot_parents(spark):
+    # one root owning most children, a second-level hub, and a cycle; force the salt path
+    edges = {(0, c, 1) for c in range(1, 60)} | {(1, c, 2) for c in range(60, 90)} | \
+            {(60, 0, 3), (89, 1, 3)}
+    df = spark.createDataFrame(sorted(edges), "parent_id long, child_id long, child_level int")
+    got = {tuple(r) for r in transitive_closure(df, skew_share=0.2, skew_min_rows=1,
+                                                salts=7).collect()}
+    assert got == brute_closure(edges)
+
+
+def test_hot_keys_and_salted_join(spark):
+    from strata.operators.skew import hot_keys, salted_join
+    big = spark.createDataFrame([(1, i) for i in range(100)] + [(2, 1000), (3, 1001)],
+                                "k long, v long")
+    assert hot_keys(big, "k", share=0.5, min_rows=1) == [1]
+    small = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d")], "sk long, tag string")
+    j = salted_join(small, "sk", big, "k", [1], 5, "v")
+    assert j.count() == 101 and sorted(j.columns) == ["k", "sk", "tag", "v"]
