@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -51,6 +51,25 @@ def trailing(df: DataFrame, period_col: str, months: int = 12) -> DataFrame:
             .drop("_max_period"))
 
 
+def latest_period_rows(per_period: DataFrame, period_col: str) -> DataFrame:
+    """E6 on a frame with one row per period: the latest period's row(s).
+
+    The max is a window over the per-period rows - a calendar-bounded handful - so
+    the source is scanned once instead of once more for a scalar subquery.
+    """
+    w = Window.partitionBy()
+    return (per_period.withColumn("_max_period", F.max(period_col).over(w))
+            .filter(F.col(period_col) == F.col("_max_period")).drop("_max_period"))
+
+
+def trailing_period_rows(per_period: DataFrame, period_col: str, months: int = 12) -> DataFrame:
+    """E7 on a frame with one row per period (see ``latest_period_rows``)."""
+    w = Window.partitionBy()
+    return (per_period.withColumn("_max_period", F.max(period_col).over(w))
+            .filter(F.col(period_col) > F.add_months(F.col("_max_period"), -months))
+            .drop("_max_period"))
+
+
 def share_of_total(agg: DataFrame, value_col: str, out: str = "share",
                    digits: int | None = 4) -> DataFrame:
     """Each row's value over the sum of all rows (total from a one-row aggregate)."""
@@ -63,10 +82,16 @@ def share_of_total(agg: DataFrame, value_col: str, out: str = "share",
 def year_over_year(agg: DataFrame, year_col: str, value_col: str,
                    keys: Sequence[str] = (), prev_col: str = "prev_value",
                    pct_col: str = "variation_pct", digits: int = 2) -> DataFrame:
-    """Value beside the previous year's value (self-join on year - 1) and % change."""
-    prev = agg.select(*keys, (F.col(year_col) + 1).alias(year_col),
-                      F.col(value_col).alias(prev_col))
-    j = agg.join(prev, [*keys, year_col], "left")
+    """Value beside the previous year's value and % change.
+
+    ``agg`` has one row per (keys, year).  ``lag`` over the years of each key reads
+    the input once (a self-join on ``year - 1`` would scan and shuffle it twice);
+    a gap year gives a null previous value, exactly like that join.  Without keys
+    the window holds one row per year - bounded by the calendar, not by the data.
+    """
+    w = Window.partitionBy(*keys).orderBy(year_col)
+    prev = F.when(F.lag(year_col).over(w) == F.col(year_col) - 1, F.lag(value_col).over(w))
+    j = agg.withColumn(prev_col, prev)
     pct = F.round(safe_ratio(F.col(value_col) - F.col(prev_col), F.col(prev_col)) * 100, digits)
     return j.withColumn(pct_col, pct)
 

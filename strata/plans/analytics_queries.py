@@ -45,9 +45,11 @@ WHERE date_trunc('month', o_orderdate) =
       (SELECT MAX(date_trunc('month', o_orderdate)) FROM orders)""")
 def latest_month_total(t: Tables) -> DataFrame:
     """Total of the latest month (scalar-subquery filter)."""
-    o = t.orders.select(A.month_of("o_orderdate").alias("month"), "o_totalprice")
-    return A.at_latest(o, "month").agg(F.round(F.sum("o_totalprice"), 2)
-                                       .alias("total_latest_month"))
+    # monthly totals first: the max-month lookup then runs over one row per month
+    m = t.orders.groupBy(A.month_of("o_orderdate").alias("month")).agg(
+        F.sum("o_totalprice").alias("_v"))
+    return A.latest_period_rows(m, "month").agg(
+        F.round(F.sum("_v"), 2).alias("total_latest_month"))
 
 
 @query("trailing12", """
@@ -56,9 +58,10 @@ SELECT round(SUM(o_totalprice), 2) AS total_12m, CAST(COUNT(DISTINCT month) AS B
 FROM m WHERE month > (SELECT MAX(month) FROM m) - INTERVAL 12 MONTH""")
 def trailing12(t: Tables) -> DataFrame:
     """Total of the 12 months up to the latest month."""
-    o = t.orders.select(A.month_of("o_orderdate").alias("month"), "o_totalprice")
-    return A.trailing(o, "month", 12).agg(F.round(F.sum("o_totalprice"), 2).alias("total_12m"),
-                                          F.countDistinct("month").alias("n_months"))
+    m = t.orders.groupBy(A.month_of("o_orderdate").alias("month")).agg(
+        F.sum("o_totalprice").alias("_v"))
+    return A.trailing_period_rows(m, "month", 12).agg(F.round(F.sum("_v"), 2).alias("total_12m"),
+                                          F.count(F.lit(1)).alias("n_months"))
 
 
 @query("yoy", """

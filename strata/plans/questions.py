@@ -57,8 +57,11 @@ def q4_recent_news(g: Gold, term: str = "icp-brasil", sources=("ANCD", "CRYPTO I
 
 
 def q5_latest_month_total(g: Gold) -> DataFrame:
-    e = g["fato_emissao_mensal"].filter(F.col("DS_TIPO_SERIE") == MONTHLY)
-    return A.at_latest(e, "DT_MES_ANO").agg(F.sum("VL_METRICA").alias("TOTAL_EMISSOES_MES"))
+    m = (g["fato_emissao_mensal"].filter(F.col("DS_TIPO_SERIE") == MONTHLY)
+         .filter(F.col("DT_MES_ANO").isNotNull())
+         .groupBy("DT_MES_ANO").agg(F.sum("VL_METRICA").alias("VL_METRICA")))
+    return A.latest_period_rows(m, "DT_MES_ANO").agg(
+        F.sum("VL_METRICA").alias("TOTAL_EMISSOES_MES"))
 
 
 def q6_active_ars_in_uf(g: Gold, uf: str = "SP") -> DataFrame:
@@ -67,8 +70,11 @@ def q6_active_ars_in_uf(g: Gold, uf: str = "SP") -> DataFrame:
 
 
 def q7_trailing_12_months(g: Gold) -> DataFrame:
-    e = g["fato_emissao_mensal"].filter(F.col("DS_TIPO_SERIE") == MONTHLY)
-    return A.trailing(e, "DT_MES_ANO", 12).agg(F.sum("VL_METRICA").alias("TOTAL_12_MESES"))
+    m = (g["fato_emissao_mensal"].filter(F.col("DS_TIPO_SERIE") == MONTHLY)
+         .filter(F.col("DT_MES_ANO").isNotNull())
+         .groupBy("DT_MES_ANO").agg(F.sum("VL_METRICA").alias("VL_METRICA")))
+    return A.trailing_period_rows(m, "DT_MES_ANO", 12).agg(
+        F.sum("VL_METRICA").alias("TOTAL_12_MESES"))
 
 
 def q8_a1_a3_share(g: Gold) -> DataFrame:
