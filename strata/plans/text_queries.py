@@ -29,9 +29,11 @@ _NW = r"[^\pL\pM\p{Nd}\p{Nl}\p{Pc}]"
 
 def _duck_clean(x: str, n: int) -> str:
     s = f"regexp_replace(coalesce({x}, ''), '<[^>]+>', ' ', 'g')"
-    for ent, ch in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"),
-                    ("&amp;", "&")):
-        s = f"replace({s}, '{ent}', '{ch}')"
+    # legacy names decode with or without ";" (as html.unescape does); "&amp" goes
+    # last so the chain stays single-pass
+    for ent, ch in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("lt", "<"), ("gt", ">"),
+                    ("amp", "&")):
+        s = f"regexp_replace({s}, '&{ent};?', '{ch}', 'g')"
     s = f"regexp_replace({s}, '{_WS}+([.,!?;:])', '\\1', 'g')"
     s = f"regexp_replace({s}, '{_WS}+', ' ', 'g')"
     s = f"regexp_replace({s}, '^{_WS}+|{_WS}+$', '', 'g')"
