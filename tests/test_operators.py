@@ -197,3 +197,29 @@ def test_hot_keys_and_salted_join(spark):
     small = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d")], "sk long, tag string")
     j = salted_join(small, "sk", big, "k", [1], 5, "v")
     assert j.count() == 101 and sorted(j.columns) == ["k", "sk", "tag", "v"]
+
+
+def test_merge_into_catalog_table(spark):
+    from strata.operators.merge import merge_into_table
+    spark.sql("DROP TABLE IF EXISTS t_merge_demo")
+    ddl = "k long, v double, t string"
+    first = spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, "b")], ddl)
+    c1 = merge_into_table(spark, "t_merge_demo", first, ["k"], schema_ddl=ddl,
+                          update_cols=["v"], condition=value_changed("v"))
+    assert c1["insert"] == 2
+    second = spark.createDataFrame([(2, 3.0, "x"), (3, 4.0, "c")], ddl)
+    c2 = merge_into_table(spark, "t_merge_demo", second, ["k"], update_cols=["v"],
+                          condition=value_changed("v"))
+    assert (c2["update"], c2["insert"], c2["retain"]) == (1, 1, 1)
+    got = {r["k"]: (r["v"], r["t"]) for r in spark.table("t_merge_demo").collect()}
+    assert got == {1: (1.0, "a"), 2: (3.0, "b"), 3: (4.0, "c")}
+
+
+def test_lookup_join_broadcasts_only_bounded_tables(spark):
+    from strata.operators.enrich import code_table, lookup_join
+    df = spark.createDataFrame([("SP",), ("XX",)], "uf string")
+    ref = code_table(spark, {"SP": "SUDESTE"}, "code", "region")
+    out = lookup_join(df, ref, df["uf"] == ref["code"], fill={"region": "NÃO INFORMADO"},
+                      max_rows=1)
+    assert "Broadcast" in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["region"] for r in out.collect()) == ["NÃO INFORMADO", "SUDESTE"]
