@@ -22,6 +22,7 @@ become columns and may overwrite ``indicator``/``position``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,11 +74,33 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
         df = df.select(*[c.alias(n) for n, c in cols.items()])
 
 
-def infer_json_schema(spark: SparkSession, df: DataFrame, col: str,
-                      sampling_ratio: float = 1.0) -> T.StructType:
-    """Schema of a JSON text column, inferred by Spark's JSON reader (distributed)."""
-    texts = df.select(F.col(col).cast("string")).rdd.map(lambda r: r[0])
-    return spark.read.option("samplingRatio", sampling_ratio).json(texts).schema
+_TYPE_AT = r"(?<=: )|(?<=ARRAY<)|^"
+
+
+def _variant_schema_to_ddl(s: str) -> str:
+    """``schema_of_variant_agg`` text -> DDL with the JSON reader's type choices."""
+    s = re.sub(rf"(?:{_TYPE_AT})OBJECT<", "STRUCT<", s)
+    s = re.sub(rf"(?:{_TYPE_AT})(?:VOID|VARIANT)(?=[,>]|$)", "STRING", s)
+    return re.sub(rf"(?:{_TYPE_AT})DECIMAL\(\d+,[1-9]\d*\)", "DOUBLE", s)
+
+
+def infer_json_schema(spark: SparkSession, df: DataFrame, col: str) -> T.StructType:
+    """Schema of a JSON text column, inferred inside the JVM.
+
+    ``schema_of_variant_agg(try_parse_json(col))`` is a distributed aggregate that
+    merges per-row schemas map-side, so no text leaves the executors; object
+    fields come out sorted by name, as with the JSON reader.  Invalid JSON rows
+    count as null.  Should the translated type not parse, Spark's JSON reader
+    infers it instead.
+    """
+    text = df.select(F.expr(f"schema_of_variant_agg(try_parse_json(`{col}`))")).first()[0]
+    try:
+        dtype = T.DataType.fromDDL(_variant_schema_to_ddl(text))
+        if isinstance(dtype, T.StructType):
+            return dtype
+    except Exception:  # noqa: BLE001 - fall back to the reader's own inference
+        pass
+    return spark.read.json(df.select(F.col(col).cast("string")).rdd.map(lambda r: r[0])).schema
 
 
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType | None = None,
@@ -95,6 +118,9 @@ def union_heterogeneous(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+MAX_DISCOVERED_FIELDS = 1000  # keys become columns: a schema-sized set, never data-sized
+
+
 def unpivot_panel(items: DataFrame, item_col: str = "item",
                   fields: Sequence[str] | None = None,
                   indicator: str = "indicador", position: str = "indice",
@@ -123,8 +149,12 @@ def unpivot_panel(items: DataFrame, item_col: str = "item",
     obj = F.when(is_obj, F.from_json(F.col("_elem"), "map<string,string>"))
     rows = exploded.select("_ind", "_val", "_arr", "_pos", "_elem", obj.alias("_obj"), *keep)
     if fields is None:
-        fields = sorted(r[0] for r in rows.select(F.explode(F.map_keys("_obj")))
-                        .distinct().collect())
+        found = (rows.select(F.explode(F.map_keys("_obj"))).distinct()
+                 .limit(MAX_DISCOVERED_FIELDS + 1).collect())
+        if len(found) > MAX_DISCOVERED_FIELDS:
+            raise ValueError(f"more than {MAX_DISCOVERED_FIELDS} distinct object keys: "
+                             "pass `fields` explicitly")
+        fields = sorted(r[0] for r in found)
     listed = F.col("_arr").isNotNull()
 
     def from_obj(name: str, otherwise: Column) -> Column:

@@ -91,9 +91,9 @@ def transitive_closure(edges: DataFrame, parent: str = "parent_id", child: str =
     e = checkpoint(e)
     hot = hot_keys(e, "_p", skew_share, skew_min_rows)
     n_salts = salts or max(2, int(e.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    first = checkpoint(e.select(F.col("_p").alias("ancestor_id"),
-                                F.col("_c").alias("descendant_id"),
-                                F.col("_l").alias("descendant_level")))
+    # a projection of the checkpointed edges: lineage is already one step deep
+    first = e.select(F.col("_p").alias("ancestor_id"), F.col("_c").alias("descendant_id"),
+                     F.col("_l").alias("descendant_level"))
     keys = ["ancestor_id", "descendant_id", "descendant_level"]
     # ``known`` is a union of checkpointed deltas: each round writes only its new
     # pairs, and the union's lineage is one level deep.

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 100_000) -> list:
     """Keys holding more than ``share`` of the rows (and at least ``min_rows``)."""
     total = df.count()
+    if total <= min_rows:  # no key can reach the floor: skip the grouping job
+        return []
     limit = max(int(total * share), min_rows)
     rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
               .filter(F.col("_n") > limit).select(key)

@@ -223,3 +223,14 @@ def test_lookup_join_broadcasts_only_bounded_tables(spark):
                       max_rows=1)
     assert "Broadcast" in out._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["region"] for r in out.collect()) == ["NÃO INFORMADO", "SUDESTE"]
+
+
+def test_flatten_empty_object_and_mixed_list(spark):
+    docs = [{"id": 1, "o": {}, "m": [1, {"a": 2}], "s": [True, None]},
+            {"id": 2, "o": {}, "m": ["x"], "s": []}]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc string")
+    flat = flatten(parse_json_column(df, "doc").select("doc.*"))
+    rows = {r["id"]: r.asDict() for r in flat.collect()}
+    assert not any(c.startswith("o") for c in flat.columns)   # empty object: no column
+    assert rows[1]["m"] == '1, {"a":2}' and rows[2]["m"] == "x"  # mixed list: joined text
+    assert rows[1]["s"] == "True, None" and rows[2]["s"] is None
