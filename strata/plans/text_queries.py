@@ -197,3 +197,43 @@ def merge_subset(t: Tables) -> DataFrame:
                          update_cols=["title", "summary", "tags", "batch"],
                          duplicates="last", dedup_order=["page_id"])
     return merged.withColumnRenamed("_action", "merge_action")
+
+
+def _doc_cards(t: Tables) -> DataFrame:
+    d = t.documents
+    return d.select("doc_id", "source", "n_chars",
+                    F.substring_index("text", "\n", 1).alias("title"),
+                    extract_tags(F.col("text"), TEST_TERMS, NO_TAG).alias("tags"))
+
+
+_DUCK_CARDS = f"""SELECT doc_id, source, n_chars, split_part(text, chr(10), 1) AS title,
+    {_duck_tags('text')} AS tags FROM documents"""
+
+
+@query("topic_in_sources", f"""
+WITH c AS ({_DUCK_CARDS})
+SELECT doc_id, source, title, tags FROM c
+WHERE (lower(title) LIKE '%the%' OR lower(tags) LIKE '%that%') AND source IN ('src1', 'src2')
+ORDER BY n_chars DESC, doc_id LIMIT 5""")
+def topic_in_sources(t: Tables) -> DataFrame:
+    """Title or tag mentions a topic, two named sources, newest-first top 5
+    (size stands in for recency; the key breaks ties)."""
+    c = _doc_cards(t)
+    hit = F.lower("title").like("%the%") | F.lower("tags").like("%that%")
+    return (c.filter(hit & F.col("source").isin("src1", "src2"))
+             .orderBy(F.col("n_chars").desc(), F.col("doc_id")).limit(5)
+             .select("doc_id", "source", "title", "tags"))
+
+
+@query("ilike_in_source", f"""
+WITH c AS ({_DUCK_CARDS})
+SELECT doc_id, title, tags FROM c
+WHERE (title ILIKE '%UND%' OR tags ILIKE '%UND%') AND source = 'src3'
+ORDER BY n_chars DESC, doc_id LIMIT 10""")
+def ilike_in_source(t: Tables) -> DataFrame:
+    """Q23/C11: case-insensitive title-or-tag search inside one source, top 10."""
+    c = _doc_cards(t)
+    hit = F.col("title").ilike("%UND%") | F.col("tags").ilike("%UND%")
+    return (c.filter(hit & (F.col("source") == "src3"))
+             .orderBy(F.col("n_chars").desc(), F.col("doc_id")).limit(10)
+             .select("doc_id", "title", "tags"))
