@@ -31,11 +31,12 @@ from strata.plans import silver as S
 from strata.sources import snapshots
 from strata.sources.documents import read_entity_document, read_panel
 from strata.sources.feeds import read_feeds
-from strata.sources.sinks import write_table
+from strata.sources.sinks import clustered, write_table
 
 log = logging.getLogger(__name__)
 
 MARTS = list(G.MARTS)
+SILVER_CLUSTER = ["DT_ANO", "DS_FLAG"]  # A11 layout of the merged indicator table
 
 
 def _p(base: str, *parts: str) -> str:
@@ -76,7 +77,8 @@ def bronze_to_silver(spark: SparkSession, out_dir: str, as_of: dt.date,
     base = _p(out_dir, "silver", "tbl_silver_numeros")
     merged = I.merge_indicators(_current(spark, base), I.unify(stg, as_of, strict),
                                 spark=spark, duplicates=duplicates)
-    path = snapshots.write_next(merged.withColumnRenamed("_action", ACTION), base)
+    path = snapshots.write_next(clustered(merged.withColumnRenamed("_action", ACTION),
+                                          SILVER_CLUSTER), base)
     return _counts_from(spark, path)
 
 
@@ -125,7 +127,8 @@ def silver_to_gold(spark: SparkSession, out_dir: str) -> dict[str, str]:
         batch = N.ingest(spark.read.parquet(bronze_news))
         base = _p(out_dir, "gold", "dim_inteligencia_mercado")
         merged = N.merge_news(_current(spark, base), batch, spark)
-        snapshots.write_next(merged.withColumnRenamed("_action", ACTION), base)
+        snapshots.write_next(clustered(merged.withColumnRenamed("_action", ACTION),
+                                       N.NEWS_CLUSTER), base)
         out["dim_inteligencia_mercado"] = base
     return out
 
