@@ -199,8 +199,9 @@ def merge_subset(t: Tables) -> DataFrame:
     return merged.withColumnRenamed("_action", "merge_action")
 
 
-def _doc_cards(t: Tables) -> DataFrame:
-    d = t.documents
+def _doc_cards(t: Tables, sources) -> DataFrame:
+    # the source predicate is applied before the tag regexes run over the full texts
+    d = t.documents.filter(F.col("source").isin(*sources))
     return d.select("doc_id", "source", "n_chars",
                     F.substring_index("text", "\n", 1).alias("title"),
                     extract_tags(F.col("text"), TEST_TERMS, NO_TAG).alias("tags"))
@@ -218,9 +219,9 @@ ORDER BY n_chars DESC, doc_id LIMIT 5""")
 def topic_in_sources(t: Tables) -> DataFrame:
     """Title or tag mentions a topic, two named sources, newest-first top 5
     (size stands in for recency; the key breaks ties)."""
-    c = _doc_cards(t)
+    c = _doc_cards(t, ["src1", "src2"])
     hit = F.lower("title").like("%the%") | F.lower("tags").like("%that%")
-    return (c.filter(hit & F.col("source").isin("src1", "src2"))
+    return (c.filter(hit)
              .orderBy(F.col("n_chars").desc(), F.col("doc_id")).limit(5)
              .select("doc_id", "source", "title", "tags"))
 
@@ -232,8 +233,8 @@ WHERE (title ILIKE '%UND%' OR tags ILIKE '%UND%') AND source = 'src3'
 ORDER BY n_chars DESC, doc_id LIMIT 10""")
 def ilike_in_source(t: Tables) -> DataFrame:
     """Q23/C11: case-insensitive title-or-tag search inside one source, top 10."""
-    c = _doc_cards(t)
+    c = _doc_cards(t, ["src3"])
     hit = F.col("title").ilike("%UND%") | F.col("tags").ilike("%UND%")
-    return (c.filter(hit & (F.col("source") == "src3"))
+    return (c.filter(hit)
              .orderBy(F.col("n_chars").desc(), F.col("doc_id")).limit(10)
              .select("doc_id", "title", "tags"))
