@@ -118,7 +118,8 @@ def _marts():
             ("key", "key"), ("year", "year"), ("period", "period"),
             ("category_cut", (SEG_CUT, q("OTHER"))), ("brand", (SEG_BRAND, "NULL")),
             ("user_class", (SEG_USER, "NULL")), ("value", "value")]),
-        "fact_infra": ("flag = 'linSHIP_R'", [
+        # the branch predicate lets Catalyst drop the other three branches' scans
+        "fact_infra": ("sub_origin = 'LIN' AND flag = 'linSHIP_R'", [
             ("key", "key"), ("year", "year"), ("period", "period"),
             ("entity_type", q("RETURNED LINES")), ("metric", q("EXTENDED PRICE")),
             ("value", "value")]),
