@@ -106,13 +106,30 @@ def extract_tags_py(text: str | None, terms: Sequence[str], default: str) -> str
     return ", ".join(found) if found else default
 
 
-def rfc822_wallclock(c) -> Column:
-    """RFC-822 date -> timestamp of its wall clock (offset dropped); bad -> null.
+# FIXED VALUES: RFC 822 zone names and their offsets in minutes
+RFC822_ZONES = {"UT": 0, "GMT": 0, "Z": 0, "EST": -300, "EDT": -240, "CST": -360,
+                "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420}
 
-    ``'Mon, 01 Dec 2025 10:30:00 -0300'`` -> 2025-12-01 10:30:00.
+
+def rfc822_wallclock(c, to_utc: bool = False) -> Column:
+    """RFC-822 date -> timestamp; bad -> null.
+
+    By default the wall clock is kept and the zone dropped (T10):
+    ``'Mon, 01 Dec 2025 10:30:00 -0300'`` -> 2025-12-01 10:30:00.  With ``to_utc``
+    the zone (``+hhmm``/``-hhmm`` or a named RFC 822 zone) is applied:
+    -> 2025-12-01 13:30:00.
     """
     s = F.regexp_replace(F.trim(_c(c)), r"^[A-Za-z]{3},\s*", "")
     body = F.regexp_extract(s, r"^(\d{1,2}\s+[A-Za-z]{3}\s+\d{4}\s+\d{1,2}:\d{2}(:\d{2})?)", 1)
     body = F.regexp_replace(body, r"\s+", " ")
-    return F.coalesce(F.try_to_timestamp(body, F.lit("d MMM yyyy H:mm:ss")),
+    wall = F.coalesce(F.try_to_timestamp(body, F.lit("d MMM yyyy H:mm:ss")),
                       F.try_to_timestamp(body, F.lit("d MMM yyyy H:mm")))
+    if not to_utc:
+        return wall
+    zone = F.regexp_extract(s, r"\s([+-]\d{4}|[A-Za-z]{1,3})\s*$", 1)
+    numeric = F.when(zone.rlike(r"^[+-]\d{4}$"),
+                     (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 4, 2).cast("int"))
+                     * F.when(zone.startswith("-"), -1).otherwise(1))
+    zones = F.create_map(*[F.lit(x) for kv in RFC822_ZONES.items() for x in kv])
+    minutes = F.coalesce(numeric, F.try_element_at(zones, F.upper(zone)), F.lit(0))
+    return F.timestamp_add("MINUTE", -minutes, wall)

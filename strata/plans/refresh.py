@@ -154,9 +154,17 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, as_of: dt.date,
     """Run every layer in order; returns what each step wrote."""
     bronze = raw_to_bronze(spark, in_dir, out_dir)
     merge = bronze_to_silver(spark, out_dir, as_of, strict, duplicates)
+    rej = rejects(spark, out_dir)
     gold = silver_to_gold(spark, out_dir)
-    log.info("refresh done: bronze=%s merge=%s gold=%s", bronze, merge, sorted(gold))
-    return {"bronze": bronze, "merge": merge, "gold": gold}
+    log.info("refresh done: bronze=%s merge=%s rejects=%s gold=%s", bronze, merge, rej,
+             sorted(gold))
+    return {"bronze": bronze, "merge": merge, "rejects": rej, "gold": gold}
+
+
+def rejects(spark: SparkSession, out_dir: str) -> dict[str, dict[str, int]]:
+    """Per bronze table, the values lenient mode nulled (one aggregate each)."""
+    return {"entidades": S.rejects(spark.read.parquet(_p(out_dir, "bronze", "entidades"))),
+            "numeros": I.rejects(spark.read.parquet(_p(out_dir, "bronze", "numeros")))}
 
 
 def landed_files(in_dir: str) -> list[str]:

@@ -83,3 +83,17 @@ def hierarchy(bronze: DataFrame) -> DataFrame:
                     F.col("child_id").alias("id_entidade"),
                     F.col("child_level").alias("nivel_hierarquia_filho"),
                     F.current_timestamp().alias("data_processamento"))
+
+
+def rejects(bronze: DataFrame) -> dict[str, int]:
+    """Entity values the lenient projection nulled (bad ids, codes, dates)."""
+    from strata.operators.quality import reject_counts
+    raw = lambda n: _col(bronze, n).cast("string")
+    return reject_counts(bronze, {
+        "id": (raw("id"), C.safe_long(raw("id"))),
+        "nivel": (raw("nivel"), raw("nivel").try_cast("int")),
+        "situacao": (raw("situacao"), raw("situacao").try_cast("int")),
+        "dt_credenciamento": (raw("dt_credenciamento"),
+                              C.parse_date(raw("dt_credenciamento"), "yyyy-MM-dd")),
+        "processo": (raw("processo"), C.digits_as_long(raw("processo"))),
+    })

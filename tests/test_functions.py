@@ -126,3 +126,11 @@ def test_initcap_only_after_spaces(spark):
 def test_decode_entities_matches_python(spark, text):
     import html
     assert one(spark, X.decode_entities(F.col("v")), text) == html.unescape(text)
+
+
+def test_rfc822_to_utc(spark):
+    vals = ["Mon, 01 Dec 2025 10:30:00 -0300", "Tue, 02 Dec 2025 08:00:00 GMT",
+            "Tue, 02 Dec 2025 08:00:00 EST", "Tue, 02 Dec 2025 23:30:00 +0130"]
+    out = col_values(spark, lambda c: X.rfc822_wallclock(c, to_utc=True), vals)
+    assert out == [dt.datetime(2025, 12, 1, 13, 30), dt.datetime(2025, 12, 2, 8, 0),
+                   dt.datetime(2025, 12, 2, 13, 0), dt.datetime(2025, 12, 2, 22, 0)]

@@ -32,6 +32,14 @@ def test_first_batch_inserts_everything(run):
     assert run["first"]["merge"]["insert"] == 46
 
 
+def test_lenient_rejects_are_counted(run):
+    rej = run["first"]["rejects"]
+    assert rej["entidades"]["dt_credenciamento"] == 1   # "2020-13-45"
+    assert rej["entidades"]["processo"] == 1            # "x" has no digits
+    assert rej["entidades"]["id"] == 0
+    assert rej["numeros"]["valor"] == 3  # "x" and the two boolean metadata values
+
+
 def test_entity_master(run):
     d = run["gold"]["dim_entidade"]
     assert d.count() == 10  # null id dropped, duplicate id 4 kept once
