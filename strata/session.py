@@ -7,8 +7,8 @@ the bench and local runs.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -79,16 +79,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) to cut lineage on a cluster")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
+def checkpoint(df: DataFrame, cache: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (never ``localCheckpoint``).
 
-    The frame is persisted for the duration of the call: an eager reliable
-    checkpoint runs one job to materialise the data and a second one to write the
-    files, and without the cache the second job would recompute the whole plan.
-    If an executor holding cached blocks is lost, the write recomputes just those
-    partitions from lineage.
+    ``cache=True`` keeps the frame while it is written, because an eager checkpoint
+    runs the plan twice otherwise (once for the action, once for the files).
+    ``cache=False`` writes the files within the first action that reads the frame and
+    is for wide or costly frames: a plain Parquet table below the checkpoint folder,
+    written once and read back.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    base = ensure_checkpoint_dir(df.sparkSession)
+    if not cache:
+        path = f"{base}/table-{uuid.uuid4().hex}"
+        _tables.append(path)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return cached.checkpoint(eager=True)
@@ -96,7 +101,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
         cached.unpersist()
 
 
-def scratch_dir(prefix: str = "strata-run-") -> str:
-    """A fresh scratch folder for local runs and tests."""
-    base = os.environ.get("STRATA_SCRATCH", tempfile.gettempdir())
-    return tempfile.mkdtemp(prefix=prefix, dir=base)
+_tables: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that ``checkpoint(cache=False)`` has written, once no frame reads them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _tables:
+        path = jvm.org.apache.hadoop.fs.Path(_tables.pop())
+        path.getFileSystem(conf).delete(path, True)
