@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import packing
+from strata.llm import packing, simhash
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,9 @@ def query(name: str, oracle: str | None = None):
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2,048 ids."""
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op1_simhash")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all documents."""
+    return simhash.simhash(table(spark, sf_dir, "documents"))
