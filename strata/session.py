@@ -93,7 +93,9 @@ def checkpoint(df: DataFrame, cache: bool = True) -> DataFrame:
         path = f"{base}/table-{uuid.uuid4().hex}"
         _tables.append(path)
         df.write.parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        table = df.sparkSession.read.schema(df.schema).parquet(path)
+        table._strata_path = path
+        return table
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return cached.checkpoint(eager=True)
@@ -104,9 +106,11 @@ def checkpoint(df: DataFrame, cache: bool = True) -> DataFrame:
 _tables: list[str] = []
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables that ``checkpoint(cache=False)`` has written, once no frame reads them."""
+def release(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete tables that ``checkpoint(cache=False)`` has written, once no frame reads them:
+    those of the given frames, or all."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _tables:
-        path = jvm.org.apache.hadoop.fs.Path(_tables.pop())
+    for name in [f._strata_path for f in frames] if frames else list(_tables):
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
+        _tables.remove(name)
