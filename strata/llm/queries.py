@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import packing, simhash
+from strata.llm import packing, secrets, simhash
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of all documents."""
     return simhash.simhash(table(spark, sf_dir, "documents"))
+
+
+@query("op2_secrets")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents; a source is an owner, a document one of its repositories."""
+    return secrets.secrets(table(spark, sf_dir, "documents"))
