@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import packing, secrets, simhash
+from strata.llm import langid, packing, secrets, simhash
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents; a source is an owner, a document one of its repositories."""
     return secrets.secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents."""
+    return langid.languages(table(spark, sf_dir, "documents"))
