@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import langid, packing, secrets, simhash, toxicity
+from strata.llm import cws, gam, langid, packing, secrets, simhash, toxicity
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probabilities of the toxicity categories of all documents."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_weighted_sampling")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return cws.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    return gam.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
