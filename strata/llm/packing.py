@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpoint, documents, texts_of
+from strata.llm.common import checkpoint, documents
 from strata.llm.wordbpe import default_path, encoder
 
 CAPACITY = 2048
@@ -65,20 +65,21 @@ def _pieces(path: str, capacity: int, waste: float):
         tok = encoder(path)
         seen: dict[int, int] = {}
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            names = iter(batch.column(0).to_pylist())
             out: list[list] = [[] for _ in range(8)]
-            for doc_id, data in zip(ids, tok.encode_all(texts_of(batch.column(1)))):
-                data += closing
-                tokens, start = len(data) // 4, 0
-                for n in lengths(tokens, capacity, waste):
-                    k = capacity // n
-                    place = seen.get(k, 0)
-                    seen[k] = place + 1
-                    row = (doc_id, start, n, zlib.crc32(data[4 * start:4 * (start + n)]), tokens,
-                           worker, k, place)
-                    for column, value in zip(out, row):
-                        column.append(value)
-                    start += n
+            for ids, bounds in tok.encode(batch.column(1)):
+                for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    data, doc_id = ids[low:high].tobytes() + closing, next(names)
+                    tokens, start = high - low + 1, 0
+                    for n in lengths(tokens, capacity, waste):
+                        k = capacity // n
+                        place = seen.get(k, 0)
+                        seen[k] = place + 1
+                        row = (doc_id, start, n, zlib.crc32(data[4 * start:4 * (start + n)]), tokens,
+                               worker, k, place)
+                        for column, value in zip(out, row):
+                            column.append(value)
+                        start += n
             types = [pa.int64()] * 5 + [pa.int32()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)],
                                              [c.split()[0] for c in PIECES.split(", ")])

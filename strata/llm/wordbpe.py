@@ -1,26 +1,27 @@
 """Token ids of ``word_bpe_49k.json`` for whole texts, one cached word at a time.
 
-The tokenizer lower-cases, drops white space and never merges across it, so the ids
-of a text are the ids of its space-separated chunks, one after the other.  A worker
-keeps a bounded cache from chunk to ids; only chunks that it has not seen go through
-the ``tokenizers`` library.
+The tokenizer lower-cases, drops white space and never merges across it, so the ids of a text
+are the ids of its blank-separated words, one after the other.  Arrow lower-cases ASCII letters, splits
+and numbers the distinct words of a slice of texts; only these are looked up in the worker's bounded cache, and
+only words that it lacks go through the ``tokenizers`` library.
 """
 
 from __future__ import annotations
 
 import os
-import re
-import unicodedata
+import string
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Chunks that a worker keeps; the cache is emptied beyond it (memory, not results).
-CACHE_WORDS = 500_000
-#: Characters that are encoded at a time.
-SLICE_CHARS = 1_000_000
+#: Words of a generation of the cache; a worker keeps two (memory, not results).
+CACHE_WORDS = 350_000
+#: Bytes of text that are encoded at a time; a longer text goes alone.
+SLICE_BYTES = 6_000_000
 
-_MARKS = (".", ",")
-_ODD_BLANKS = re.compile("[\x1c-\x1f]")  # str.split() takes these for blanks, the tokenizer doesn't
+_SIGNS = pa.array(list(string.punctuation))
 
 
 def default_path() -> str:
@@ -30,37 +31,28 @@ def default_path() -> str:
 
 
 class WordBpe:
-    """Whole-text encoder over a chunk cache."""
+    """Whole-text encoder over a word cache."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
-        self.marks = {m: np.asarray(self.tok.encode(m, add_special_tokens=False).ids, dtype="<u4").tobytes()
-                      for m in _MARKS}
+        self.old: dict[str, bytes] = {}
         vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.size = max(vocab.values()) + 1
+        self.ends = np.zeros(self.size, dtype=bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
 
-    def chunks(self, text: str) -> list[str]:
-        """Chunks whose ids, put together, are the ids of the text."""
-        if _ODD_BLANKS.search(text):
-            return re.split(r"[ \t\n\r]+", text)
-        if "<|" in text:
-            return text.split()  # may hold a special token, which is matched before lower-casing
-        if text.isascii() or (unicodedata.is_normalized("NFC", text) and "Σ" not in text):
-            text = text.lower()
-        return text.split()
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode unseen chunks.  Plain words go together in one call that is split again at
-        the tokens that end a word; a stop or comma after such a word is a word of its own."""
+    def _plain(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode unseen words.  Those of letters alone are one word of the pre-tokenizer each; they go
+        together in one call that is split again at the ids that end a word."""
         cache = self.cache
-        marked = {w: w[:-1] for w in chunks if w[-1:] in _MARKS and w[:-1].isalpha() and w[:-1].isascii()}
-        cores = set(marked.values()).difference(cache)
-        rest = [w for w in chunks if w not in marked and not (w.isalpha() and w.isascii())]
-        letters = list(cores.union(w for w in chunks if w.isalpha() and w.isascii()))
+        letters = [w for w in words if w.isalpha()]
+        other = [w for w in words if not w.isalpha()]
         for i in range(0, len(letters), 8192):
             part = letters[i:i + 8192]
             ids = np.asarray(self.tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
@@ -68,34 +60,72 @@ class WordBpe:
             stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(stops) == len(part):
                 data = ids.tobytes()
-                cache.update((w, data[a:b]) for w, a, b in zip(part, [0, *stops], stops))
-            else:  # a vocabulary without word ends
-                rest += part
-        for i in range(0, len(rest), 8192):
-            part = rest[i:i + 8192]
+                cache.update(zip(part, [data[a:b] for a, b in zip([0, *stops], stops)]))
+            else:  # a letter that isn't one letter in lower case
+                other += part
+        for i in range(0, len(other), 8192):
+            part = other[i:i + 8192]
             cache.update((w, np.asarray(e.ids, dtype="<u4").tobytes()) for w, e in zip(
                 part, self.tok.encode_batch_fast(part, add_special_tokens=False)))
-        cache.update((w, cache[core] + self.marks[w[-1]]) for w, core in marked.items())
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Ids of each whole text as little-endian 32-bit numbers; slices of bounded size."""
-        out: list[bytes] = []
-        cache, todo, size = self.cache, [], 0
-        for k, text in enumerate(texts):
-            todo.append(self.chunks(text))
-            size += len(text)
-            if size < SLICE_CHARS and k + 1 < len(texts):
-                continue
-            seen = set().union(*todo)
-            new = seen.difference(cache)
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        cache, old = self.cache, self.old
+        new = [w for w in words if w not in cache]
+        if new:
             if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = seen
-            if new:
-                self.learn(new)
-            out += [b"".join([cache[w] for w in c]) for c in todo]
-            todo, size = [], 0
-        return out
+                self.old, self.cache = cache, {}
+                cache, old, new = self.cache, self.old, words
+            cache.update([(w, old[w]) for w in new if w in old])
+            if unseen := [w for w in new if w not in cache]:
+                self._learn(unseen)
+        return [cache[w] for w in words]
+
+    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of a slice of texts, and where each text's begin (one more at the end)."""
+        words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        bounds = words.offsets.to_numpy()
+        coded = pc.dictionary_encode(words.values)
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        distinct = coded.dictionary
+        # letters and one sign after them are two words of the pre-tokenizer
+        sign = pc.utf8_slice_codeunits(distinct, -1)
+        core = pc.utf8_slice_codeunits(distinct, 0, -1)
+        two = pc.and_(pc.is_in(sign, _SIGNS), pc.utf8_is_alpha(core))
+        heads = pc.dictionary_encode(pc.if_else(two, core, distinct))
+        tails = pc.dictionary_encode(pc.if_else(two, sign, ""))
+        head, tail = self._ids(heads.dictionary.to_pylist()), self._ids(tails.dictionary.to_pylist())
+        pairs = zip(heads.indices.to_pylist(), tails.indices.to_pylist())
+        data = [head[a] + tail[b] for a, b in pairs]
+        size = np.fromiter(map(len, data), dtype=np.int64, count=len(data)) // 4
+        flat = np.frombuffer(b"".join(data), dtype="<u4")
+        begin = (np.cumsum(size) - size).astype(np.int32)
+        length = size.astype(np.int32)[index]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(begin[index] - (ends - length).astype(np.int32), length) + np.arange(total, dtype=np.int32)
+        return flat[at], np.concatenate([[0], ends])[bounds]
+
+    def encode(self, column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``(ids, bounds)`` for consecutive slices of whole texts; null is an empty text."""
+        column = pc.fill_null(column, "")
+        if len(column) == 0:
+            return
+        size = np.cumsum(pc.binary_length(column).to_numpy())
+        # a special token is matched before lower-casing: texts that may hold one go to the library
+        odd = pc.match_substring(column, "<|").to_numpy(zero_copy_only=False)
+        at = 0
+        while at < len(column):
+            done = size[at - 1] if at else 0
+            to = at + 1 if odd[at] else max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES, side="right")))
+            if odd[at]:
+                ids = np.frombuffer(self._plain(column[at].as_py()), dtype="<u4")
+                yield ids, np.array([0, len(ids)])
+            else:
+                if odd[at:to].any():
+                    to = at + int(np.argmax(odd[at:to]))
+                part = column.slice(at, to - at)
+                yield self._slice(pa.array(part.to_pylist(), part.type) if part.offset else part)
+            at = to
 
 
 _encoders: dict[str, WordBpe] = {}
