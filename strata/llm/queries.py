@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import cws, gam, langid, packing, secrets, simhash, toxicity
+from strata.llm import cws, embed_graph, gam, langid, packing, pieces, secrets, simhash, toxicity
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of all documents."""
     return gam.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_embedding_graph")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return embed_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op4_pieces")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and the check of their decoding."""
+    return pieces.encode(table(spark, sf_dir, "documents"))
