@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import cws, embed_graph, gam, langid, packing, pieces, secrets, simhash, toxicity
+from strata.llm import (attention_lm, cws, embed_graph, gam, langid, packing, pieces, secrets, simhash,
+                        toxicity)
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +75,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and the check of their decoding."""
     return pieces.encode(table(spark, sf_dir, "documents"))
+
+
+@query("op6_attention_lm")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-model and attention-model scores of all documents."""
+    return attention_lm.scores(table(spark, sf_dir, "documents"))

@@ -80,13 +80,15 @@ class WordBpe:
                 self._learn(unseen)
         return [cache[w] for w in words]
 
-    def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of a slice of texts, and where each text's begin (one more at the end)."""
+    def split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Words of texts in lower case (ASCII letters): where each text's begin (one more at the end), the number of each
+        word, and the distinct words; one of them may be empty."""
         words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-        bounds = words.offsets.to_numpy()
         coded = pc.dictionary_encode(words.values)
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        distinct = coded.dictionary
+        return words.offsets.to_numpy(), coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+
+    def join(self, bounds: np.ndarray, index: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of what ``split`` gives, and where each text's begin (one more at the end)."""
         # letters and one sign after them are two words of the pre-tokenizer
         sign = pc.utf8_slice_codeunits(distinct, -1)
         core = pc.utf8_slice_codeunits(distinct, 0, -1)
@@ -124,7 +126,7 @@ class WordBpe:
                 if odd[at:to].any():
                     to = at + int(np.argmax(odd[at:to]))
                 part = column.slice(at, to - at)
-                yield self._slice(pa.array(part.to_pylist(), part.type) if part.offset else part)
+                yield self.join(*self.split(pa.array(part.to_pylist(), part.type) if part.offset else part))
             at = to
 
 
