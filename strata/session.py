@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -109,8 +110,23 @@ _tables: list[str] = []
 def release(spark: SparkSession, *frames: DataFrame) -> None:
     """Delete tables that ``checkpoint(cache=False)`` has written, once no frame reads them:
     those of the given frames, or all."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for name in [f._strata_path for f in frames] if frames else list(_tables):
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, name)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if name in _tables:
         _tables.remove(name)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Delete the tables that ``checkpoint(cache=False)`` writes within the block when it ends."""
+    before = set(_tables)
+    try:
+        yield
+    finally:
+        for name in [t for t in _tables if t not in before]:
+            _delete(spark, name)
