@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpoint, documents, text_udf, texts_of
+from strata.llm.common import checkpoint, documents, text_udf, texts_of, with_row
 from strata.llm.components import components
 
 SHINGLE = 3
@@ -204,13 +204,34 @@ def simhash(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _roots(prints: DataFrame, distance: int) -> DataFrame:
+    """``fp, root`` for the distinct fingerprints that are linked to another."""
+    found = components(links(prints, distance))
+    return checkpoint(found.select(F.col("node").alias("fp"), "root"), cache=False)
+
+
 def classes(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Adds ``component_id`` to rows with ``doc_id`` and ``fp``."""
     first = checkpoint(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), cache=False)
-    found = checkpoint(components(links(first.select("fp"), distance)), cache=False)
-    member = found.join(first, found["node"] == first["fp"]).select("fp", "root", "first")
+    member = _roots(first.select("fp"), distance).join(first, "fp")
     lowest = member.groupBy("root").agg(F.min("first").alias("lowest"))
     linked = member.join(lowest, "root").select(F.col("fp").alias("own"), "lowest")
     named = first.join(linked, F.col("fp") == F.col("own"), "left").select(
         "fp", F.coalesce("lowest", "first").alias("component_id"))
     return docs.join(named, "fp")
+
+
+def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                 distance: int = DISTANCE) -> DataFrame:
+    """The same columns; of each component only the row with the smallest ``doc_id`` (nulls last), of rows
+    that share it the first one."""
+    numbered = with_row(df)
+    rows = checkpoint(numbered.select(
+        "_row", F.col(id_col).alias("doc_id"),
+        fingerprints(shingle)(F.coalesce(F.col(text_col), F.lit(""))).alias("fp")), cache=False)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = checkpoint(rows.groupBy("fp").agg(F.min(place).alias("place")), cache=False)
+    roots = _roots(first.select("fp"), distance)
+    stay = first.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(
+        F.min("place").alias("place")).select(F.col("place._row").alias("_row"))
+    return numbered.join(stay, "_row", "left_semi").select(*df.columns)
