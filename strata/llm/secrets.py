@@ -137,8 +137,11 @@ def secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner
 
     def count(test):
         return F.size(F.filter("spans", test)).cast("long")
+
+    def of_kind(k):  # a second parameter of the test, with a default or not, would be the index
+        return lambda s: s["kind"] == k
     return all_rows.select(
-        "doc_id", *[count(lambda s, k=k: s["kind"] == k).alias(f"n_{KINDS[k]}") for k in range(3)],
+        "doc_id", *[count(of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(_joined(F.filter("spans", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"), count(lambda s: s["kind"] == 3).alias("n_owned"),
         count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_example"))
