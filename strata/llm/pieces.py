@@ -126,7 +126,7 @@ class Pieces:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids of a slice of texts, where each text's begin (one more at the end), and the scores."""
         split = pc.split_pattern(texts, " ")
-        runs = pc.match_substring_regex(texts, f"  |{BLANK}").to_numpy(zero_copy_only=False)
+        runs = pc.match_substring_regex(texts, f"^ |  |{BLANK}").to_numpy(zero_copy_only=False)
         empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
         odd = (runs if self.cut_words else np.ones(len(texts), bool)) & ~empty
         coded = pc.dictionary_encode(split.values)
