@@ -2,26 +2,25 @@
 
 Scale notes
 -----------
-* The closure is built by a semi-naive fixpoint: each round joins only the pairs
-  found in the previous round (the frontier) to the edge table, drops pairs
-  already known (``left_anti``) and checkpoints the result into the shared
-  checkpoint folder, so lineage stays one round deep and a lost executor only
-  recomputes one round.  The loop stops on an empty frontier, so cycles end too
-  (a node on a cycle becomes its own descendant, which is what the closure holds).
-* Rounds = depth of the hierarchy (4 in the source domain), each round one
-  shuffle join.  A parent that owns a third of all children makes the edge side
-  of ``frontier ⋈ edges`` skewed on that parent; such parents are found once
-  (one partial aggregate) and their edges are salted over many buckets while the
-  few frontier rows that reach them are replicated per bucket, so no task gets a
-  whole hot group (AQE's skew-join split remains as a second line).
-* Counting is a partial (map-side) aggregate per ancestor, so a root that owns
-  everything costs one row per map task before the shuffle; entity attributes are
+* Only nodes that are parents themselves can carry a path on.  The fixpoint therefore
+  works on pairs (ancestor, inner node): each round joins the pairs of the round before to
+  the edges between inner nodes and drops pairs already known.  Leaves, by far the
+  most nodes of a tree, take part in one join at the end, which also brings the level
+  of the last edge, so a missing level can't keep the loop alive.
+* The loop ends on an empty round; the pairs are finite, so cycles end too (a node on
+  a cycle is its own descendant).  Each round is written once to the shared
+  checkpoint folder, so lineage stays one round deep.
+* A parent that owns more than a hundredth of the edges is found by one partial
+  aggregate; its edges are dealt into buckets and the few rows that reach them are
+  repeated once a bucket (``skew``).
+* Counting is a partial (map-side) aggregate per ancestor; entity attributes are
   joined after the aggregation, to ancestors only, never to the closure.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,51 +73,31 @@ def edges_from_parent_array(df: DataFrame, child: str, parents_array: str,
 
 
 def transitive_closure(edges: DataFrame, parent: str = "parent_id", child: str = "child_id",
-                       level: str = "child_level", max_rounds: int = 10_000,
-                       skew_share: float = 0.01, skew_min_rows: int = 100_000,
-                       salts: int | None = None) -> DataFrame:
+                       level: str = "child_level", skew_share: float = 0.01) -> DataFrame:
     """H1: every (ancestor, descendant, descendant_level) reachable over ``edges``.
 
     The level travels with the descendant (it is the level on the descendant's own
-    edge row), as in the recursive CTE this replaces.  Triples are distinct.
-    Parents owning more than ``skew_share`` of the edges (and ``skew_min_rows``)
-    are found once and their edges salted over ``salts`` buckets in every round.
+    edge row, null too), as in the recursive CTE this replaces.  Triples are distinct.
     """
-    e = (edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c"),
-                      F.col(level).alias("_l"))
-              .filter(F.col("_p").isNotNull() & F.col("_c").isNotNull())
-              .distinct())
-    e = checkpoint(e)
-    hot = hot_keys(e, "_p", skew_share, skew_min_rows)
-    n_salts = salts or max(2, int(e.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    # a projection of the checkpointed edges: lineage is already one step deep
-    first = e.select(F.col("_p").alias("ancestor_id"), F.col("_c").alias("descendant_id"),
-                     F.col("_l").alias("descendant_level"))
-    keys = ["ancestor_id", "descendant_id", "descendant_level"]
-    # ``known`` is a union of checkpointed deltas: each round writes only its new
-    # pairs, and the union's lineage is one level deep.
-    deltas = [first]
-    frontier = first
-    for _ in range(max_rounds):
-        known = deltas[0]
-        for d in deltas[1:]:
-            known = known.unionByName(d)
-        step = (salted_join(frontier, "descendant_id", e, "_p", hot, n_salts, "_c")
-                        .select("ancestor_id", F.col("_c").alias("descendant_id"),
-                                F.col("_l").alias("descendant_level"))
-                        .distinct()
-                        .join(known, keys, "left_anti"))
-        step = checkpoint(step)
-        if step.isEmpty():
-            break
-        deltas.append(step)
-        frontier = step
-    else:
-        raise RuntimeError(f"hierarchy closure did not converge in {max_rounds} rounds")
-    known = deltas[0]
-    for d in deltas[1:]:
-        known = known.unionByName(d)
-    return known
+    e = checkpoint(edges.select(F.col(parent).alias("_p"), F.col(child).alias("_c"),
+                                F.col(level).alias("_l"))
+                   .filter(F.col("_p").isNotNull() & F.col("_c").isNotNull())
+                   .distinct(), cache=False)
+    hot = hot_keys(e, "_p", skew_share)
+    parents = e.select(F.col("_p").alias("_q")).distinct()
+    inner = checkpoint(e.join(parents, F.col("_c") == F.col("_q"), "left_semi")
+                       .select("_p", "_c").distinct(), cache=False)
+    reached = [inner.select(F.col("_p").alias("ancestor_id"), F.col("_c").alias("_via"))]
+    while not reached[-1].isEmpty():
+        known = reduce(DataFrame.union, reached)
+        step = (salted_join(reached[-1], "_via", inner, "_p", hot, "_c")
+                .select("ancestor_id", F.col("_c").alias("_via")).distinct()
+                .join(known, ["ancestor_id", "_via"], "left_anti"))
+        reached.append(checkpoint(step, cache=False))
+    through = salted_join(reduce(DataFrame.union, reached), "_via", e, "_p", hot, "_c")
+    direct = e.select(F.col("_p").alias("ancestor_id"), F.col("_c").alias("descendant_id"),
+                      F.col("_l").alias("descendant_level"))
+    return direct.union(through.select("ancestor_id", "_c", "_l")).distinct()
 
 
 def descendant_counts(closure: DataFrame, levels: Mapping[int, str]) -> DataFrame:

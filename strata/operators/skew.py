@@ -1,47 +1,45 @@
 """Explicit handling of hot join keys (a key may hold a third of all rows).
 
-``hot_keys`` finds the keys whose row count exceeds a share of the total with one
-partial aggregate; the result is bounded by construction (at most ``1 / share``
-keys), so it can travel as a literal list.  ``salted_join`` then spreads the
-big side's rows of those keys over ``salts`` buckets and replicates only the
-matching rows of the other side, so no task receives a whole hot group.  Cold
-keys join as usual (salt 0).  AQE's skew-join split stays on as a second line.
+``hot_keys`` finds the keys that hold more than a share of the rows, with one partial
+aggregate; there are at most ``1 / share`` of them by arithmetic, so they travel as a literal
+map.  ``salted_join`` deals the big side's rows of such a key into as many buckets as the key
+has shares, and repeats only the matching rows of the other side, once a bucket.  Other keys
+join as usual (bucket 0).  AQE's skew-join split stays on as a second line.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, key: str, share: float = 0.01, min_rows: int = 100_000) -> list:
-    """Keys holding more than ``share`` of the rows (and at least ``min_rows``)."""
+def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> dict:
+    """Keys that hold more than ``share`` of the rows, each with its number of buckets: its rows
+    in units of ``share``."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = df.count()
-    if total <= min_rows:  # no key can reach the floor: skip the grouping job
-        return []
-    limit = max(int(total * share), min_rows)
-    rows = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") > limit).select(key)
-              .limit(int(1 / share) + 1).collect())
-    return [r[0] for r in rows]
+    rows = counts.where(F.col("_n") > share * total).collect()
+    return {r[0]: ceil(r["_n"] / (share * total)) for r in rows}
 
 
 def salted_join(small: DataFrame, small_key: str, big: DataFrame, big_key: str,
-                hot: list, salts: int, spread_by: str | Column, how: str = "inner") -> DataFrame:
+                hot: dict, spread_by: str | Column, how: str = "inner") -> DataFrame:
     """``small ⋈ big`` on ``small_key = big_key`` with hot keys split into buckets.
 
     ``spread_by`` is a big-side column that varies within a hot key (e.g. the child
     id); its hash picks the bucket.  The result has the columns of both sides plus
     nothing else.
     """
-    if not hot or salts <= 1:
+    if not hot:
         return small.join(big, small[small_key] == big[big_key], how)
-    is_hot_big = big[big_key].isin(hot)
+    buckets = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
     spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
-    b = big.withColumn("_salt", F.when(is_hot_big, F.pmod(F.hash(spread), F.lit(salts)))
-                       .otherwise(F.lit(0)))
-    s = small.withColumn("_salt", F.explode(
-        F.when(small[small_key].isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
-         .otherwise(F.array(F.lit(0)))))
+
+    def of(key: Column) -> Column:
+        return F.coalesce(buckets[key], F.lit(1))
+    b = big.withColumn("_salt", F.pmod(F.hash(spread), of(big[big_key])))
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), of(small[small_key]) - 1)))
     j = s.join(b, (s[small_key] == b[big_key]) & (s["_salt"] == b["_salt"]), how)
     return j.drop(s["_salt"]).drop(b["_salt"])

@@ -151,4 +151,51 @@ def hierarchy_closure_size(t: Tables) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_pairs")))
 
 
+def graph_edges(t: Tables) -> DataFrame:
+    """Edges with several parents a child, missing levels and a cycle: region -> nation -> supplier ->
+    order, part -> order, and the nation with key 0 back to its region."""
+    def edge(parent, child, level):
+        return [parent.alias("parent_id"), child.alias("child_id"), level.cast("int").alias("child_level")]
+
+    def node(col, tag):
+        return F.col(col).cast("bigint") * 8 + tag
+    nation = t.nation.select(*edge(node("n_regionkey", 0), node("n_nationkey", 1), F.lit(1)))
+    back = t.nation.where("n_nationkey = 0").select(*edge(node("n_nationkey", 1), node("n_regionkey", 0), F.lit(None)))
+    supplier = t.supplier.select(*edge(node("s_nationkey", 1), node("s_suppkey", 2),
+                                       F.when(F.col("s_suppkey") % 3 > 0, 2)))
+    lines = t.lineitem.select("l_orderkey", "l_suppkey", "l_partkey")
+    level = F.when(F.col("l_orderkey") % 5 > 0, 3)
+    return (nation.union(back).union(supplier)
+            .union(lines.select(*edge(node("l_suppkey", 2), node("l_orderkey", 4), level)))
+            .union(lines.select(*edge(node("l_partkey", 3), node("l_orderkey", 4), level))))
+
+
+@query("hierarchy_graph_counts", """
+WITH RECURSIVE edges(p, c, l) AS (
+    SELECT CAST(n_regionkey AS BIGINT) * 8, CAST(n_nationkey AS BIGINT) * 8 + 1, 1 FROM nation
+    UNION SELECT CAST(n_nationkey AS BIGINT) * 8 + 1, CAST(n_regionkey AS BIGINT) * 8, NULL FROM nation WHERE n_nationkey = 0
+    UNION SELECT CAST(s_nationkey AS BIGINT) * 8 + 1, CAST(s_suppkey AS BIGINT) * 8 + 2,
+                 CASE WHEN s_suppkey % 3 > 0 THEN 2 END FROM supplier
+    UNION SELECT CAST(l_suppkey AS BIGINT) * 8 + 2, CAST(l_orderkey AS BIGINT) * 8 + 4,
+                 CASE WHEN l_orderkey % 5 > 0 THEN 3 END FROM lineitem
+    UNION SELECT CAST(l_partkey AS BIGINT) * 8 + 3, CAST(l_orderkey AS BIGINT) * 8 + 4,
+                 CASE WHEN l_orderkey % 5 > 0 THEN 3 END FROM lineitem),
+clo(a, d, l) AS (
+    SELECT p, c, l FROM edges
+    UNION SELECT clo.a, e.c, e.l FROM clo JOIN edges e ON clo.d = e.p)
+SELECT a AS ancestor_id, CAST(COUNT(*) AS BIGINT) AS n_pairs,
+       CAST(COUNT(CASE WHEN l IS NULL THEN 1 END) AS BIGINT) AS n_no_level,
+       CAST(COUNT(CASE WHEN l = 2 THEN 1 END) AS BIGINT) AS n_level_2,
+       CAST(COUNT(CASE WHEN l = 3 THEN 1 END) AS BIGINT) AS n_level_3
+FROM clo GROUP BY a""")
+def hierarchy_graph_counts(t: Tables) -> DataFrame:
+    """The closure of a graph with several parents, null levels and a cycle."""
+    def count(test):
+        return F.coalesce(F.sum(F.when(test, 1)), F.lit(0)).cast("bigint")
+    level = F.col("descendant_level")
+    return transitive_closure(graph_edges(t)).groupBy("ancestor_id").agg(
+        F.count(F.lit(1)).alias("n_pairs"), count(level.isNull()).alias("n_no_level"),
+        count(level == 2).alias("n_level_2"), count(level == 3).alias("n_level_3"))
+
+
 __all__ = ["entities", "tree_edges", "geo_details", "descendant_counts"]

@@ -180,22 +180,44 @@ def test_classify_first_match_wins(spark):
 
 
 def test_closure_with_salted_hot_parents(spark):
-    # one root owning most children, a second-level hub, and a cycle; force the salt path
+    # one root owning most children, a second-level hub, and a cycle; every parent is hot
     edges = {(0, c, 1) for c in range(1, 60)} | {(1, c, 2) for c in range(60, 90)} | \
             {(60, 0, 3), (89, 1, 3)}
     df = spark.createDataFrame(sorted(edges), "parent_id long, child_id long, child_level int")
-    got = {tuple(r) for r in transitive_closure(df, skew_share=0.2, skew_min_rows=1,
-                                                salts=7).collect()}
+    got = {tuple(r) for r in transitive_closure(df, skew_share=0.02).collect()}
     assert got == brute_closure(edges)
 
 
+def test_closure_with_null_levels_and_several_parents(spark):
+    edges = [(1, 2, 1), (1, 3, 1), (2, 4, None), (3, 4, None), (1, 4, None), (4, 5, None), (5, 4, None)]
+    df = spark.createDataFrame(edges, "parent_id long, child_id long, child_level int")
+    got = [tuple(r) for r in transitive_closure(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_closure(edges)
+
+
+def test_closure_rounds_leave_leaves_alone(spark, monkeypatch):
+    from strata.operators import hierarchy
+    edges = [(0, 1, 1), (1, 2, 2)] + [(2, c, 3) for c in range(100, 400)]
+    df = spark.createDataFrame(edges, "parent_id long, child_id long, child_level int")
+    sizes, plain = [], hierarchy.checkpoint
+
+    def counted(frame, cache=True):
+        out = plain(frame, cache=cache)
+        sizes.append(out.count())
+        return out
+    monkeypatch.setattr(hierarchy, "checkpoint", counted)
+    assert hierarchy.transitive_closure(df).count() == len(brute_closure(edges))
+    assert sizes[0] == len(edges) and max(sizes[1:]) <= 2
+
+
 def test_hot_keys_and_salted_join(spark):
     from strata.operators.skew import hot_keys, salted_join
     big = spark.createDataFrame([(1, i) for i in range(100)] + [(2, 1000), (3, 1001)],
                                 "k long, v long")
-    assert hot_keys(big, "k", share=0.5, min_rows=1) == [1]
+    assert hot_keys(big, "k", share=0.5) == {1: 2}
+    assert hot_keys(big.limit(0), "k") == {}
     small = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d")], "sk long, tag string")
-    j = salted_join(small, "sk", big, "k", [1], 5, "v")
+    j = salted_join(small, "sk", big, "k", {1: 5}, "v")
     assert j.count() == 101 and sorted(j.columns) == ["k", "sk", "tag", "v"]
 
 
