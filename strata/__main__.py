@@ -1,6 +1,6 @@
 """Command line: ``python -m strata refresh IN OUT --as-of YYYY-MM-DD`` runs the full
-refresh (H14); ``python -m strata question q1_top_authorities OUT`` shows one of the
-analytic questions over the gold tables.  On a cluster submit it with spark-submit,
+refresh (H14); ``python -m strata question q1_top_authorities OUT ANSWER`` writes the answer of one of
+the analytic questions over the gold tables.  On a cluster submit it with spark-submit,
 which supplies the master and ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ def main(argv=None) -> None:
     q = sub.add_parser("question", help="one analytic question over the gold tables")
     q.add_argument("name", choices=sorted(questions.ALL))
     q.add_argument("out_dir")
-    q.add_argument("--limit", type=int, default=50, help="rows to print")
+    q.add_argument("answer", help="folder that gets the whole answer (CSV with a header)")
     args = ap.parse_args(argv)
     spark = get_session()
     if args.cmd == "refresh":
@@ -34,7 +34,7 @@ def main(argv=None) -> None:
         print(json.dumps({"merge": res["merge"], "gold": sorted(res["gold"])}))
     else:
         gold = refresh.gold_tables(spark, args.out_dir)
-        questions.ALL[args.name](gold).show(args.limit, truncate=False)
+        questions.ALL[args.name](gold).write.mode("overwrite").option("header", True).csv(args.answer)
 
 
 if __name__ == "__main__":

@@ -10,7 +10,6 @@ pandas UDF that leaves strings without ``&`` untouched.
 from __future__ import annotations
 
 import html
-import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -41,10 +40,10 @@ def strip_tags(c) -> Column:
 
 
 def normalize_spaces(c) -> Column:
-    """Drop blanks before ``.,!?;:``, collapse blank runs, strip both ends."""
-    x = F.regexp_replace(_c(c), rf"(?U){_WS}+([.,!?;:])", "$1")
-    x = F.regexp_replace(x, rf"(?U){_WS}+", " ")
-    return F.regexp_replace(x, rf"(?U)^{_WS}+|{_WS}+$", "")
+    """Collapse blank runs, drop the blank before ``.,!?;:``, strip both ends."""
+    x = F.regexp_replace(_c(c), rf"(?U){_WS}+", " ")
+    x = F.regexp_replace(x, r" ([.,!?;:])", "$1")
+    return F.trim(x)
 
 
 # Entities decoded in the JVM; "&amp;" goes last so decoding stays single-pass
@@ -92,18 +91,11 @@ def extract_tags(c, terms: Sequence[str], default: str) -> Column:
 
     No hit, null or empty text -> ``default``.
     """
-    text = _c(c)
-    hits = F.array_join(F.array(*[F.when(text.rlike(keyword_pattern(t)), F.lit(t))
-                                  for t in terms]), ", ")
-    return F.when(text.isNull() | (text == "") | (hits == ""), F.lit(default)).otherwise(hits)
-
-
-def extract_tags_py(text: str | None, terms: Sequence[str], default: str) -> str:
-    """Plain-Python twin of ``extract_tags`` used by the tests as a brute-force check."""
-    if not text:
-        return default
-    found = [t for t in terms if re.search(rf"\b{re.escape(t)}\b", text, re.IGNORECASE)]
-    return ", ".join(found) if found else default
+    text = F.coalesce(_c(c), F.lit(""))
+    found = F.array(F.array_join(F.array(*[F.when(text.rlike(keyword_pattern(t)), F.lit(t))
+                                           for t in terms]), ", "))
+    # a lambda's argument is computed once; a column that is read twice would run every pattern twice
+    return F.transform(found, lambda tags: F.when(tags == "", F.lit(default)).otherwise(tags))[0]
 
 
 # FIXED VALUES: RFC 822 zone names and their offsets in minutes
@@ -119,9 +111,12 @@ def rfc822_wallclock(c, to_utc: bool = False) -> Column:
     the zone (``+hhmm``/``-hhmm`` or a named RFC 822 zone) is applied:
     -> 2025-12-01 13:30:00.
     """
-    s = F.regexp_replace(F.trim(_c(c)), r"^[A-Za-z]{3},\s*", "")
-    body = F.regexp_extract(s, r"^(\d{1,2}\s+[A-Za-z]{3}\s+\d{4}\s+\d{1,2}:\d{2}(:\d{2})?)", 1)
-    body = F.regexp_replace(body, r"\s+", " ")
+    s = F.regexp_replace(F.trim(_c(c)), r"^[A-Za-z]+,\s*", "")
+    pattern = r"^(\d{1,2})[\s-]+([A-Za-z]{3})[a-z]*[\s-]+(\d{4}|\d{2})\s+(\d{1,2}:\d{2}(?::\d{2})?)"
+    day, month, year, time = (F.regexp_extract(s, pattern, i) for i in range(1, 5))
+    # two digits: 00 to 68 are this century, as POSIX reads them
+    year = F.when(F.length(year) == 2, F.concat(F.when(year <= "68", "20").otherwise("19"), year)).otherwise(year)
+    body = F.concat_ws(" ", day, F.initcap(month), year, time)
     wall = F.coalesce(F.try_to_timestamp(body, F.lit("d MMM yyyy H:mm:ss")),
                       F.try_to_timestamp(body, F.lit("d MMM yyyy H:mm")))
     if not to_utc:

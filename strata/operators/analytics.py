@@ -2,10 +2,9 @@
 
 All of them aggregate first and join afterwards, so every join and every
 "whole-table" reference (latest period, grand total) touches aggregated rows
-only.  A grand total or a max period is one row: it is attached with a
-``crossJoin`` of a broadcast one-row frame - the only broadcasts here, and
-their size is one row by construction.  Grouped aggregates combine map-side,
-which keeps a key that holds a third of the rows cheap.
+only: a grand total or a latest period is a window over the rows of the aggregate, so
+the source is read once.  Grouped aggregates combine map-side, which keeps a key
+that holds a third of the rows cheap.
 """
 
 from __future__ import annotations
@@ -31,26 +30,6 @@ def safe_ratio(num, den, digits: int | None = None) -> Column:
     return F.round(r, digits) if digits is not None else r
 
 
-def attach_scalar(df: DataFrame, scalar: DataFrame) -> DataFrame:
-    """Add the columns of a one-row frame to every row (broadcast, 1 row)."""
-    return df.crossJoin(F.broadcast(scalar.limit(1)))
-
-
-def at_latest(df: DataFrame, period_col: str) -> DataFrame:
-    """Rows whose period equals the maximum period (scalar-subquery predicate)."""
-    mx = df.agg(F.max(period_col).alias("_max_period"))
-    return (attach_scalar(df, mx).filter(F.col(period_col) == F.col("_max_period"))
-            .drop("_max_period"))
-
-
-def trailing(df: DataFrame, period_col: str, months: int = 12) -> DataFrame:
-    """Rows in the last ``months`` months up to the latest period (inclusive)."""
-    mx = df.agg(F.max(period_col).alias("_max_period"))
-    return (attach_scalar(df, mx)
-            .filter(F.col(period_col) > F.add_months(F.col("_max_period"), -months))
-            .drop("_max_period"))
-
-
 def latest_period_rows(per_period: DataFrame, period_col: str) -> DataFrame:
     """E6 on a frame with one row per period: the latest period's row(s).
 
@@ -72,11 +51,9 @@ def trailing_period_rows(per_period: DataFrame, period_col: str, months: int = 1
 
 def share_of_total(agg: DataFrame, value_col: str, out: str = "share",
                    digits: int | None = 4) -> DataFrame:
-    """Each row's value over the sum of all rows (total from a one-row aggregate)."""
-    tot = agg.agg(F.sum(value_col).alias("_total"))
-    return (attach_scalar(agg, tot)
-            .withColumn(out, safe_ratio(F.col(value_col), F.col("_total"), digits))
-            .drop("_total"))
+    """Each row's value over the sum of all rows (one row a group: read once)."""
+    total = F.sum(value_col).over(Window.partitionBy())
+    return agg.withColumn(out, safe_ratio(F.col(value_col), total, digits))
 
 
 def year_over_year(agg: DataFrame, year_col: str, value_col: str,

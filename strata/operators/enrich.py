@@ -4,9 +4,7 @@ Two shapes:
 * a fixed code table written in the code -> ``functions.clean.lookup`` (a literal
   map, evaluated inside the projection, no join at all);
 * a code table that is itself data -> ``lookup_join``: a left join plus
-  ``coalesce`` fallbacks.  It is broadcast only when the caller passes a proven
-  row bound (``max_rows``) and the table is within it; otherwise the join is left
-  to AQE, which switches to a broadcast only after measuring the runtime size.
+  ``coalesce`` fallbacks, left to AQE, which broadcasts only what it has measured.
 """
 
 from __future__ import annotations
@@ -16,15 +14,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 def lookup_join(df: DataFrame, ref: DataFrame, on: Column | str | list,
-                fill: Mapping[str, object] | None = None,
-                max_rows: int | None = None) -> DataFrame:
+                fill: Mapping[str, object] | None = None) -> DataFrame:
     """Left-join ``ref`` and replace misses in ``fill`` columns by a literal or Column."""
-    if max_rows is not None and max_rows <= BROADCAST_ROW_LIMIT:
-        ref = F.broadcast(ref)
     out = df.join(ref, on, "left")
     for c, default in (fill or {}).items():
         d = default if isinstance(default, Column) else F.lit(default)

@@ -90,17 +90,13 @@ def infer_json_schema(spark: SparkSession, df: DataFrame, col: str) -> T.StructT
     ``schema_of_variant_agg(try_parse_json(col))`` is a distributed aggregate that
     merges per-row schemas map-side, so no text leaves the executors; object
     fields come out sorted by name, as with the JSON reader.  Invalid JSON rows
-    count as null.  Should the translated type not parse, Spark's JSON reader
-    infers it instead.
+    count as null.  Give a schema where one is known.
     """
     text = df.select(F.expr(f"schema_of_variant_agg(try_parse_json(`{col}`))")).first()[0]
-    try:
-        dtype = T.DataType.fromDDL(_variant_schema_to_ddl(text))
-        if isinstance(dtype, T.StructType):
-            return dtype
-    except Exception:  # noqa: BLE001 - fall back to the reader's own inference
-        pass
-    return spark.read.json(df.select(F.col(col).cast("string")).rdd.map(lambda r: r[0])).schema
+    dtype = T.DataType.fromDDL(_variant_schema_to_ddl(text))
+    if not isinstance(dtype, T.StructType):
+        raise ValueError(f"column {col} holds no JSON objects but {text}")
+    return dtype
 
 
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType | None = None,
@@ -118,57 +114,51 @@ def union_heterogeneous(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-MAX_DISCOVERED_FIELDS = 1000  # keys become columns: a schema-sized set, never data-sized
-
-
 def unpivot_panel(items: DataFrame, item_col: str = "item",
                   fields: Sequence[str] | None = None,
                   indicator: str = "indicador", position: str = "indice",
                   value: str = "valor", keep: Sequence[str] = ()) -> DataFrame:
     """B2: one-key items -> long rows (see module doc).
 
-    ``fields`` are the keys that object elements may carry; when None they are
-    discovered with one distributed ``distinct`` over the element keys.
+    A value is a list or an object by its JSON type: a string that looks like one stays a
+    string.  ``fields`` are the keys that object elements may carry; when None they are
+    discovered with one distributed ``distinct`` over the element keys.  A damaged item raises.
     Every output column is a string except ``position`` (bigint).
     """
-    m = F.from_json(F.col(item_col), "map<string,string>")
-    first = F.element_at(F.map_entries(m), 1)
     keep = list(keep)
-    base = (items.select(first.alias("_kv"), *keep)
-                 .filter(F.col("_kv").isNotNull())
-                 .select(F.col("_kv.key").alias("_ind"), F.col("_kv.value").alias("_val"),
-                         *keep))
-    arr = F.when(F.ltrim(F.col("_val")).startswith("["),
-                 F.from_json(F.col("_val"), "array<string>"))
-    # scalars explode a one-null placeholder (one row); an empty list gives no row
-    one = F.array(F.lit(None).cast("string"))
-    exploded = base.select("_ind", "_val", arr.alias("_arr"), *keep).select(
-        "_ind", "_val", "_arr", *keep,
-        F.posexplode(F.coalesce(F.col("_arr"), one)).alias("_pos", "_elem"))
-    is_obj = F.ltrim(F.col("_elem")).startswith("{")
-    obj = F.when(is_obj, F.from_json(F.col("_elem"), "map<string,string>"))
-    rows = exploded.select("_ind", "_val", "_arr", "_pos", "_elem", obj.alias("_obj"), *keep)
+    raw = F.col(item_col)
+    # the first key in document order, and its value with its JSON type
+    order = F.json_object_keys(raw)
+    damaged = F.raise_error(F.concat(F.lit("not a JSON object: "), raw)).cast("string")
+    first = F.when(raw.isNull(), F.lit(None)).when(order.isNull(), damaged).otherwise(F.get(order, 0))
+    base = items.select(F.try_parse_json(raw).alias("_doc"), first.alias("_ind"), *keep).where("_ind IS NOT NULL")
+    entry = F.try_variant_get("_doc", "$", "map<string,variant>")
+    base = base.select("_ind", F.try_element_at(entry, F.col("_ind")).alias("_v"), *keep)
+    kind = F.schema_of_variant("_v")
+    listed = kind.startswith("ARRAY<")
+    base = base.select("_ind", "_v", listed.alias("_listed"), *keep)
+    elements = F.when(F.col("_listed"), F.try_variant_get("_v", "$", "array<variant>"))
+    # scalars explode themselves (one row); an empty list gives no row
+    exploded = base.select("_ind", "_listed", *keep, F.posexplode(
+        F.coalesce(elements, F.array("_v"))).alias("_pos", "_elem"))
+    is_object = F.col("_listed") & F.schema_of_variant("_elem").startswith("OBJECT<")
+    rows = exploded.select("_ind", "_listed", "_pos", "_elem", *keep, F.when(
+        is_object, F.try_variant_get("_elem", "$", "map<string,variant>")).alias("_obj"))
     if fields is None:
-        found = (rows.select(F.explode(F.map_keys("_obj"))).distinct()
-                 .limit(MAX_DISCOVERED_FIELDS + 1).collect())
-        if len(found) > MAX_DISCOVERED_FIELDS:
-            raise ValueError(f"more than {MAX_DISCOVERED_FIELDS} distinct object keys: "
-                             "pass `fields` explicitly")
-        fields = sorted(r[0] for r in found)
-    listed = F.col("_arr").isNotNull()
+        fields = sorted(r[0] for r in rows.select(F.explode(F.map_keys("_obj"))).distinct().collect())
+
+    def text(v: Column) -> Column:
+        # strings as they are, other scalars and nested values as JSON
+        return F.coalesce(F.try_variant_get(v, "$", "string"), F.nullif(F.to_json(v), F.lit("null")))
 
     def from_obj(name: str, otherwise: Column) -> Column:
         return F.when(F.col("_obj").isNotNull() & F.map_contains_key("_obj", name),
-                      F.col("_obj")[name]).otherwise(otherwise)
+                      text(F.col("_obj")[name])).otherwise(otherwise)
 
     out = [from_obj(indicator, F.col("_ind")).alias(indicator),
-           from_obj(position, F.when(listed, F.col("_pos").cast("string")))
-           .try_cast("bigint").alias(position)]
-    scalar_value = F.when(listed, F.when(F.col("_obj").isNull(), F.col("_elem"))) \
-        .otherwise(F.col("_val"))
-    out.append(from_obj(value, scalar_value).alias(value))
-    for f in fields:
-        if f in (indicator, position, value):
-            continue
-        out.append(from_obj(f, F.lit(None).cast("string")).alias(f))
+           from_obj(position, F.when(F.col("_listed"), F.col("_pos").cast("string")))
+           .try_cast("bigint").alias(position),
+           from_obj(value, F.when(F.col("_obj").isNull(), text(F.col("_elem")))).alias(value)]
+    out += [from_obj(f, F.lit(None).cast("string")).alias(f) for f in fields
+            if f not in (indicator, position, value)]
     return rows.select(*out, *keep)

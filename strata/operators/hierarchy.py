@@ -25,51 +25,42 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.keys import dedup_by_key
 from strata.operators.skew import hot_keys, salted_join
 from strata.session import checkpoint
 
 
 def parent_columns(df: DataFrame, prefix: str, suffix: str = "") -> list[str]:
-    """Discover the dynamic parent-id columns of a flattened table by name."""
-    return [c for c in df.columns if c.startswith(prefix) and c.endswith(suffix)]
-
-
-def edges_from_parent_columns(df: DataFrame, child: str | Column,
-                              parent_cols: Sequence[str],
-                              level: str | Column | None = None,
-                              key_type: str = "bigint") -> DataFrame:
-    """H8: one edge row per (child, non-null parent); rows without parents vanish.
-
-    ``parent_cols`` are the flattened ``ids_pai_{i}_id``-style columns; they are put
-    in an array, cast, null-filtered and exploded.  Duplicated (child, parent) pairs
-    are removed (F4 on the edge key).
-    """
-    child_c = F.col(child) if isinstance(child, str) else child
-    if parent_cols:
-        parents = F.array(*[F.col(c).try_cast(key_type) for c in parent_cols])
-    else:
-        parents = F.array().cast(f"array<{key_type}>")
-    level_c = (F.col(level) if isinstance(level, str) else level) if level is not None \
-        else F.lit(None)
-    out = (df.filter(child_c.isNotNull())
-             .select(F.explode(F.filter(parents, lambda x: x.isNotNull())).alias("parent_id"),
-                     child_c.cast(key_type).alias("child_id"),
-                     level_c.cast("int").alias("child_level")))
-    return dedup_by_key(out, ["child_id", "parent_id"])
-
-
-def edges_from_parent_array(df: DataFrame, child: str, parents_array: str,
-                            field: str = "id", level: str | None = None,
-                            key_type: str = "bigint") -> DataFrame:
-    """H8 straight from nested JSON: ``explode(transform(parents, p -> p.id))``."""
-    ids = F.transform(F.col(parents_array), lambda p: p[field].try_cast(key_type))
-    level_c = F.col(level) if level else F.lit(None)
-    return (df.filter(F.col(child).isNotNull())
-              .select(F.explode(F.filter(ids, lambda x: x.isNotNull())).alias("parent_id"),
-                      F.col(child).cast(key_type).alias("child_id"),
-                      level_c.cast("int").alias("child_level"))
-              .transform(lambda d: dedup_by_key(d, ["child_id", "parent_id"])))
+    """Columns of a flattened table that hold parent ids, by their name's two ends."""
+    return [name for name in df.columns if name.startswith(prefix) and name.endswith(suffix)]
+
+
+def _edges(rows: DataFrame) -> DataFrame:
+    """One row a (child, parent) with the lowest level given for it: sums of fixed width, reduced before the
+    shuffle."""
+    known = rows.where("parent_id IS NOT NULL AND child_id IS NOT NULL")
+    return known.groupBy("parent_id", "child_id").agg(F.min("child_level").alias("child_level"))
+
+
+def edges_from_parent_columns(df: DataFrame, child: str | Column, parent_cols: Sequence[str],
+                              level: str | Column | None = None, key_type: str = "bigint") -> DataFrame:
+    """H8 from parent-id columns: they are unpivoted to rows; rows without a parent vanish."""
+    ids = df.select((F.col(child) if isinstance(child, str) else child).cast(key_type).alias("child_id"),
+                    (F.col(level) if isinstance(level, str) else F.lit(None) if level is None else level)
+                    .cast("int").alias("child_level"),
+                    *[F.col(c).try_cast(key_type).alias(f"parent_{i}") for i, c in enumerate(parent_cols)])
+    if not parent_cols:
+        return _edges(ids.withColumn("parent_id", F.lit(None).cast(key_type))).limit(0)
+    wide = [f"parent_{i}" for i in range(len(parent_cols))]
+    return _edges(ids.unpivot(["child_id", "child_level"], wide, "slot", "parent_id"))
+
+
+def edges_from_parent_array(df: DataFrame, child: str, parents_array: str, field: str = "id",
+                            level: str | None = None, key_type: str = "bigint") -> DataFrame:
+    """H8 straight from the nested list, without a column a position."""
+    rows = df.select(F.col(child).cast(key_type).alias("child_id"),
+                     (F.col(level) if level else F.lit(None)).cast("int").alias("child_level"),
+                     F.explode(F.col(parents_array)).alias("parent"))
+    return _edges(rows.withColumn("parent_id", F.col("parent")[field].try_cast(key_type)))
 
 
 def transitive_closure(edges: DataFrame, parent: str = "parent_id", child: str = "child_id",

@@ -13,16 +13,15 @@ The value-change condition of H2 is ``t.v <> s.v OR t.v IS NULL``: a null source
 value never clears an old one, and null/null still counts as an update (its
 timestamp is touched).
 
-Scale: the join shuffles both sides on the key once (sort-merge, or a broadcast
-of the batch when AQE measures it small).  Snapshots are written to a new table
-name and swapped in, never overwritten while being read.
+Scale: the join shuffles both sides on the key once (a full outer join is always a
+sort-merge join).  Snapshots are written to a new folder, never overwritten while being read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.keys import assert_unique, dedup_by_key
@@ -96,36 +95,3 @@ def merge_counts(merged: DataFrame, action_col: str = "_action") -> dict[str, in
     res = {UPDATE: 0, KEEP: 0, INSERT: 0, RETAIN: 0}
     res.update({r[0]: r[1] for r in rows})
     return res
-
-
-def merge_into_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str],
-                     schema_ddl: str | None = None, partition_by: Sequence[str] | None = None,
-                     **merge_kwargs) -> dict[str, int]:
-    """Create-if-absent (A10) + merge + snapshot swap for a catalog table.
-
-    The merged snapshot is written under a new name and swapped in by rename, so the
-    table is never overwritten while the merge still reads it.
-    """
-    if not spark.catalog.tableExists(table):
-        if schema_ddl:
-            empty = spark.createDataFrame([], schema_ddl)
-        else:
-            empty = source.limit(0)
-        w = empty.write.mode("overwrite").format("parquet")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.saveAsTable(table)
-    target = spark.table(table)
-    merged = keyed_merge(target, source, keys, **merge_kwargs)
-    staged = f"{table}__next"
-    spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    merged = merged.persist()
-    w = merged.drop("_action").write.mode("overwrite").format("parquet")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.saveAsTable(staged)
-    counts = merge_counts(merged)
-    merged.unpersist()
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
-    return counts

@@ -94,7 +94,7 @@ def distinct_by_region(t: Tables) -> DataFrame:
     return (_cust_geo(t).filter(F.col("c_mktsegment") == "BUILDING")
             .groupBy("n_name", "r_name")
             .agg(F.countDistinct("c_custkey").alias("n_entities"))
-            .orderBy(F.col("n_entities").desc()))
+            .orderBy(F.col("n_entities").desc(), "n_name"))
 
 
 @query("count_in_state", f"""

@@ -10,34 +10,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.flatten import flatten, parse_json_column, unpivot_panel
-from strata.operators.hierarchy import edges_from_parent_columns, parent_columns
+from strata.operators.hierarchy import edges_from_parent_array, edges_from_parent_columns, parent_columns
 from strata.plans.registry import query
 from strata.sources.tables import Tables
 
 
 @query("edges_from_columns", """
-SELECT DISTINCT parent_id, child_id, child_level FROM (
+SELECT parent_id, child_id, MIN(child_level) AS child_level FROM (
   SELECT l_partkey AS parent_id, l_orderkey AS child_id, CAST(l_linenumber AS INTEGER) AS child_level
   FROM lineitem
   UNION ALL
   SELECT l_suppkey, l_orderkey, CAST(l_linenumber AS INTEGER) FROM lineitem
-) WHERE parent_id IS NOT NULL""")
+) WHERE parent_id IS NOT NULL GROUP BY parent_id, child_id""")
 def edges_from_columns(t: Tables) -> DataFrame:
-    """Parent ids found by column name (``l_*key`` except the child key),
-    null-filtered, exploded, one edge per (child, parent).
-
-    ``child_level`` is the line number of the surviving row: the oracle's
-    ``DISTINCT`` keeps all (parent, child, level) triples, so the query keeps the
-    level on the edge key too and no pair is dropped arbitrarily.
-    """
+    """Parent ids found by column name (``l_*key`` except the child key), one edge per
+    (child, parent) with its lowest level."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     cols = [c for c in parent_columns(li, "l_", "key") if c != "l_orderkey"]
-    exploded = li.select(
-        F.explode(F.filter(F.array(*[F.col(c).cast("bigint") for c in cols]),
-                           lambda x: x.isNotNull())).alias("parent_id"),
-        F.col("l_orderkey").alias("child_id"),
-        F.col("l_linenumber").cast("int").alias("child_level"))
-    return exploded.dropDuplicates(["parent_id", "child_id", "child_level"])
+    return edges_from_parent_columns(li, "l_orderkey", cols, level="l_linenumber")
 
 
 @query("edges_distinct_pairs", """
@@ -51,6 +41,21 @@ def edges_distinct_pairs(t: Tables) -> DataFrame:
     return edges_from_parent_columns(li, "l_orderkey", cols).select("parent_id", "child_id")
 
 
+@query("edges_from_lists", """
+SELECT parent_id, child_id, MIN(child_level) AS child_level FROM (
+  SELECT CAST(l_partkey AS BIGINT) AS parent_id, CAST(l_orderkey AS BIGINT) AS child_id,
+         CAST(l_linenumber AS INTEGER) AS child_level FROM lineitem
+  UNION ALL SELECT l_suppkey, l_orderkey, CAST(l_linenumber AS INTEGER) FROM lineitem
+) GROUP BY parent_id, child_id""")
+def edges_from_lists(t: Tables) -> DataFrame:
+    """H8 straight from nested lists of parents, without a column a position."""
+    def parent(c):
+        return F.struct(F.col(c).cast("bigint").alias("id"))
+    docs = t.lineitem.select(F.col("l_orderkey").cast("bigint").alias("id"), F.col("l_linenumber").alias("nivel"),
+                             F.array(parent("l_partkey"), parent("l_suppkey")).alias("ids_pai"))
+    return edges_from_parent_array(docs, "id", "ids_pai", level="nivel")
+
+
 @query("flatten_props", """
 SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events""")
 def flatten_props(t: Tables) -> DataFrame:

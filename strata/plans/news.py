@@ -26,7 +26,7 @@ def ingest(items: DataFrame) -> DataFrame:
     """Feed items (source, category, title, link, pub_date, description) -> rows.
 
     Items with an empty title or link are dropped (C14); within one batch a link
-    seen twice keeps one row (the merge key must be unique).
+    seen twice keeps its newest item (the merge key must be unique).
     """
     title = clean_html(F.col("title"), R.TITLE_MAX)
     summary = clean_html(F.col("description"), R.SUMMARY_MAX)
@@ -41,7 +41,7 @@ def ingest(items: DataFrame) -> DataFrame:
         "DS_TITULO", "DS_RESUMO", "DS_URL_ORIGEM", "DT_PUBLICACAO",
         extract_tags(F.concat_ws(" ", "DS_TITULO", "DS_RESUMO"), R.TAG_TERMS, R.DEFAULT_TAG)
         .alias("DS_TAGS"))
-    return dedup_by_key(rows, ["ID_NOTICIA"])
+    return dedup_by_key(rows, ["ID_NOTICIA"], order_by=["DT_PUBLICACAO"], keep="last")
 
 
 def merge_news(target: DataFrame | None, batch: DataFrame,
@@ -52,24 +52,24 @@ def merge_news(target: DataFrame | None, batch: DataFrame,
     src = batch.withColumn("DT_CARGA_DW", F.current_timestamp())
     return keyed_merge(target, src, ["ID_NOTICIA"],
                        update_cols=["DS_TITULO", "DS_RESUMO", "DS_TAGS", "DT_CARGA_DW"],
-                       duplicates="error")
+                       duplicates="ignore")  # ``ingest`` keeps one row a link
 
 
 def search_news(news: DataFrame, term: str | None, source: str | None = None,
                 limit: int = 10) -> DataFrame:
     """The table function as a DataFrame call."""
     return search(news, term, source, text_cols=["DS_TITULO", "DS_RESUMO"],
-                  source_col="NM_FONTE", order_by=[F.col("DT_PUBLICACAO").desc()],
+                  source_col="NM_FONTE",
+                  order_by=[F.col("DT_PUBLICACAO").desc(), F.col("DS_URL_ORIGEM")],
                   limit=limit).select("NM_FONTE", "DS_TITULO", "DS_RESUMO", "DS_URL_ORIGEM",
                                       "DT_PUBLICACAO")
 
 
 def register_news_search(spark: SparkSession, view: str,
-                         name: str = "fn_consultar_inteligencia_setorial") -> None:
+                         name: str = "fn_consultar_inteligencia_setorial",
+                         temporary: bool = True) -> None:
     """H12 as SQL: ``SELECT * FROM fn(term [, source])`` over a registered view."""
+    columns = dict.fromkeys(["NM_FONTE", "DS_TITULO", "DS_RESUMO", "DS_URL_ORIGEM"], "STRING")
     register_search_function(
-        spark, name, view,
-        "NM_FONTE STRING, DS_TITULO STRING, DS_RESUMO STRING, DS_URL_ORIGEM STRING, "
-        "DT_PUBLICACAO TIMESTAMP",
-        title="DS_TITULO", summary="DS_RESUMO", source="NM_FONTE",
-        order_col="DT_PUBLICACAO", limit=10)
+        spark, name, view, columns | {"DT_PUBLICACAO": "TIMESTAMP"}, ["DS_TITULO", "DS_RESUMO"],
+        "NM_FONTE", "DT_PUBLICACAO DESC, DS_URL_ORIGEM", limit=10, temporary=temporary)

@@ -99,6 +99,33 @@ LABEL_YEARS_BACK = {
     "estComparativo AR credenciamento com o ANO PASSADO": 1,
 }
 
+# --- FIXED VALUES: labels whose value stands for a whole year: years before the as_of year ---
+YEAR_LABELS = {
+    "cerDistribuicao Mapa ANO ATUAL": 0,
+    "estVisao Geral Mapa ANO ATUAL": 0,
+    "cerVisao Geral Ativos (nao expirados, nao revogados)": 0,
+    "cerVisao Geral Emitidos": 0,
+    "cerVisao Geral Total de emissoes em relacao ao ano anterior PERCENTUAL": 0,
+    "cerVisao Geral Projecao para ANO ATUAL": 0,
+    "estVisao Geral Agentes de Registro ACUMULADO": 0,
+    "estVisao Geral AC-1 ACUMULADO": 0,
+    "estVisao Geral AC-2 ACUMULADO": 0,
+    "estVisao Geral Autoridades de Registro ACUMULADO": 0,
+    "estVisao Geral Prestadores de Servico de Suporte ACUMULADO": 0,
+    "estVisao Geral Autoridade de Carimbo do Tempo ACUMULADO": 0,
+    "estVisao Geral Prestadores de Servico de Confianca ACUMULADO": 0,
+    "estVisao Geral Prestadores de Servico Biometrico ACUMULADO": 0,
+    "estComparativo AC-2 com o ANO ATUAL": 0,
+    "estComparativo AR com o ANO ATUAL": 0,
+    "estComparativo AC-2 com o ANO PASSADO PERCENTUAL": 1,
+    "estComparativo AR com o ANO PASSADO PERCENTUAL": 1,
+}
+# FIXED VALUES: flags of the yearly series; their index 0 to 5 counts up to the as_of year
+HISTORY_FLAGS = ["cerHISTORICO_ANUAL_EMISSAO_ATIVOS", "cerHISTORICO_ANUAL_EMISSAO_EMITIDOS"]
+HISTORY_LAST_INDEX = 5
+# FIXED VALUES: first three letters of a flag -> part of the indicator table
+FLAG_PARTS = {"cer": "CTE_CER", "reg": "CTE_REG", "inf": "CTE_INF", "dis": "CTE_DIS"}
+
 # Month of a 0-based index is index + 1 (rule, not a table); only these flags are monthly.
 MONTHLY_FLAGS = ["cerEMISSAO_CORRENTE", "infCREDENCIAMENTO_AR"]
 
@@ -135,6 +162,34 @@ DEFAULT_TAG = "Setorial"
 TITLE_MAX = 300
 SUMMARY_MAX = 600
 
+# --- FIXED VALUES: labels of the marts ------------------------------------------------
+# by flag
+SERIES_OF_FLAG = {"cerHISTORICO_ANUAL_EMISSAO_ATIVOS": "HISTORICO ATIVOS",
+                  "cerHISTORICO_ANUAL_EMISSAO_EMITIDOS": "HISTORICO EMITIDOS",
+                  "cerEMISSAO_CORRENTE": "MENSAL CORRENTE"}
+METRIC_OF_FLAG = {"regEMISSAO_MENSAL": "EMISSAO MENSAL", "regEMISSAO_ANUAL": "EMISSAO ANUAL",
+                  "regAR_CORRENTE": "TOTAL AR ESTADO"}
+OBJECT_OF_FLAG = {"regAR_CORRENTE": "ENTIDADES"}
+CUT_OF_FLAG = {"disTIPO": "TIPO CERTIFICADO", "disCERTIFICADOS_TIPO": "TIPO CERTIFICADO",
+               "disUSO": "TIPO USO", "disCERTIFICADOS_ASSINATURA": "TIPO TITULAR"}
+VALUE_OF_FLAG = {"infHEADER_COMPARATIVO_AC2_REL_ANTERIOR": "PERCENTUAL",
+                 "infHEADER_COMPARATIVO_AR_REL_ANTERIOR": "PERCENTUAL",
+                 "infHEADER_TOTAL_REL_ANTERIOR": "PERCENTUAL"}
+# by a part of the flag, the first that matches
+GRAIN_BY_PART = [("HISTORICO", "ANUAL")]
+KPI_BY_PART = [("AC1", "AUTORIDADE CERTIFICADORA 1"), ("AC2", "AUTORIDADE CERTIFICADORA 2"),
+               ("ACT", "AUTORIDADE CARIMBO TEMPO"), ("AGENTE_REGISTRO", "AGENTE REGISTRO"),
+               ("AUT_REG", "AUTORIDADE REGISTRO"), ("AR", "AUTORIDADE REGISTRO"),
+               ("PSB", "SERVICO BIOMETRICO"), ("PSC", "SERVICO CONFIANCA"), ("PSS", "SERVICO SUPORTE"),
+               ("ATIVOS", "CERTIFICADOS ATIVOS"), ("EMITIDOS", "CERTIFICADOS EMITIDOS"),
+               ("TOTAL_REL", "CERTIFICADOS EMITIDOS"), ("PROJECAO", "PROJECAO ANO ATUAL")]
+KIND_BY_PART = [("REL_ANTERIOR", "COMPARATIVO PERCENTUAL"), ("COMPARATIVO", "COMPARATIVO ABSOLUTO"),
+                ("PROJECAO", "PROJECAO")]
+# holder by a part of the use (with accents) or of the user type (without), the first that matches
+HOLDER_BY_PART = [("Físic", "Fisic", "PESSOA FISICA"), ("Jurídic", "Juridic", "PESSOA JURIDICA"),
+                  ("Equipamento", "Equipamento", "EQUIPAMENTO/APLICACAO")]
+HOLDER_UNKNOWN = "APLICACAO"
+
 # --- FIXED VALUES: documented column domains (re-aimed as checks) ---------------------
 ENTITY_TYPES = ["AR", "AC 1º NÍVEL", "AC 2º NÍVEL", "AC RAIZ"]
 STATUSES = [ACCREDITED, IN_ACCREDITATION]

@@ -16,9 +16,7 @@ changes no business value (merges are idempotent; overwrites are whole).
 from __future__ import annotations
 
 import datetime as dt
-import glob
 import logging
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,14 +47,14 @@ def raw_to_bronze(spark: SparkSession, in_dir: str, out_dir: str) -> dict[str, s
     ent = read_entity_document(spark, _p(in_dir, "entidades*.json"), lineage=True)
     write_table(ent, _p(out_dir, "bronze", "entidades"))
     written["entidades"] = _p(out_dir, "bronze", "entidades")
-    num = read_panel(spark, _p(in_dir, "numeros*.json"), fields=None, lineage=True)
+    num = read_panel(spark, _p(in_dir, "numeros*.json"), fields=I.PANEL_FIELDS, lineage=True)
     write_table(num, _p(out_dir, "bronze", "numeros"))
     written["numeros"] = _p(out_dir, "bronze", "numeros")
-    feeds = []
-    for name, category in R.NEWS_SOURCES:
-        path = _p(in_dir, "feeds", f"{name}.xml")
-        if _exists(spark, path):
-            feeds.append((path, name, category))
+    category = dict(R.NEWS_SOURCES)
+    landed = _files(spark, _p(in_dir, "feeds"), ".xml")
+    if unknown := sorted(set(landed) - set(category)):
+        raise ValueError(f"feeds of unknown sources: {', '.join(unknown)}")
+    feeds = [(landed[name], name, category[name]) for name in category if name in landed]
     items = read_feeds(spark, feeds) if feeds else None
     if items is not None:
         write_table(items, _p(out_dir, "bronze", "noticias"))
@@ -104,8 +102,10 @@ def silver_numbers(spark: SparkSession, out_dir: str) -> DataFrame:
     return df
 
 
-def silver_to_gold(spark: SparkSession, out_dir: str) -> dict[str, str]:
-    """Silver -> gold star schema and the merged news table."""
+def silver_to_gold(spark: SparkSession, out_dir: str, news: bool = True) -> dict[str, str]:
+    """Silver -> gold star schema and the merged news table.
+
+    ``news=False`` leaves the news table alone: the bronze batch has been merged by an earlier run."""
     ent = spark.read.parquet(_p(out_dir, "silver", "tbl_entidades"))
     adr = spark.read.parquet(_p(out_dir, "silver", "tbl_enderecos"))
     edg = spark.read.parquet(_p(out_dir, "silver", "tbl_hierarquia"))
@@ -123,7 +123,7 @@ def silver_to_gold(spark: SparkSession, out_dir: str) -> dict[str, str]:
                     cluster_by=G.cluster_keys(name))
         out[name] = _p(out_dir, "gold", name)
     bronze_news = _p(out_dir, "bronze", "noticias")
-    if _exists(spark, bronze_news):
+    if news and _exists(spark, bronze_news):
         batch = N.ingest(spark.read.parquet(bronze_news))
         base = _p(out_dir, "gold", "dim_inteligencia_mercado")
         merged = N.merge_news(_current(spark, base), batch, spark)
@@ -139,6 +139,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _files(spark: SparkSession, folder: str, ending: str) -> dict[str, str]:
+    """Names without their ending, and paths, of the files of a folder."""
+    if not _exists(spark, folder):
+        return {}
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    paths = [f.getPath() for f in found]
+    return {x.getName().removesuffix(ending): f"{folder}/{x.getName()}" for x in paths if x.getName().endswith(ending)}
+
+
 def gold_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     """The gold tables as DataFrames (news: latest snapshot, bookkeeping dropped)."""
     names = ["dim_entidade", "dim_hierarquia", "fato_metricas_entidades", *MARTS]
@@ -155,7 +165,7 @@ def refresh(spark: SparkSession, in_dir: str, out_dir: str, as_of: dt.date,
     bronze = raw_to_bronze(spark, in_dir, out_dir)
     merge = bronze_to_silver(spark, out_dir, as_of, strict, duplicates)
     rej = rejects(spark, out_dir)
-    gold = silver_to_gold(spark, out_dir)
+    gold = silver_to_gold(spark, out_dir, news="noticias" in bronze)
     log.info("refresh done: bronze=%s merge=%s rejects=%s gold=%s", bronze, merge, rej,
              sorted(gold))
     return {"bronze": bronze, "merge": merge, "rejects": rej, "gold": gold}
@@ -166,7 +176,3 @@ def rejects(spark: SparkSession, out_dir: str) -> dict[str, dict[str, int]]:
     return {"entidades": S.rejects(spark.read.parquet(_p(out_dir, "bronze", "entidades"))),
             "numeros": I.rejects(spark.read.parquet(_p(out_dir, "bronze", "numeros")))}
 
-
-def landed_files(in_dir: str) -> list[str]:
-    """Local helper for tests and examples: the landed files of a run."""
-    return sorted(glob.glob(os.path.join(in_dir, "**", "*"), recursive=True))

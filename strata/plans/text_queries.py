@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.text import clean_html, extract_tags, url_id
+from strata.functions.text import clean_html, extract_tags, rfc822_wallclock, url_id
+from strata.operators.flatten import union_heterogeneous
 from strata.operators.merge import keyed_merge, value_changed
 from strata.operators.search import search
+from strata.plans.news import ingest
 from strata.plans.registry import query
 from strata.sources.tables import Tables
 
@@ -50,12 +52,12 @@ def _duck_tags(x: str) -> str:
 
 
 def _title(html_col: str, tag: str = "title"):
-    return F.regexp_extract(F.col(html_col), rf"<{tag}>(.*?)</{tag}>", 1)
+    return F.regexp_extract(F.col(html_col), rf"(?s)<{tag}>(.*?)</{tag}>", 1)
 
 
 @query("page_clean", f"""
 SELECT page_id, md5(url) AS news_id,
-       {_duck_clean("regexp_extract(html, '<title>(.*?)</title>', 1)", 300)} AS title,
+       {_duck_clean("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)", 300)} AS title,
        {_duck_clean("html", 600)} AS summary
 FROM pages""")
 def page_clean(t: Tables) -> DataFrame:
@@ -142,7 +144,7 @@ def _news_frames(t: Tables):
     norm = F.regexp_replace("url", r"[?#].*$", "")
     src = p.select(F.col("page_id"), url_id(norm).alias("news_id"), norm.alias("url"),
                    clean_html(_title("html", "h1"), 300).alias("title"),
-                   clean_html(F.col("html"), 300).alias("summary"),
+                   clean_html(F.col("html"), 600).alias("summary"),
                    F.lit(2).alias("batch"))
     return tgt, src
 
@@ -153,12 +155,12 @@ def _with_tags(df: DataFrame) -> DataFrame:
 
 
 _NEWS_T = f"""SELECT md5(url) AS news_id, url,
-    {_duck_clean("regexp_extract(html, '<title>(.*?)</title>', 1)", 300)} AS title,
+    {_duck_clean("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)", 300)} AS title,
     {_duck_clean("html", 600)} AS summary, 1 AS batch FROM pages"""
 _NEWS_S = f"""SELECT page_id, md5(regexp_replace(url, '[?#].*$', '')) AS news_id,
     regexp_replace(url, '[?#].*$', '') AS url,
-    {_duck_clean("regexp_extract(html, '<h1>(.*?)</h1>', 1)", 300)} AS title,
-    {_duck_clean("html", 300)} AS summary, 2 AS batch FROM pages"""
+    {_duck_clean("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)", 300)} AS title,
+    {_duck_clean("html", 600)} AS summary, 2 AS batch FROM pages"""
 
 
 @query("merge_subset", f"""
@@ -202,25 +204,25 @@ def merge_subset(t: Tables) -> DataFrame:
 def _doc_cards(t: Tables, sources) -> DataFrame:
     # the source predicate is applied before the tag regexes run over the full texts
     d = t.documents.filter(F.col("source").isin(*sources))
-    return d.select("doc_id", "source", "n_chars",
+    return d.select("doc_id", "source", "n_chars", "text",
                     F.substring_index("text", "\n", 1).alias("title"),
                     extract_tags(F.col("text"), TEST_TERMS, NO_TAG).alias("tags"))
 
 
-_DUCK_CARDS = f"""SELECT doc_id, source, n_chars, split_part(text, chr(10), 1) AS title,
+_DUCK_CARDS = f"""SELECT doc_id, source, n_chars, text, split_part(text, chr(10), 1) AS title,
     {_duck_tags('text')} AS tags FROM documents"""
 
 
 @query("topic_in_sources", f"""
 WITH c AS ({_DUCK_CARDS})
 SELECT doc_id, source, title, tags FROM c
-WHERE (lower(title) LIKE '%the%' OR lower(tags) LIKE '%that%') AND source IN ('src1', 'src2')
+WHERE (lower(text) LIKE '%the%' OR lower(tags) LIKE '%that%') AND source IN ('src1', 'src2')
 ORDER BY n_chars DESC, doc_id LIMIT 5""")
 def topic_in_sources(t: Tables) -> DataFrame:
-    """Title or tag mentions a topic, two named sources, newest-first top 5
+    """The whole text or a tag mentions a topic, two named sources, newest-first top 5
     (size stands in for recency; the key breaks ties)."""
     c = _doc_cards(t, ["src1", "src2"])
-    hit = F.lower("title").like("%the%") | F.lower("tags").like("%that%")
+    hit = F.lower("text").like("%the%") | F.lower("tags").like("%that%")
     return (c.filter(hit)
              .orderBy(F.col("n_chars").desc(), F.col("doc_id")).limit(5)
              .select("doc_id", "source", "title", "tags"))
@@ -229,12 +231,69 @@ def topic_in_sources(t: Tables) -> DataFrame:
 @query("ilike_in_source", f"""
 WITH c AS ({_DUCK_CARDS})
 SELECT doc_id, title, tags FROM c
-WHERE (title ILIKE '%UND%' OR tags ILIKE '%UND%') AND source = 'src3'
+WHERE (text ILIKE '%UND%' OR tags ILIKE '%UND%') AND source = 'src3'
 ORDER BY n_chars DESC, doc_id LIMIT 10""")
 def ilike_in_source(t: Tables) -> DataFrame:
-    """Q23/C11: case-insensitive title-or-tag search inside one source, top 10."""
+    """Q23/C11: case-insensitive search of the whole text or the tags inside one source, top 10."""
     c = _doc_cards(t, ["src3"])
-    hit = F.col("title").ilike("%UND%") | F.col("tags").ilike("%UND%")
+    hit = F.col("text").ilike("%UND%") | F.col("tags").ilike("%UND%")
     return (c.filter(hit)
              .orderBy(F.col("n_chars").desc(), F.col("doc_id")).limit(10)
              .select("doc_id", "title", "tags"))
+
+
+@query("search_any_term", """
+SELECT doc_id, source, n_chars FROM documents
+WHERE upper(source) LIKE upper('%src1%') ORDER BY n_chars DESC, doc_id LIMIT 10""")
+def search_any_term(t: Tables) -> DataFrame:
+    """A null term drops its condition, the source filter stays."""
+    d = t.documents.select("doc_id", "source", "n_chars", "text")
+    return search(d, None, "src1", text_cols=["text"], source_col="source",
+                  order_by=[F.col("n_chars").desc(), F.col("doc_id")], limit=10) \
+        .select("doc_id", "source", "n_chars")
+
+
+@query("news_ingest", f"""
+WITH items AS (
+  SELECT {_duck_clean("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)", 300)} AS title,
+         {_duck_clean("html", 600)} AS summary, regexp_replace(url, '[?#].*$', '') AS link,
+         TIMESTAMP '2025-01-01 06:30:00' + to_days(CAST(page_id % 300 AS INTEGER)) AS published
+  FROM pages),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY link ORDER BY published DESC, title DESC, summary DESC) AS place
+  FROM items WHERE title <> '' AND link <> '')
+SELECT md5(link) AS news_id, title, link, CAST(published AS VARCHAR) AS published FROM ranked WHERE place = 1""")
+def news_ingest(t: Tables) -> DataFrame:
+    """Pages as feed items; empty titles go, a repeated link keeps its newest item."""
+    day = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("page_id") % 300).cast("int"))
+    text = F.concat(F.date_format(day, "EEE, dd MMM yy"), F.lit(" 06:30:00 -0300"))
+    items = t.pages.select(F.lit("PAGES").alias("source"), F.lit("web").alias("category"),
+                           _title("html").alias("title"), F.regexp_replace("url", r"[?#].*$", "").alias("link"),
+                           text.alias("pub_date"), F.col("html").alias("description"))
+    return ingest(items).select(F.col("ID_NOTICIA").alias("news_id"), F.col("DS_TITULO").alias("title"),
+                                F.col("DS_URL_ORIGEM").alias("link"),
+                                F.col("DT_PUBLICACAO").cast("string").alias("published"))
+
+
+@query("rfc822_dates", """
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) + INTERVAL (o_orderkey % 86400) SECOND AS VARCHAR) AS wall_clock
+FROM orders""")
+def rfc822_dates(t: Tables) -> DataFrame:
+    """Order dates written in the four forms that feeds use, read back."""
+    at = F.timestamp_add("SECOND", (F.col("o_orderkey") % 86400).cast("int"),
+                         F.col("o_orderdate").cast("date").cast("timestamp"))
+    form = F.element_at(F.array(F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss"), F.date_format(at, "d MMM yyyy HH:mm:ss"),
+                                F.date_format(at, "EEEE, dd-MMM-yy HH:mm:ss"), F.date_format(at, "EEE, d MMM yy HH:mm:ss")),
+                        (F.col("o_orderkey") % 4 + 1).cast("int"))
+    return t.orders.select("o_orderkey", rfc822_wallclock(F.concat(form, F.lit(" GMT"))).cast("string").alias("wall_clock"))
+
+
+@query("union_sources", """
+SELECT 'order' AS kind, CAST(o_orderkey AS BIGINT) AS id, CAST(o_totalprice AS DOUBLE) AS price, NULL::VARCHAR AS url FROM orders
+UNION ALL SELECT 'page', CAST(page_id AS BIGINT), NULL, url FROM pages""")
+def union_sources(t: Tables) -> DataFrame:
+    """Records with different keys in one frame; what a record lacks is null."""
+    orders = t.orders.select(F.lit("order").alias("kind"), F.col("o_orderkey").cast("bigint").alias("id"),
+                             F.col("o_totalprice").cast("double").alias("price"))
+    pages = t.pages.select(F.lit("page").alias("kind"), F.col("page_id").cast("bigint").alias("id"), "url")
+    return union_heterogeneous([orders, pages])

@@ -25,10 +25,10 @@ def read_entity_document(spark: SparkSession, path: str, list_key: str = "entida
                          flat: bool = True, lineage: bool = False) -> DataFrame:
     """A1: ``{list_key: [ {...}, ... ]}`` files -> one (flattened) row per element.
 
-    A document without ``list_key`` raises, like the API client it replaces.
+    A damaged document or one without ``list_key`` raises, like the API client it replaces.
     ``lineage`` adds the source file name and load time (A12).
     """
-    raw = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+    raw = (spark.read.option("multiLine", True).option("mode", "FAILFAST")
            .json(path))
     if list_key not in raw.columns:
         raise KeyError(f"document at {path} has no '{list_key}' list")
@@ -40,14 +40,17 @@ def read_entity_document(spark: SparkSession, path: str, list_key: str = "entida
 
 
 def read_panel_items(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
-    """A2: panel file(s) -> one row per item (JSON text in ``item``, file in ``nome_arquivo``)."""
+    """A2: panel file(s) -> one row per item (JSON text in ``item``, file in ``nome_arquivo``).
+
+    A file that isn't a JSON array raises; so does a damaged item when it is unpivoted."""
     if json_lines:
         return (spark.read.text(path)
                 .select(F.trim("value").alias("item"),
                         F.col("_metadata.file_name").alias(FILE_COL))
                 .filter(F.length("item") > 0))
     docs = spark.read.text(path, wholetext=True)
-    arr = F.from_json(F.col("value"), "array<string>")
+    damaged = F.raise_error(F.concat(F.lit("not a JSON array: "), F.col("_metadata.file_path"))).cast("array<string>")
+    arr = F.coalesce(F.from_json(F.col("value"), "array<string>"), damaged)
     return docs.select(F.explode(arr).alias("item"), F.col("_metadata.file_name").alias(FILE_COL))
 
 

@@ -1,4 +1,4 @@
-"""File and table sinks, CSV scan, lineage columns, inline rows.
+"""File and table sinks, CSV scan, inline rows.
 
 Every writer overwrites whole outputs (or writes a new snapshot), so a retried
 task or a rerun of the job leaves the same files; nothing is written through
@@ -38,22 +38,19 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_raw_json(df: DataFrame, path: str) -> None:
-    """JSON lines, UTF-8 kept as is, whole-output overwrite."""
-    df.write.mode("overwrite").option("encoding", "UTF-8").json(path)
+    """JSON lines, UTF-8 kept as is, null fields kept, whole-output overwrite."""
+    df.write.mode("overwrite").option("encoding", "UTF-8").option("ignoreNullFields", False).json(path)
 
 
-def with_lineage(df: DataFrame, file_col: str = "nome_arquivo",
-                 time_col: str = "data_insercao") -> DataFrame:
-    """Source file name (from the scan's ``_metadata``) and load time."""
-    return df.select("*", F.col("_metadata.file_name").alias(file_col),
-                     F.current_timestamp().alias(time_col))
-
-
-def clustered(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Range-partition by the clustering keys and sort inside each file, so
-    parquet min/max statistics let later filters on those keys skip files."""
-    n = partitions or df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return df.repartitionByRange(int(n), *keys).sortWithinPartitions(*keys)
+    parquet min/max statistics let later filters on those keys skip files.
+
+    A hash of the row is the last range key: rows that share a common clustering value spread
+    over several tasks.  The number of partitions is left to AQE."""
+    plain = [c for c, t in df.dtypes if not t.startswith("map") and c not in keys]
+    spread = F.xxhash64(*plain) if plain else F.rand(0)
+    return df.repartitionByRange(*keys, spread).sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] | None = None,

@@ -1,8 +1,9 @@
 """Versioned parquet snapshots for merge-maintained tables.
 
-A merge never overwrites the folder it reads: it writes ``{base}/v{N+1}`` and
-readers take the newest version that has Spark's ``_SUCCESS`` marker, so a
-failed or half-written run is ignored and the previous snapshot stays current.
+A merge never overwrites the folder it reads: it writes ``{base}/v{N+1}`` and, last, a commit
+record in it.  Readers take the newest version with a record (or with the writer's
+``_SUCCESS`` marker), so a failed or half-written run is ignored and the previous
+snapshot stays current.  Versions without any record are an error, not an empty table.
 Listing uses the Hadoop FileSystem of the session, so the same code works on
 HDFS, object stores and local disks.
 """
@@ -13,7 +14,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-_V = re.compile(r"^v(\d{6})$")
+_V = re.compile(r"^v(\d+)$")
+RECORD = "_COMMITTED"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -22,22 +24,25 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def versions(spark: SparkSession, base: str) -> list[int]:
-    """Committed snapshot numbers under ``base`` (ascending)."""
-    fs, p, jvm = _fs(spark, base)
+def _folders(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """Numbers and paths of all version folders, the newest first."""
+    fs, p, _ = _fs(spark, base)
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _V.match(st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+    found = ((_V.match(s.getPath().getName()), s.getPath().toString()) for s in fs.listStatus(p))
+    return sorted(((int(m.group(1)), path) for m, path in found if m), reverse=True)
 
 
 def latest_path(spark: SparkSession, base: str) -> str | None:
-    v = versions(spark, base)
-    return f"{base.rstrip('/')}/v{v[-1]:06d}" if v else None
+    """The newest committed version; None for a table that was never written."""
+    folders = _folders(spark, base)
+    for _, path in folders:
+        fs, _, jvm = _fs(spark, path)
+        if any(fs.exists(jvm.org.apache.hadoop.fs.Path(path, mark)) for mark in (RECORD, "_SUCCESS")):
+            return path
+    if folders:
+        raise RuntimeError(f"{base} holds versions but no commit record: refusing to take it for an empty table")
+    return None
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
@@ -46,12 +51,16 @@ def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def write_next(df: DataFrame, base: str, partition_by=None) -> str:
-    """Write ``df`` as the next snapshot and return its path."""
+    """Write ``df`` as the next snapshot and return its path.
+
+    A number is never used twice: a second writer that took the same one fails."""
     spark = df.sparkSession
-    v = versions(spark, base)
-    path = f"{base.rstrip('/')}/v{(v[-1] + 1 if v else 1):06d}"
-    w = df.write.mode("overwrite").format("parquet")
+    folders = _folders(spark, base)
+    path = f"{base.rstrip('/')}/v{(folders[0][0] + 1 if folders else 1):06d}"
+    w = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
+    fs, _, jvm = _fs(spark, path)
+    fs.create(jvm.org.apache.hadoop.fs.Path(path, RECORD)).close()
     return path

@@ -221,29 +221,11 @@ def test_hot_keys_and_salted_join(spark):
     assert j.count() == 101 and sorted(j.columns) == ["k", "sk", "tag", "v"]
 
 
-def test_merge_into_catalog_table(spark):
-    from strata.operators.merge import merge_into_table
-    spark.sql("DROP TABLE IF EXISTS t_merge_demo")
-    ddl = "k long, v double, t string"
-    first = spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, "b")], ddl)
-    c1 = merge_into_table(spark, "t_merge_demo", first, ["k"], schema_ddl=ddl,
-                          update_cols=["v"], condition=value_changed("v"))
-    assert c1["insert"] == 2
-    second = spark.createDataFrame([(2, 3.0, "x"), (3, 4.0, "c")], ddl)
-    c2 = merge_into_table(spark, "t_merge_demo", second, ["k"], update_cols=["v"],
-                          condition=value_changed("v"))
-    assert (c2["update"], c2["insert"], c2["retain"]) == (1, 1, 1)
-    got = {r["k"]: (r["v"], r["t"]) for r in spark.table("t_merge_demo").collect()}
-    assert got == {1: (1.0, "a"), 2: (3.0, "b"), 3: (4.0, "c")}
-
-
-def test_lookup_join_broadcasts_only_bounded_tables(spark):
+def test_lookup_join_fills_misses(spark):
     from strata.operators.enrich import code_table, lookup_join
     df = spark.createDataFrame([("SP",), ("XX",)], "uf string")
     ref = code_table(spark, {"SP": "SUDESTE"}, "code", "region")
-    out = lookup_join(df, ref, df["uf"] == ref["code"], fill={"region": "NÃO INFORMADO"},
-                      max_rows=1)
-    assert "Broadcast" in out._jdf.queryExecution().executedPlan().toString()
+    out = lookup_join(df, ref, df["uf"] == ref["code"], fill={"region": "NÃO INFORMADO"})
     assert sorted(r["region"] for r in out.collect()) == ["NÃO INFORMADO", "SUDESTE"]
 
 
@@ -256,3 +238,13 @@ def test_flatten_empty_object_and_mixed_list(spark):
     assert not any(c.startswith("o") for c in flat.columns)   # empty object: no column
     assert rows[1]["m"] == '1, {"a":2}' and rows[2]["m"] == "x"  # mixed list: joined text
     assert rows[1]["s"] == "True, None" and rows[2]["s"] is None
+
+
+def test_unpivot_keeps_strings_that_look_like_lists(spark):
+    items = ['{"a": "[1,2]", "x": 1}', '{"b": ["{\\"valor\\": 9}", {"valor": 5, "n": null}]}', '{"c": []}', '{"d": null}', '{}',
+             '{"e": [null, true, 1.5]}', None]
+    df = spark.createDataFrame([(i,) for i in items], "item string")
+    got = sorted((r["indicador"], r["indice"], r["valor"]) for r in unpivot_panel(df, "item").collect() if r["indice"] is not None)
+    assert got == [("b", 0, '{"valor": 9}'), ("b", 1, "5"), ("e", 0, None), ("e", 1, "true"), ("e", 2, "1.5")]
+    rest = [(r["indicador"], r["valor"]) for r in unpivot_panel(df, "item").collect() if r["indice"] is None]
+    assert sorted(rest, key=str) == [("a", "[1,2]"), ("d", None)]

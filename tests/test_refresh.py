@@ -201,3 +201,30 @@ def test_bronze_lineage(spark, run):
     assert {r[0] for r in b.select("nome_arquivo").distinct().collect()} == {"entidades.json"}
     n = spark.read.parquet(os.path.join(run["out"], "bronze", "numeros"))
     assert "data_insercao" in n.columns
+
+
+def test_a_run_without_feeds_leaves_the_news_alone(spark, tmp_path):
+    import shutil
+    first, second, out = (str(tmp_path / n) for n in ("in1", "in2", "out"))
+    FX.write_landing(first)
+    RF.refresh(spark, first, out, AS_OF)
+    before = sorted(map(str, RF.gold_tables(spark, out)["dim_inteligencia_mercado"].collect()))
+    shutil.copytree(first, second, ignore=lambda d, names: [n for n in names if n == "feeds"])
+    RF.refresh(spark, second, out, AS_OF)
+    assert sorted(map(str, RF.gold_tables(spark, out)["dim_inteligencia_mercado"].collect())) == before
+
+
+def test_feeds_of_unknown_sources_raise(spark, tmp_path):
+    FX.write_landing(str(tmp_path / "in"))
+    (tmp_path / "in" / "feeds" / "SOMEONE.xml").write_text("<rss/>")
+    with pytest.raises(ValueError, match="SOMEONE"):
+        RF.raw_to_bronze(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+
+
+def test_repeated_link_keeps_the_newest_item(spark):
+    from strata.plans import news
+    rows = [("ANCD", "c", "Alfa old", "http://x/1", "Mon, 05 May 2025 10:00:00 GMT", "d"),
+            ("ANCD", "c", "Zebra new", "http://x/1", "Tue, 06 May 2025 10:00:00 GMT", "a")]
+    df = spark.createDataFrame(rows, "source string, category string, title string, link string, pub_date string, "
+                                     "description string")
+    assert [r["DS_TITULO"] for r in news.ingest(df).collect()] == ["Zebra new"]

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators.flatten import union_heterogeneous
 from strata.sources import sinks, snapshots
@@ -55,11 +56,60 @@ def test_clustered_write_sorts_within_files(spark, scratch):
     assert spark.read.parquet(path).count() == 1000
 
 
+def test_a_common_clustering_value_spreads_over_tasks(spark):
+    df = spark.range(0, 100_000).selectExpr("IF(id % 20 = 0, 'AC', 'AR') AS k", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # tiny rows would share one task
+    try:
+        sizes = sinks.clustered(df, ["k"]).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert max(r["count"] for r in sizes) < 0.4 * 100_000
+
+
+def test_raw_json_keeps_null_fields(spark, scratch):
+    path = os.path.join(scratch, "raw")
+    sinks.write_raw_json(spark.createDataFrame([(1, None)], "a int, b string"), path)
+    text = "".join(open(os.path.join(path, f)).read() for f in os.listdir(path) if f.endswith(".json"))
+    assert text.strip() == '{"a":1,"b":null}'
+
+
 def test_snapshots_take_latest_committed(spark, scratch):
     base = os.path.join(scratch, "snap")
     assert snapshots.read_latest(spark, base) is None
     snapshots.write_next(spark.range(3), base)
     p2 = snapshots.write_next(spark.range(5), base)
-    os.makedirs(os.path.join(base, "v000099"))  # half-written: no _SUCCESS marker
+    os.makedirs(os.path.join(base, "v1000000"))  # half-written: neither record nor marker
     assert snapshots.latest_path(spark, base).endswith(os.path.basename(p2))
     assert snapshots.read_latest(spark, base).count() == 5
+    assert snapshots.write_next(spark.range(6), base).endswith("v1000001")
+    assert snapshots.read_latest(spark, base).count() == 6
+
+
+def test_snapshot_without_success_marker_is_not_lost(spark, scratch):
+    base = os.path.join(scratch, "snap")
+    path = snapshots.write_next(spark.range(3), base)
+    os.rename(os.path.join(path, "_SUCCESS"), os.path.join(path, "_other"))
+    assert snapshots.read_latest(spark, base).count() == 3
+    os.rename(os.path.join(path, "_COMMITTED"), os.path.join(path, "_gone"))
+    with pytest.raises(RuntimeError):
+        snapshots.read_latest(spark, base)
+
+
+def test_damaged_documents_raise(spark, scratch):
+    from strata.sources.documents import read_entity_document, read_panel, read_panel_items
+    for name, text in (("good.json", '{"entidades": [{"id": 1}, {"id": 2}]}'), ("bad.json", '{"entidades": [{"id": 3')):
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write(text)
+    assert read_entity_document(spark, os.path.join(scratch, "good.json")).count() == 2
+    with pytest.raises(Exception):
+        read_entity_document(spark, os.path.join(scratch, "*.json")).collect()
+    for name, text in (("good.txt", '[{"a": 1}, {"b": "2"}]'), ("bad.txt", '[{"a": 1}, {"b"')):
+        with open(os.path.join(scratch, name), "w") as f:
+            f.write(text)
+    assert read_panel_items(spark, os.path.join(scratch, "good.txt")).count() == 2
+    with pytest.raises(Exception):
+        read_panel_items(spark, os.path.join(scratch, "*.txt")).collect()
+    with open(os.path.join(scratch, "lines.jl"), "w") as f:
+        f.write('{"a": 1}\n{"b": \n')
+    with pytest.raises(Exception):
+        read_panel(spark, os.path.join(scratch, "lines.jl"), json_lines=True).collect()
