@@ -1,21 +1,16 @@
 """Text column functions for feed items.
 
-The regex chain runs in the JVM.  Java's ``\\s`` is ASCII only, so the patterns
-use ``(?U)`` (Unicode classes) plus the four information separators that
-Python's ``str.isspace`` also treats as blank.  Only the HTML-entity step needs
-Python's ``html.unescape`` (the full HTML5 entity table); it is an Arrow-batched
-pandas UDF that leaves strings without ``&`` untouched.
+Everything runs in the JVM.  Java's ``\\s`` is ASCII only, so the patterns use ``(?U)`` (Unicode
+classes) plus the four information separators that Python's ``str.isspace`` also treats as blank.
 """
 
 from __future__ import annotations
 
-import html
 from collections.abc import Sequence
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _WS = r"[\s\x{1c}-\x{1f}]"
 
@@ -29,12 +24,6 @@ def url_id(c) -> Column:
     return F.md5(_c(c).cast("string"))
 
 
-@F.pandas_udf(T.StringType())
-def unescape_html(s: pd.Series) -> pd.Series:
-    """HTML5 entity decoding (named and numeric), only where an entity can occur."""
-    return s.map(lambda x: html.unescape(x) if isinstance(x, str) and "&" in x else x)
-
-
 def strip_tags(c) -> Column:
     return F.regexp_replace(_c(c), r"<[^>]+>", " ")
 
@@ -46,29 +35,61 @@ def normalize_spaces(c) -> Column:
     return F.trim(x)
 
 
-# Entities decoded in the JVM; "&amp;" goes last so decoding stays single-pass
-# ("&amp;lt;" -> "&lt;", never "<").
-_COMMON_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
-_OTHER_AMP = r"&(?!(?:lt|gt|quot|#39|apos|nbsp|amp);)"
+def _table(pairs: dict[str, str]) -> Column:
+    """A fixed mapping as one literal map (folded once, however many entries)."""
+    return F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in pairs.items())), F.lit("\x01"), F.lit("\x02"))
 
 
-def decode_entities(c) -> Column:
-    """HTML entity decoding with a JVM fast path.
+# The names come from the standard library's table of the HTML standard.  A name ends with ";", but for
+# the old ones, which also count without it and as the beginning of a longer word.
+_NAMED = {name: text for name, text in html5.items() if name.endswith(";")}
+_OLD = {name: text for name, text in html5.items() if not name.endswith(";")}
+_OLD_PATTERN = "^(" + "|".join(sorted(_OLD, key=lambda name: (-len(name), name))) + ")"
+# FIXED VALUES: numbers 128 to 159 stand for the characters of windows-1252
+_WINDOWS = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
 
-    Text without ``&`` is returned as is; text whose every ``&`` starts one of the
-    common entities is decoded with ``replace``; only the remaining rows pass their
-    text to the Arrow UDF (the others send a null), so the Python side sees just
-    the rows that need the full HTML5 table (numeric and rare named entities).
-    """
+
+def _character(number: Column) -> Column:
+    """The text of a numeric reference: none for control and non-characters, U+FFFD for what is no character."""
+    wrong = (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    silent = (number.between(1, 8) | number.between(14, 31) | (number == 11) | (number == 127)
+              | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(0xFFFE) == 0xFFFE))
+    plain = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    return (F.when(wrong, "\ufffd").when(number.between(128, 159), F.try_element_at(_table(_WINDOWS), number.cast("string")))
+            .when(silent, "").otherwise(plain))
+
+
+def _after_ampersand(p: Column) -> Column:
+    """What stands for ``&`` and the text up to the next one."""
+    number = F.regexp_extract(p, r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+    name = F.regexp_extract(p, r"^[^\t\n\f <&#;]{1,32};", 0)
+    found = F.array(F.struct(number.alias("number"), name.alias("name"), F.try_element_at(_table(_NAMED), name).alias("text"),
+                             F.regexp_extract(p, _OLD_PATTERN, 1).alias("old")))
+
+    def after(part: Column) -> Column:
+        return F.substr(p, F.length(part) + 1)
+
+    def value(text: Column) -> Column:
+        digits = F.ltrim(F.regexp_replace(text, r"^#[xX]?|;$", ""), F.lit("0"))
+        base = F.when(text.rlike("^#[xX]"), 16).otherwise(10)
+        # longer than any code point: out of range, whatever the digits
+        return F.when(F.length(digits) > 9, F.lit(0x110000)).when(digits == "", F.lit(0)).otherwise(
+            F.when(base == 16, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint"))
+    return F.transform(found, lambda f: (
+        F.when(f["number"] != "", F.concat(_character(value(f["number"])), after(f["number"])))
+        .when(f["text"].isNotNull(), F.concat(f["text"], after(f["name"])))
+        .when(f["old"] != "", F.concat(F.try_element_at(_table(_OLD), f["old"]), after(f["old"])))
+        .otherwise(F.concat(F.lit("&"), p))))[0]
+
+
+def decode_entities(c) -> Column:
+    """HTML entities, named and numeric, to their text in one pass: the text is cut at ``&`` and each piece is
+    read from fixed tables."""
     x = _c(c)
-    native = x
-    for ent, ch in _COMMON_ENTITIES:
-        native = F.replace(native, F.lit(ent), F.lit(ch))
-    has_amp = x.contains("&")
-    other = x.rlike(_OTHER_AMP)
-    python = unescape_html(F.when(has_amp & other, x))
-    return F.when(~has_amp, x).when(~other, native).otherwise(python)
+    pieces = F.split(x, "&")
+    first, rest = F.get(pieces, 0), F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return F.when(~x.contains("&"), x).otherwise(
+        F.concat(first, F.array_join(F.transform(rest, _after_ampersand), "")))
 
 
 def clean_html(c, max_len: int | None = 600) -> Column:

@@ -145,3 +145,12 @@ def test_rfc822_to_utc(spark):
     out = col_values(spark, lambda c: X.rfc822_wallclock(c, to_utc=True), vals)
     assert out == [dt.datetime(2025, 12, 1, 13, 30), dt.datetime(2025, 12, 2, 8, 0),
                    dt.datetime(2025, 12, 2, 13, 0), dt.datetime(2025, 12, 2, 22, 0)]
+
+
+def test_entities_as_the_standard_library_reads_them(spark):
+    import html
+    vals = ["a & b", "&amp;lt;", "&copy 2020 &copy; &copyx &notit; &not", "&#233;&#xE9;&#XE9 &#0;&#128;&#x80;&#1;&#13;&#9;",
+            "&#1114112; &#xD800; &#99999999999999999999; &#65534;", "&hellip;&rarr;&nGt;&acE;", "&unknown; &;&&amp&ampx;",
+            "AT&T &lt", "&", "", None, "&middot;&#8217;&eacute&Eacute;", "&#x1F600;!", "x&nbsp;y&#;&#x;"]
+    got = col_values(spark, X.decode_entities, vals)
+    assert got == [None if v is None else html.unescape(v) for v in vals]
