@@ -36,8 +36,8 @@ SAMPLES = 128
 SEED = 7
 #: Characters of text that are sampled at a time; a longer text goes alone.
 WINDOW_CHARS = 1_500_000
-#: Samples that are drawn at a time.
-STRIP = 8
+#: Terms that are drawn at a time.
+STRIP = 512
 LEAST = -(1 << 63)
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -46,8 +46,8 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 @lru_cache(maxsize=1)
 def _gamma() -> tuple[np.ndarray, np.ndarray]:
-    """Quantiles of the gamma distribution of shape two at 2**18 even steps, and their logarithms."""
-    p = (np.arange(1 << 18) + 0.5) / (1 << 18)
+    """Quantiles of the gamma distribution of shape two at 2**16 even steps, and their logarithms."""
+    p = (np.arange(1 << 16) + 0.5) / (1 << 16)
     x = np.sqrt(2 * p) + p  # Newton steps on 1 - (1 + x) exp(-x) = p, in logarithms for the upper tail
     x = np.where(p > 0.7, -np.log1p(-p) + np.log1p(-np.log1p(-p)), x)
     for _ in range(60):
@@ -56,10 +56,13 @@ def _gamma() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser: every bit of the result depends on every bit of ``h``."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    """A 32-bit finaliser in place: every bit of the result depends on every bit of ``h``."""
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(0x85EBCA6B)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    h ^= h >> np.uint32(16)
+    return h
 
 
 def values(terms: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
@@ -68,16 +71,21 @@ def values(terms: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np
     out = np.empty((len(terms), samples), dtype=np.float32)
     log_weight = np.log(weights).astype(np.float32)[:, None]
     plain = bool((weights == 1).all())
-    low = np.uint64((1 << 18) - 1)
-    for k in range(0, samples, STRIP):
-        step = np.arange(k + 1, min(k + STRIP, samples) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        h = _mixed(terms[:, None] + step)
-        r = gamma[(h & low).astype(np.int32)]
-        log_c = log_gamma[(h >> np.uint64(18) & low).astype(np.int32)]
-        b = (h >> np.uint64(40)).astype(np.float32) * np.float32(2.0 ** -24)
+    halves = terms.view(np.uint32).reshape(-1, 2) if terms.flags.c_contiguous else np.ascontiguousarray(
+        terms).view(np.uint32).reshape(-1, 2)
+    step = np.arange(1, samples + 1, dtype=np.uint32) * np.uint32(0x9E3779B1)
+    for at in range(0, len(terms), STRIP):  # rows that stay in a core's cache
+        rows = np.s_[at:at + STRIP]
+        one = _mixed(halves[rows, :1] + step)
+        two = _mixed((halves[rows, 1:] ^ one) + step)
+        r = gamma[one >> np.uint32(16)]
+        b = (two >> np.uint32(8)).astype(np.float32)
+        b *= np.float32(2.0 ** -24)
         if not plain:
-            b = b - np.floor(log_weight / r + b)
-        out[:, k:k + STRIP] = log_c + r * b - r
+            b -= np.floor(log_weight[rows] / r + b)
+        b -= 1
+        b *= r
+        np.add(log_gamma[one & np.uint32(0xFFFF)], b, out=out[rows])
     return out
 
 
@@ -106,12 +114,10 @@ def signatures(texts: list[str], samples: int = SAMPLES) -> np.ndarray:
             value[part] = values(hashes[kind[part] // heavy], (kind[part] % heavy).astype(np.float64), samples)
     text = pair // size
     first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
-    for a in range(0, len(first), 256):  # documents at a time: bounds the gathered rows
-        ends = np.append(first, len(pair))
-        lo, hi = first[a], ends[min(a + 256, len(first))]
-        low = np.minimum.reduceat(value[place[lo:hi]], first[a:a + 256] - lo, axis=0)
-        bits = _mixed(low.view(np.uint32).astype(np.uint64) + np.uint64(1))
-        out[text[first[a:a + 256]]] = (bits >> np.uint64(48)).astype(np.uint16)
+    low = np.empty((len(first), samples), dtype=np.float32)
+    for row, (a, b) in enumerate(zip(first.tolist(), [*first[1:].tolist(), len(pair)])):
+        value[place[a:b]].min(axis=0, out=low[row])
+    out[text[first]] = (_mixed(low.view(np.uint32) + np.uint32(1)) >> np.uint32(16)).astype(np.uint16)
     return out
 
 
