@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.skew import hot_keys, salted_join
-from strata.session import checkpoint
+from strata.session import checkpoint, scratch_tables
 
 
 def parent_columns(df: DataFrame, prefix: str, suffix: str = "") -> list[str]:
@@ -111,7 +111,9 @@ def hierarchy_metrics(edges: DataFrame, levels: Mapping[int, str],
     Ancestors with no entity row are kept with null attributes; the detail table is
     joined through the entity key, so an ancestor without an entity has no details.
     """
-    counts = descendant_counts(transitive_closure(edges), levels)
+    with scratch_tables(edges.sparkSession) as keep:  # the closure's rounds go with the block
+        counts = checkpoint(descendant_counts(transitive_closure(edges), levels), cache=False)
+        keep.append(counts)
     ent = entities.withColumnRenamed(entity_key, "_ek")
     out = counts.join(ent, counts["ancestor_id"] == ent["_ek"], "left")
     if details is not None:

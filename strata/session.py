@@ -71,7 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         local_dir = tempfile.mkdtemp(prefix="strata-ckpt-")
         sc.setCheckpointDir(local_dir)
         return sc.getCheckpointDir() or local_dir
@@ -123,10 +123,12 @@ def _delete(spark: SparkSession, name: str) -> None:
 
 @contextmanager
 def scratch_tables(spark: SparkSession):
-    """Delete the tables that ``checkpoint(cache=False)`` writes within the block when it ends."""
-    before = set(_tables)
+    """Delete the tables that ``checkpoint(cache=False)`` writes within the block when it ends, but for
+    those of the frames that are put into the list it gives."""
+    before, keep = set(_tables), []
     try:
-        yield
+        yield keep
     finally:
-        for name in [t for t in _tables if t not in before]:
+        kept = before.union(f._strata_path for f in keep)
+        for name in [t for t in _tables if t not in kept]:
             _delete(spark, name)
