@@ -65,7 +65,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query("op3_embedding_graph")
+_ALL_PAIRS = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, MIN(b) AS low FROM reach GROUP BY a),
+degree AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_links,
+       CAST(LEAST(e.vec_id, COALESCE(low, e.vec_id)) AS BIGINT) AS component_id,
+       e.vec_id = LEAST(e.vec_id, COALESCE(low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN lowest ON e.vec_id = lowest.a LEFT JOIN degree ON e.vec_id = degree.a
+"""
+
+
+@query("op3_embedding_graph", _ALL_PAIRS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings."""
     return embed_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
