@@ -9,7 +9,9 @@ only words that it lacks go through the ``tokenizers`` library.
 from __future__ import annotations
 
 import os
+import re
 import string
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,12 @@ CACHE_WORDS = 350_000
 #: Bytes of text that are encoded at a time; a longer text goes alone.
 SLICE_BYTES = 6_000_000
 
-_SIGNS = pa.array(list(string.punctuation))
+_SIGNS = "^[" + re.escape(string.punctuation) + "]+$"
+
+
+def values(column: pa.Array) -> list:
+    """The column's values as Python objects, made in one step."""
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 def default_path() -> str:
@@ -65,7 +72,7 @@ class WordBpe:
                 other += part
         for i in range(0, len(other), 8192):
             part = other[i:i + 8192]
-            cache.update((w, np.asarray(e.ids, dtype="<u4").tobytes()) for w, e in zip(
+            cache.update((w, array("I", e.ids).tobytes()) for w, e in zip(
                 part, self.tok.encode_batch_fast(part, add_special_tokens=False)))
 
     def _ids(self, words: list[str]) -> list[bytes]:
@@ -89,14 +96,15 @@ class WordBpe:
 
     def join(self, bounds: np.ndarray, index: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of what ``split`` gives, and where each text's begin (one more at the end)."""
-        # letters and one sign after them are two words of the pre-tokenizer
-        sign = pc.utf8_slice_codeunits(distinct, -1)
-        core = pc.utf8_slice_codeunits(distinct, 0, -1)
-        two = pc.and_(pc.is_in(sign, _SIGNS), pc.utf8_is_alpha(core))
-        heads = pc.dictionary_encode(pc.if_else(two, core, distinct))
-        tails = pc.dictionary_encode(pc.if_else(two, sign, ""))
-        head, tail = self._ids(heads.dictionary.to_pylist()), self._ids(tails.dictionary.to_pylist())
-        pairs = zip(heads.indices.to_pylist(), tails.indices.to_pylist())
+        # letters and the signs after them (up to three here) are two words of the pre-tokenizer
+        core, sign = distinct, pa.nulls(len(distinct), distinct.type).fill_null("")
+        for n in (1, 2, 3):
+            front, back = pc.utf8_slice_codeunits(distinct, 0, -n), pc.utf8_slice_codeunits(distinct, -n)
+            cut = pc.and_(pc.utf8_is_alpha(front), pc.match_substring_regex(back, _SIGNS))
+            core, sign = pc.if_else(cut, front, core), pc.if_else(cut, back, sign)
+        heads, tails = pc.dictionary_encode(core), pc.dictionary_encode(sign)
+        head, tail = self._ids(values(heads.dictionary)), self._ids(values(tails.dictionary))
+        pairs = zip(values(heads.indices), values(tails.indices))
         data = [head[a] + tail[b] for a, b in pairs]
         size = np.fromiter(map(len, data), dtype=np.int64, count=len(data)) // 4
         flat = np.frombuffer(b"".join(data), dtype="<u4")
@@ -125,8 +133,8 @@ class WordBpe:
             else:
                 if odd[at:to].any():
                     to = at + int(np.argmax(odd[at:to]))
-                part = column.slice(at, to - at)
-                yield self.join(*self.split(pa.array(part.to_pylist(), part.type) if part.offset else part))
+                part = column.take(pa.array(np.arange(at, to)))
+                yield self.join(*self.split(part))
             at = to
 
 
