@@ -100,13 +100,9 @@ def ownership(found: DataFrame) -> DataFrame:
                                           (F.max("named") == 1).alias("named"))
 
 
-def judged(df: DataFrame, owner: Column, repo: Column, text: Column,
-           example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """``_row`` (as ``with_row`` numbers ``df``) and its ``spans``, for rows that have any:
-    ``array<struct<start, kind, end, live, n_repos, n_owners>>`` in order."""
-    rows = df.select("_row", owner.alias("owner"), repo.alias("repo"),
-                     scanner()(F.coalesce(text, F.lit(""))).alias("found"))
-    rows = checkpoint(rows.where(F.size("found") > 0), cache=False)
+def judged(rows: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
+    """From a written table of scanned rows (``_row, owner, repo, found``): ``_row`` and its ``spans``, for rows
+    that have any: ``array<struct<start, kind, end, live, n_repos, n_owners>>`` in order."""
     each = rows.select("_row", "owner", "repo", F.explode("found").alias("s")).select(
         "_row", "owner", "repo", "s.*")
     owned = checkpoint(ownership(each), cache=False)
@@ -127,12 +123,13 @@ def secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner
     """One row a document: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_live,
     n_example``.  ``repo_col``: the document itself if not given."""
     repo = df[repo_col or id_col].cast("string")
-    docs = with_row(df.select(df[id_col].alias("doc_id"), df[text_col].alias("text"),
-                              df[owner_col].cast("string").alias("owner"), repo.alias("repo")))
-    found = judged(docs, F.col("owner"), F.col("repo"), F.col("text"), example_owners)
+    rows = df.select(df[id_col].alias("doc_id"), df[owner_col].cast("string").alias("owner"), repo.alias("repo"),
+                     scanner()(F.coalesce(df[text_col], F.lit(""))).alias("found"))
+    rows = checkpoint(with_row(rows), cache=False)
+    found = judged(rows, example_owners)
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean,"
                            "n_repos:bigint,n_owners:bigint>>")
-    all_rows = docs.select("_row", "doc_id").join(found, "_row", "left").withColumn(
+    all_rows = rows.select("_row", "doc_id").join(found, "_row", "left").withColumn(
         "spans", F.coalesce("spans", empty))
 
     def count(test):
@@ -150,12 +147,15 @@ def secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner
 def redact(df: DataFrame, text_col: str = "text", owner_col: str = "source", id_col: str = "doc_id",
            example_owners: int = EXAMPLE_OWNERS, mask: str = "<secret>") -> DataFrame:
     """The same rows and columns, each live-looking span of the text replaced by ``mask``;
-    copied examples stay, and so do texts without a span."""
+    copied examples stay, and so do texts without a span.
+
+    Rows are numbered in the order in which ``df`` gives them: it must be a table, or a frame that
+    gives the same rows in the same order whenever it is read."""
     docs = with_row(df)
-    found = judged(docs.select("_row", F.col(owner_col).cast("string").alias("owner"),
-                               F.col(id_col).cast("string").alias("repo"), F.col(text_col).alias("text")),
-                   F.col("owner"), F.col("repo"), F.col("text"), example_owners)
-    live = found.select("_row", F.filter("spans", lambda s: s["live"]).alias("_spans")).where("size(_spans) > 0")
+    rows = docs.select("_row", F.col(owner_col).cast("string").alias("owner"), F.col(id_col).cast("string").alias("repo"),
+                       scanner()(F.coalesce(F.col(text_col), F.lit(""))).alias("found"))
+    live = judged(checkpoint(rows.where(F.size("found") > 0), cache=False), example_owners)
+    live = live.select("_row", F.filter("spans", lambda s: s["live"]).alias("_spans")).where("size(_spans) > 0")
     joined = docs.join(live, "_row", "left")
     # the text between the spans that have been passed, and the place that has been reached
     step = F.aggregate(

@@ -224,7 +224,10 @@ def classes(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                  distance: int = DISTANCE) -> DataFrame:
     """The same columns; of each component only the row with the smallest ``doc_id`` (nulls last), of rows
-    that share it the first one."""
+    that share it the first one.
+
+    Rows are numbered in the order in which ``df`` gives them: it must be a table, or a frame that
+    gives the same rows in the same order whenever it is read."""
     numbered = with_row(df)
     rows = checkpoint(numbered.select(
         "_row", F.col(id_col).alias("doc_id"),
