@@ -9,7 +9,7 @@ Layout under ``out_dir``::
     gold/dim_inteligencia_mercado/vNNNNNN           merge snapshots (H3)
 
 Input ``in_dir`` holds the landed, untouched API answers: ``entidades*.json``,
-``numeros*.json`` and ``feeds/<SOURCE NAME>.xml``.  Re-running on the same input
+``numeros*.json`` (or ``.jsonl``, one item a line) and ``feeds/<SOURCE NAME>.xml``.  Re-running on the same input
 changes no business value (merges are idempotent; overwrites are whole).
 """
 
@@ -21,6 +21,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.flatten import union_heterogeneous
 from strata.plans import gold as G
 from strata.plans import indicators as I
 from strata.plans import news as N
@@ -47,7 +48,14 @@ def raw_to_bronze(spark: SparkSession, in_dir: str, out_dir: str) -> dict[str, s
     ent = read_entity_document(spark, _p(in_dir, "entidades*.json"), lineage=True)
     write_table(ent, _p(out_dir, "bronze", "entidades"))
     written["entidades"] = _p(out_dir, "bronze", "entidades")
-    num = read_panel(spark, _p(in_dir, "numeros*.json"), fields=I.PANEL_FIELDS, lineage=True)
+    # an array document is one record a file; JSON lines are split over tasks
+    forms = [(ending, lines) for ending, lines in ((".json", False), (".jsonl", True))
+             if any(name.startswith("numeros") for name in _files(spark, in_dir, ending))]
+    panels = [read_panel(spark, _p(in_dir, f"numeros*{ending}"), fields=I.PANEL_FIELDS, json_lines=lines, lineage=True)
+              for ending, lines in forms]
+    if not panels:
+        raise FileNotFoundError(f"no numeros*.json or numeros*.jsonl in {in_dir}")
+    num = union_heterogeneous(panels)
     write_table(num, _p(out_dir, "bronze", "numeros"))
     written["numeros"] = _p(out_dir, "bronze", "numeros")
     category = dict(R.NEWS_SOURCES)

@@ -228,3 +228,23 @@ def test_repeated_link_keeps_the_newest_item(spark):
     df = spark.createDataFrame(rows, "source string, category string, title string, link string, pub_date string, "
                                      "description string")
     assert [r["DS_TITULO"] for r in news.ingest(df).collect()] == ["Zebra new"]
+
+
+def test_panel_as_json_lines(spark, tmp_path):
+    import json
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    FX.write_landing(src)
+    RF.raw_to_bronze(spark, src, out)
+    name = next(n for n in os.listdir(src) if n.startswith("numeros"))
+    want = rows_key(spark, out)
+    items = json.load(open(os.path.join(src, name), encoding="utf-8"))
+    os.rename(os.path.join(src, name), os.path.join(src, "old.txt"))
+    with open(os.path.join(src, "numeros.jsonl"), "w", encoding="utf-8") as f:
+        f.writelines(json.dumps(i, ensure_ascii=False) + "\n" for i in items)
+    RF.raw_to_bronze(spark, src, out)
+    assert rows_key(spark, out) == want
+
+
+def rows_key(spark, out):
+    got = spark.read.parquet(f"{out}/bronze/numeros").select("indicador", "indice", "valor").collect()
+    return sorted(str(tuple(r)) for r in got)

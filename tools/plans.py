@@ -45,14 +45,14 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", shuffle_partitions=16,
                         extra_conf={"spark.sql.maxMetadataStringLength": "2000"})
-    import __spark_entry__ as ent
+    from strata.plans.catalog import QUERIES  # the training-data queries run many jobs each: see the README
     out = ["# Physical plans of the registered queries", "",
            f"Generated by `tools/plans.py` on `{sf}` (initial plan; AQE may still coalesce or "
            "switch joins to broadcast at run time). Hierarchy queries show the final step "
            "after the checkpointed closure rounds.", "",
            "| query | exchanges | joins | map-side agg | notes | scans (columns read, pushed filters) |",
            "| --- | --- | --- | --- | --- | --- |"]
-    for name, fn in ent.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
