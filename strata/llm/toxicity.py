@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import checkpoint, text_udf
 from strata.llm.langid import fold
+from strata.llm.wordbpe import values
 
 CATEGORIES = ("abusive", "repeated", "dense", "toxic")
 FOLDS = 4
@@ -40,7 +41,7 @@ VOCABULARY = 1500
 #: A feature needs this share of the toxic sample, and these log-odds against the clean one.
 LEAST_SHARE, LEAST_ODDS = 0.004, 3.0
 BEGINNINGS = (4, 5)
-SLICE_BYTES = 3_000_000
+SLICE_BYTES = 2_000_000
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -53,7 +54,7 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     number = trimmed.indices.to_numpy(zero_copy_only=False)[first]
     size = max(1, len(trimmed.dictionary))
     pairs = np.unique(owner.astype(np.int64) * size + number)
-    return pairs // size, pairs % size, trimmed.dictionary.to_pylist()
+    return pairs // size, pairs % size, values(trimmed.dictionary)
 
 
 def _names(word: str) -> list[str]:
@@ -69,7 +70,7 @@ def _parts(column: pa.Array):
     while at < len(column):
         done = size[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES, side="right")))
-        yield pa.array(column.slice(at, to - at).to_pylist(), pa.string())
+        yield column.take(pa.array(np.arange(at, to)))
         at = to
 
 
@@ -154,28 +155,29 @@ def fit_chain(rows, cols, value, n: int, width: int, targets: np.ndarray, folds:
 
 
 def _document_frequencies(batches):
-    """Distinct-document counts of features among toxic and clean texts, added up per task."""
-    counts: dict[str, list[int]] = {}
+    """Distinct-document counts of features among toxic and clean texts; Spark adds them up."""
     for batch in batches:
-        toxic = np.array(batch.column(0).to_pylist(), dtype=np.int64)
+        toxic = batch.column(0).to_numpy(zero_copy_only=False)
         at = 0
         for part in _parts(batch.column(1)):
             owner, word, names = _words(part)
-            every = [_names(w) for w in names]
-            seen = sorted({(t, f) for t, w in zip(owner.tolist(), word.tolist()) for f in every[w]})
-            for t, f in seen:
-                counts.setdefault(f, [0, 0])[1 - toxic[at + t]] += 1
+            number: dict[str, int] = {}
+            shows = [[number.setdefault(f, len(number)) for f in _names(w)] for w in names]
+            size = np.fromiter(map(len, shows), dtype=np.int64, count=len(shows))
+            flat = np.fromiter((f for x in shows for f in x), dtype=np.int64, count=int(size.sum()))
+            begin = np.cumsum(size) - size
+            times = size[word]
+            place = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+            feature = flat[np.repeat(begin[word], times) + place]
+            width = max(1, len(number))
+            cell = np.unique(np.repeat(owner, times) * width + feature)
+            bad = toxic[at + cell // width] > 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(number), pa.string()),
+                 pa.array(np.bincount(cell[bad] % width, minlength=width)[:len(number)]),
+                 pa.array(np.bincount(cell[~bad] % width, minlength=width)[:len(number)])],
+                ["feature", "toxic", "clean"])
             at += len(part)
-            if len(counts) > 400_000:
-                yield _frequency_rows(counts)
-                counts = {}
-    yield _frequency_rows(counts)
-
-
-def _frequency_rows(counts: dict[str, list[int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
-         pa.array([c[1] for c in counts.values()], pa.int64())], ["feature", "toxic", "clean"])
 
 
 def _rows(column: dict[str, int]):
