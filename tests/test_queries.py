@@ -62,5 +62,7 @@ def test_entry_smoke(spark):
                           "n_level_1", "n_level_2", "n_level_3"]
 
 
-def test_every_query_has_an_oracle():
-    assert set(ENTRY.oracle_sql()) == set(ENTRY.queries())
+def test_every_query_of_the_library_has_an_oracle():
+    from strata.plans.catalog import ORACLES, QUERIES
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(ENTRY.queries()) and set(ENTRY.oracle_sql()) <= set(ENTRY.queries())
