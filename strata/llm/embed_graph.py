@@ -9,8 +9,12 @@
 4. The lists of a node from all its shards are united.
 5. Every node searches each of its shards from the shard's medoid: a greedy search with a beam, which goes on over
    the beam's end as long as nodes in range are left to expand.
-6. Found pairs are verified by their cosine in double precision; links become components.
-7. The audit compares a fixed number of queries with all nodes; below ``LEAST_RECALL`` the search runs again with
+6. Links across shards: a node visits the cells (nodes with the same closest pivot) of its own pivots and of the
+   pivots of every node found in range of it, and is compared with all nodes there.  Both ends of a link take
+   over each other's cells; rounds go on until no node has a cell left to visit.  Every node has one cell, so a link is counted once
+   from each end and no list of links is kept.
+7. Cosines are verified in double precision; links become components.
+8. The audit compares a fixed number of queries with all nodes; below ``LEAST_RECALL`` the search runs again with
    twice the overlap and beam.
 
 Pivots (at most ``MAX_PIVOTS``) and audit queries are the only vectors that reach the driver or every task.
@@ -36,6 +40,8 @@ OVERLAP, BEAM, DEGREE, ALPHA = 4, 32, 12, 1.2
 SHARD_ROWS, BLOCK_ROWS = 2000, 4000
 MAX_PIVOTS = 16_384
 LEAST_RECALL, AUDIT_QUERIES = 0.97, 200
+#: Rows compared at a time.
+CHUNK = 512
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -157,8 +163,8 @@ def search(near: np.ndarray, neighbours: np.ndarray, start: int, threshold: floa
     return found
 
 
-def _deal(pivots: dict[int, np.ndarray], overlap: int, blocks: dict[int, int] | None):
-    """Nodes to their closest pivots' shards, and to the pairs of blocks of a large shard."""
+def _place(pivots: dict[int, np.ndarray], overlap: int):
+    """Nodes with the cells of their closest pivots and the closest one of these, their home."""
     base, start = {}, 0
     for width in sorted(pivots):
         base[width] = start
@@ -166,42 +172,56 @@ def _deal(pivots: dict[int, np.ndarray], overlap: int, blocks: dict[int, int] |
 
     def run(batches):
         for batch in batches:
-            nodes = batch.column(0).to_numpy()
             vectors = batch.column(1)
             width = np.diff(vectors.offsets.to_numpy())
-            shard, owner = [], []
+            home = np.empty(len(width), dtype=np.int64)
+            cells = np.empty(len(width), dtype=object)
             for w in np.unique(width).tolist():
-                rows = np.flatnonzero(width == w)
-                x = unit(_matrix(vectors.take(pa.array(rows)), w))
-                if w in pivots:
-                    near = x @ pivots[w].T
-                    m = min(overlap, near.shape[1])
-                    top = np.argpartition(-near, m - 1, axis=1)[:, :m] + base[w]
-                else:
-                    top = np.full((len(rows), 1), -w)
-                shard.append(top.ravel())
-                owner.append(np.repeat(rows, top.shape[1]))
-            shard, owner = np.concatenate(shard), np.concatenate(owner)
-            if blocks is None:
-                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64))], ["shard"])
-                continue
-            out: list[list] = [[], [], [], [], []]
-            for s, o in zip(shard.tolist(), owner.tolist()):
-                n = blocks.get(s, 1)
-                own = (int(nodes[o]) * 0x9E3779B97F4A7C15 >> 17) % n
-                for other in range(n):
-                    a, b = min(own, other), max(own, other)
-                    for column, v in zip(out, (s, a, b, own, o)):
-                        column.append(v)
-            at = pa.array(out[4], pa.int64())
+                every = np.flatnonzero(width == w)
+                for at in range(0, len(every), CHUNK):
+                    rows = every[at:at + CHUNK]
+                    if w in pivots:
+                        near = unit(_matrix(vectors.take(pa.array(rows)), w)) @ pivots[w].T
+                        m = min(overlap, near.shape[1])
+                        home[rows] = near.argmax(axis=1) + base[w]
+                        near[np.arange(len(rows)), home[rows] - base[w]] = np.inf  # of equal pivots the same one
+                        top = np.argpartition(-near, m - 1, axis=1)[:, :m] + base[w]
+                    else:
+                        home[rows] = -w
+                        top = np.full((len(rows), 1), -w)
+                    cells[rows] = top.tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in out[:4]]
-                + [batch.column(0).take(at), vectors.take(at), batch.column(2).take(at)],
-                ["shard", "a", "b", "own", "node", "vector", "copies"])
+                [batch.column(0), vectors, batch.column(2), pa.array(home, pa.int32()),
+                 pa.array(cells.tolist(), pa.list_(pa.int32()))], ["node", "vector", "copies", "home", "cells"])
     return run
 
 
-DEALT = "shard long, a long, b long, own long, node long, vector array<double>, copies long"
+PLACED = "node long, vector array<double>, copies long, home int, cells array<int>"
+
+
+def _deal(blocks: dict[int, int]):
+    """Nodes to the shards of their cells, and to the pairs of blocks of a large shard."""
+
+    def run(batches):
+        for batch in batches:
+            cells = batch.column(4)
+            shard = cells.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(cells)), np.diff(cells.offsets.to_numpy()))
+            n = np.fromiter((blocks.get(s, 1) for s in shard.tolist()), np.int64, len(shard))
+            drawn = batch.column(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(17)
+            own = drawn[owner].astype(np.int64) % n
+            each = np.repeat(np.arange(len(shard)), n)
+            other = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+            at = pa.array(owner[each])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in (shard[each], np.minimum(own[each], other),
+                                                   np.maximum(own[each], other), own[each])]
+                + [batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at), cells.take(at)],
+                ["shard", "a", "b", "own", "node", "vector", "copies", "cells"])
+    return run
+
+
+DEALT = "shard long, a long, b long, own long, node long, vector array<double>, copies long, cells array<int>"
 
 
 def _group(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -210,6 +230,30 @@ def _group(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return table["node"].to_numpy(), unit(_matrix(vectors, width))
 
 
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of every element of a column of lists."""
+    lists = column.combine_chunks()
+    row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    return row, lists.flatten().to_numpy().astype(np.int64)
+
+
+def _table_of(rows: int, names: np.ndarray, lists: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """(rows, names): which rows' lists hold which names; values that are no name are left out."""
+    row, value = lists
+    place = np.minimum(np.searchsorted(names, value), max(0, len(names) - 1))
+    there = names[place] == value if len(names) else np.zeros(len(value), dtype=bool)
+    out = np.zeros((rows, len(names)), dtype=bool)
+    out[row[there], place[there]] = True
+    return out
+
+
+def _named(names: np.ndarray, mark: np.ndarray) -> pa.Array:
+    """The names that each row marks, as a column of lists."""
+    row, at = np.nonzero(mark)
+    stops = np.searchsorted(row, np.arange(len(mark) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(stops), pa.array(names[at].astype(np.int32)))
+
+
 def _build(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         node, x = _group(table)
@@ -220,10 +264,12 @@ def _build(threshold: float):
     return run
 
 
-def _search(threshold: float, beam: int):
-    """Of one pair of blocks: the nodes of both search the graph of block ``a`` (and of ``b``)."""
+def _search(threshold: float, beam: int, listed: bool):
+    """Of one pair of blocks: the nodes of both search the graph of block ``a`` (and of ``b``).
 
-    def one(node, x, copies, around, host, out):
+    ``listed``: the links found (``node, low, links``); else the cells of what is found (``node, more``)."""
+
+    def one(node, x, around, host, take):
         hosts = np.flatnonzero(host)
         order = hosts[np.argsort(node[hosts])]
         names = node[order]
@@ -240,23 +286,41 @@ def _search(threshold: float, beam: int):
         near = x.astype(np.float32) @ y.T
         start = medoid(y @ y.T)
         found = search(near, lists, start, np.float32(threshold - 1e-4), beam)
-        q, h = np.nonzero(found)
-        h = order[h]
-        apart = q != h
-        q, h = q[apart], h[apart]
-        for at in range(0, len(q), 1 << 16):  # verified in double precision
-            a, b = q[at:at + (1 << 16)], h[at:at + (1 << 16)]
-            good = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
-            out.append((a[good], b[good]))
+        for first in range(0, len(found), CHUNK):  # verified in double precision
+            q, h = np.nonzero(found[first:first + CHUNK])
+            q, h = q + first, order[h]
+            apart = q != h
+            q, h = q[apart], h[apart]
+            for at in range(0, len(q), 1 << 16):
+                a, b = q[at:at + (1 << 16)], h[at:at + (1 << 16)]
+                good = np.einsum("ij,ij->i", x[a], x[b]) >= threshold
+                take(a[good], b[good])
 
     def run(table: pa.Table) -> pa.Table:
         node, x = _group(table)
-        copies, own = table["copies"].to_numpy(), table["own"].to_numpy()
+        own = table["own"].to_numpy()
         around = np.empty(len(node), dtype=object)
         around[:] = [np.array(v, dtype=np.int64) for v in table["around"].to_pylist()]
+        if not listed:
+            lists = _lists(table["cells"])
+            names = np.unique(lists[1])
+            cells = _table_of(len(node), names, lists)
+            width = int(cells.sum(axis=1).max())
+            place = np.argsort(~cells, axis=1, kind="stable")[:, :width]  # a vector's number of cells is that of all here
+            more = np.zeros_like(cells)
+
+            def take(a, b):
+                for k in range(width):
+                    more[a, place[b, k]] = True
+                    more[b, place[a, k]] = True
+            for block in np.unique(own).tolist():
+                one(node, x, around, own == block, take)
+            keep = np.flatnonzero(more.any(axis=1))
+            return pa.table({"node": pa.array(node[keep]), "more": _named(names, more[keep])})
+        copies = table["copies"].to_numpy()
         pairs: list[tuple] = []
         for block in np.unique(own).tolist():
-            one(node, x, copies, around, own == block, pairs)
+            one(node, x, around, own == block, lambda a, b: pairs.append((a, b)))
         a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.int64)
         b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, np.int64)
         both = np.unique(np.concatenate([a * len(node) + b, b * len(node) + a]))
@@ -277,6 +341,76 @@ def _search(threshold: float, beam: int):
     return run
 
 
+def in_range(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
+    """(x, y) whether unit vectors are in range; at the threshold by a sum whose order is always the same."""
+    near = x @ y.T
+    hit = near >= threshold
+    a, b = np.nonzero(np.abs(near - threshold) < 1e-9)
+    hit[a, b] = np.einsum("ij,ij->i", x[a], y[b]) >= threshold
+    return hit
+
+
+def _lows(hit: np.ndarray, guests: np.ndarray, hosts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest node that each guest and each host reaches over the hits."""
+    low_guest, low_host = guests.copy(), hosts.copy()
+    rest = hit.any(axis=1)
+    for start in np.flatnonzero(rest).tolist():
+        if not rest[start]:
+            continue
+        rows, columns = np.zeros(len(guests), dtype=bool), np.zeros(len(hosts), dtype=bool)
+        new = np.array([start])
+        while len(new):
+            rows[new] = True
+            reached = np.flatnonzero(hit[new].any(axis=0) & ~columns)
+            columns[reached] = True
+            new = np.flatnonzero(hit[:, reached].any(axis=1) & ~rows)
+        low = min(guests[rows].min(), hosts[columns].min())
+        low_guest[rows], low_host[columns] = low, low
+        rest &= ~rows
+    return low_guest, low_host
+
+
+MET = "node long, n long, low long, more array<int>"
+
+
+def _meet(threshold: float):
+    """Nodes that visit a cell, each compared with all nodes at home there."""
+
+    def run(guests: pa.Table, hosts: pa.Table) -> pa.Table:
+        if not len(guests) or not len(hosts):
+            return pa.table({"node": pa.array([], pa.int64()), "n": pa.array([], pa.int64()),
+                             "low": pa.array([], pa.int64()), "more": pa.array([], pa.list_(pa.int32()))})
+        guest, x = _group(guests)
+        host, y = _group(hosts)
+        copies = hosts["copies"].to_numpy().astype(np.float64)
+        of_guest, of_host = _lists(guests["cells"]), _lists(hosts["cells"])
+        names = np.unique(np.concatenate([of_guest[1], of_host[1]]))
+        of_guest = _table_of(len(guest), names, of_guest).astype(np.float32)
+        of_host = _table_of(len(host), names, of_host).astype(np.float32)
+        hit = np.zeros((len(guest), len(host)), dtype=bool)
+        n = np.zeros(len(guest))
+        to_guest, to_host = np.zeros(of_guest.shape, dtype=bool), np.zeros(of_host.shape, dtype=bool)
+        for at in range(0, len(guest), CHUNK):
+            rows = np.s_[at:at + CHUNK]
+            part = in_range(x[rows], y, threshold) & (guest[rows, None] != host)
+            if part.any():
+                hit[rows] = part
+                n[rows] = part.astype(np.float64) @ copies
+                part = part.astype(np.float32)
+                to_guest[rows] = part @ of_host > 0
+                to_host |= part.T @ of_guest[rows] > 0
+        to_guest &= ~_table_of(len(guest), names, _lists(guests["seen"]))
+        to_host &= ~_table_of(len(host), names, _lists(hosts["seen"]))
+        low_guest, low_host = _lows(hit, guest, host)
+        some, others = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+        return pa.table({
+            "node": pa.array(np.concatenate([guest[some], host[others]])),
+            "n": pa.array(np.concatenate([n[some], np.zeros(len(others))]).astype(np.int64)),
+            "low": pa.array(np.concatenate([low_guest[some], low_host[others]])),
+            "more": _named(names, np.concatenate([to_guest[some], to_host[others]]))})
+    return run
+
+
 def _pivots(nodes: DataFrame, count: int) -> dict[int, np.ndarray]:
     rows = nodes.orderBy(F.xxhash64("vector"), "node").limit(count).select("vector").collect()
     by: dict[int, list] = {}
@@ -285,56 +419,103 @@ def _pivots(nodes: DataFrame, count: int) -> dict[int, np.ndarray]:
     return {w: unit(np.array(v, dtype=np.float64)) for w, v in by.items()}
 
 
-def graph_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM,
-                shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Rows ``node, low, links`` (one a node and shard) of a table ``node, vector, copies`` of distinct vectors."""
-    count = nodes.count()
-    pivots = _pivots(nodes, min(MAX_PIVOTS, max(1, -(-count * overlap // shard_rows))))
-    sizes = nodes.mapInArrow(_deal(pivots, overlap, None), "shard long").groupBy("shard").count().collect()
+def place(nodes: DataFrame, overlap: int = OVERLAP, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """A written table ``node, vector, copies, home, cells`` of a table ``node, vector, copies`` of distinct vectors."""
+    pivots = _pivots(nodes, min(MAX_PIVOTS, max(1, -(-nodes.count() * overlap // shard_rows))))
+    return checkpoint(nodes.select("node", "vector", "copies").mapInArrow(_place(pivots, overlap), PLACED), cache=False)
+
+
+def _searched(placed: DataFrame, threshold: float, beam: int, block_rows: int, listed: bool) -> DataFrame:
+    sizes = placed.select(F.explode("cells").alias("shard")).groupBy("shard").count().collect()
     blocks = {r["shard"]: -(-r["count"] // block_rows) for r in sizes if r["count"] > block_rows}
-    dealt = nodes.mapInArrow(_deal(pivots, overlap, blocks), DEALT)
+    dealt = placed.mapInArrow(_deal(blocks), DEALT)
     own_block = dealt.where("a = own and b = own").select("shard", "own", "node", "vector")
     lists = own_block.groupBy("shard", "own").applyInArrow(_build(threshold), "node long, around array<long>")
     united = checkpoint(lists.groupBy("node").agg(
         F.array_distinct(F.flatten(F.collect_list("around"))).alias("around")), cache=False)
     return dealt.join(united, "node").groupBy("shard", "a", "b").applyInArrow(
-        _search(threshold, beam), "node long, low long, links array<struct<node:bigint,copies:bigint>>")
+        _search(threshold, beam, listed),
+        "node long, low long, links array<struct<node:bigint,copies:bigint>>" if listed else "node long, more array<int>")
+
+
+def graph_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM,
+                shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows ``node, low, links`` (one a node and shard) of a table ``node, vector, copies`` of distinct vectors: the
+    links within shards."""
+    return _searched(place(nodes, overlap, shard_rows), threshold, beam, block_rows, True)
+
+
+def range_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM,
+                shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows ``node, n, low`` (some a node) of a table ``node, vector, copies`` of distinct vectors: ``n`` adds up to
+    the copies of all nodes in range, ``low`` links the node with its component."""
+    placed = place(nodes, overlap, shard_rows)
+    homes = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / block_rows).alias("n_host"))
+    homes = checkpoint(homes, cache=False)
+    none = F.array().cast("array<int>")
+    met = _searched(placed, threshold, beam, block_rows, False)
+    seen = placed.select("node", none.alias("seen"))
+    rounds = placed.where("false").select("node", F.col("copies").alias("n"), F.col("node").alias("low"))
+    while True:
+        more = met.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("more"))).alias("more"))
+        state = placed.select("node", "cells").join(seen, "node").join(more, "node", "left")
+        new = F.when(F.col("more").isNull(), none).otherwise(F.array_except(F.array_union("cells", "more"), "seen"))
+        state = checkpoint(state.select("node", "seen", new.alias("new")), cache=False)
+        visits = state.select("node", F.explode("new").alias("cell"))
+        if visits.isEmpty():
+            return rounds
+        seen = state.select("node", F.concat("seen", "new").alias("seen"))
+        plan = checkpoint(visits.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("n_guest"))
+                          .join(homes, "cell"), cache=False)
+        every = placed.join(seen, "node")
+        guests = visits.join(plan, "cell").withColumn("g", F.pmod(F.xxhash64("node"), "n_guest")).withColumn(
+            "h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_host") - 1)))
+        guests = guests.select("node", "cell", "g", "h").join(every.select("node", "vector", "cells", "seen"), "node")
+        hosts = every.withColumn("cell", F.col("home")).join(plan, "cell").withColumn(
+            "h", F.pmod(F.xxhash64("node"), "n_host")).withColumn(
+            "g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_guest") - 1)))
+        hosts = hosts.select(*[F.col(c).alias(c) for c in (  # columns of their own: guests come from the same table
+            "node", "cell", "g", "h", "vector", "copies", "cells", "seen")])
+        keys = ("cell", "g", "h")
+        met = checkpoint(guests.groupBy(*keys).cogroup(hosts.groupBy(*keys)).applyInArrow(_meet(threshold), MET),
+                         cache=False)
+        rounds = rounds.union(met.select("node", "n", "low"))
 
 
 def audit(nodes: DataFrame, found: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT_QUERIES) -> float:
     """Share of the true links of ``queries`` nodes (by a hash) that are found; 1 without true links.
 
-    ``found``: ``node, links``.  The queries are compared with all nodes; they are a fixed number."""
-    chosen = nodes.orderBy(F.xxhash64("vector", F.lit("audit")), "node").limit(queries).collect()
-    names = np.array([r["node"] for r in chosen], dtype=np.int64)
-    if not len(names):
+    ``found``: ``node, n`` with the copies in range.  The queries are compared with all nodes; they are a fixed number."""
+    rank = (F.xxhash64("vector", F.lit("audit")), "node")
+    chosen = {r["node"]: r["vector"] for r in nodes.orderBy(*rank).limit(queries).select("node", "vector").collect()}
+    if not chosen:
         return 1.0
-    by = {w: ([r["node"] for r in chosen if len(r["vector"]) == w],
-              unit(np.array([r["vector"] for r in chosen if len(r["vector"]) == w])))
-          for w in {len(r["vector"]) for r in chosen}}
+    by: dict[int, tuple] = {}
+    for w in {len(v) for v in chosen.values()}:
+        ids = np.array([n for n, v in chosen.items() if len(v) == w], dtype=np.int64)
+        by[w] = ids, unit(np.array([chosen[n] for n in ids.tolist()], dtype=np.float64))
 
     def brute(batches):
+        total = {w: np.zeros(len(ids)) for w, (ids, _) in by.items()}
         for batch in batches:
-            own = batch.column(0).to_numpy()
+            own, copies = batch.column(0).to_numpy(), batch.column(2).to_numpy().astype(np.float64)
             width = np.diff(batch.column(1).offsets.to_numpy())
-            pairs = []
             for w, (ids, q) in by.items():
                 rows = np.flatnonzero(width == w)
                 if len(rows):
-                    hit = unit(_matrix(batch.column(1).take(pa.array(rows)), w)) @ q.T >= threshold
-                    a, b = np.nonzero(hit)
-                    pairs += [(own[rows[i]], ids[j]) for i, j in zip(a, b) if own[rows[i]] != ids[j]]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
-                                              pa.array([p[1] for p in pairs], pa.int64())], ["other", "query"])
-    true = nodes.select("node", "vector").mapInArrow(brute, "other long, query long")
-    have = found.where(F.col("node").isin([int(n) for n in names])).select(
-        F.col("node").alias("query"), F.explode("links.node").alias("other")).withColumn("have", F.lit(1))
-    got = true.join(have, ["query", "other"], "left").agg(F.count("*").alias("n"), F.count("have").alias("m")).first()
-    return got["m"] / got["n"] if got["n"] else 1.0
+                    hit = in_range(unit(_matrix(batch.column(1).take(pa.array(rows)), w)), q, threshold)
+                    total[w] += copies[rows] @ (hit & (own[rows, None] != ids))
+        for w, (ids, _) in by.items():
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[w].astype(np.int64))], ["node", "near"])
+    true = nodes.select("node", "vector", "copies").mapInArrow(brute, "node long, near long")
+    true = true.groupBy("node").agg(F.sum("near").alias("near")).where("near > 0")
+    got = true.join(found, "node", "left").agg(F.sum("near").alias("near"), F.sum("n").alias("n")).first()
+    return (got["n"] or 0) / got["near"] if got["near"] else 1.0
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM) -> DataFrame:
+                    threshold: float = THRESHOLD, overlap: int = OVERLAP, beam: int = BEAM,
+                    shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row a vector: ``vec_id, n_links, component_id, kept``."""
     rows = df.select(df[id_col].cast("long").alias("vec_id"), df[vector_col].cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -344,17 +525,16 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     nodes = checkpoint(nodes.withColumn("node", F.monotonically_increasing_id()).select(
         "node", "vector", "copies", "first"), cache=False)
     while True:
-        found = checkpoint(graph_links(nodes, threshold, overlap, beam), cache=False)
-        links = checkpoint(found.groupBy("node").agg(
-            F.array_distinct(F.flatten(F.collect_list("links"))).alias("links")), cache=False)
-        if audit(nodes, links, threshold) >= LEAST_RECALL or overlap > 12:
+        found = range_links(nodes, threshold, overlap, beam, shard_rows, block_rows)
+        number = checkpoint(found.groupBy("node").agg(F.sum("n").alias("n")), cache=False)
+        recall = audit(nodes, number, threshold)
+        if recall >= LEAST_RECALL or overlap > 12:
             break
         overlap, beam = 2 * overlap, 2 * beam
     reached = components(found.select("node", "low"))
     first = nodes.select("node", "first", "copies", "vector")
     member = first.join(reached, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    number = links.select("node", F.aggregate("links", F.lit(0).cast("long"), lambda a, x: a + x["copies"]).alias("n"))
     named = member.join(lowest, "root").join(number, "node", "left").select(
         "vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     linked = rows.where("usable").join(named, "vector").select("vec_id", "n_links", "component_id")

@@ -153,3 +153,26 @@ def test_large_shards_are_searched_in_pairs_of_blocks(spark):
     want = int((y @ y.T >= 0.95).sum()) - len(x)
     links = {(r["node"], z["node"]) for r in found.collect() for z in r["links"]}
     assert all(y[p] @ y[q] >= 0.95 for p, q in links) and len(links) >= 0.97 * want
+
+
+def group_over_shards():
+    """1,500 different vectors in one group, far more than a shard holds, and small groups beside it."""
+    draw = np.random.default_rng(7)
+    centre, width = draw.standard_normal((1, 64)), 64
+    pairs = draw.standard_normal((100, width))
+    x = np.concatenate([centre + 0.19 * draw.standard_normal((1500, width)), pairs,
+                        pairs + 0.05 * draw.standard_normal((100, width)), draw.standard_normal((200, width))])
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return x, y @ y.T >= 0.95
+
+
+def test_links_of_a_group_over_many_shards(spark):
+    x, near = group_over_shards()
+    want = near.sum(axis=1) - 1
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in embed_graph.near_duplicates(df, shard_rows=50, block_rows=300).collect()}
+    links = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (links <= want).all() and links.sum() >= 0.999 * want.sum()
+    a, b = np.nonzero(np.triu(near, 1))
+    roots = pairs_to_roots(range(len(x)), list(zip(a.tolist(), b.tolist())))
+    assert sum(got[i]["component_id"] != roots[i] for i in range(len(x))) <= 2
