@@ -14,8 +14,8 @@
    over each other's cells; rounds go on until no node has a cell left to visit.  Every node has one cell, so a link is counted once
    from each end and no list of links is kept.
 7. Cosines are verified in double precision; links become components.
-8. The audit compares a fixed number of queries with all nodes; below ``LEAST_RECALL`` the search runs again with
-   twice the overlap and beam.
+8. The audit compares a fixed number of nodes, of all and of the linked ones, with all nodes; while the mean recall of a node is
+   below ``LEAST_RECALL`` the search runs again with twice the overlap and beam, and fails beyond ``MOST_OVERLAP``.
 
 Pivots (at most ``MAX_PIVOTS``) and audit queries are the only vectors that reach the driver or every task.
 
@@ -39,7 +39,7 @@ OVERLAP, BEAM, DEGREE, ALPHA = 4, 32, 12, 1.2
 #: Nodes a shard holds in the mean, and at most in one block.
 SHARD_ROWS, BLOCK_ROWS = 2000, 4000
 MAX_PIVOTS = 16_384
-LEAST_RECALL, AUDIT_QUERIES = 0.97, 200
+LEAST_RECALL, AUDIT_QUERIES, MOST_OVERLAP = 0.97, 200, 64
 #: Rows compared at a time.
 CHUNK = 512
 
@@ -483,11 +483,14 @@ def range_links(nodes: DataFrame, threshold: float = THRESHOLD, overlap: int = O
 
 
 def audit(nodes: DataFrame, found: DataFrame, threshold: float = THRESHOLD, queries: int = AUDIT_QUERIES) -> float:
-    """Share of the true links of ``queries`` nodes (by a hash) that are found; 1 without true links.
+    """Mean share of a node's true links that are found, over ``queries`` nodes (by a hash) of all and as many of those
+    with links found; nodes without true links don't count; 1 if all are.
 
     ``found``: ``node, n`` with the copies in range.  The queries are compared with all nodes; they are a fixed number."""
     rank = (F.xxhash64("vector", F.lit("audit")), "node")
-    chosen = {r["node"]: r["vector"] for r in nodes.orderBy(*rank).limit(queries).select("node", "vector").collect()}
+    some = nodes.select("node", "vector").join(found.where("n > 0").select("node"), "node")
+    chosen = {r["node"]: r["vector"] for part in (nodes, some)
+              for r in part.orderBy(*rank).limit(queries).select("node", "vector").collect()}
     if not chosen:
         return 1.0
     by: dict[int, tuple] = {}
@@ -509,8 +512,8 @@ def audit(nodes: DataFrame, found: DataFrame, threshold: float = THRESHOLD, quer
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[w].astype(np.int64))], ["node", "near"])
     true = nodes.select("node", "vector", "copies").mapInArrow(brute, "node long, near long")
     true = true.groupBy("node").agg(F.sum("near").alias("near")).where("near > 0")
-    got = true.join(found, "node", "left").agg(F.sum("near").alias("near"), F.sum("n").alias("n")).first()
-    return (got["n"] or 0) / got["near"] if got["near"] else 1.0
+    share = F.least(F.lit(1.0), F.coalesce("n", F.lit(0)) / F.col("near"))
+    return true.join(found, "node", "left").agg(F.coalesce(F.avg(share), F.lit(1.0))).first()[0]
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -528,8 +531,10 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
         found = range_links(nodes, threshold, overlap, beam, shard_rows, block_rows)
         number = checkpoint(found.groupBy("node").agg(F.sum("n").alias("n")), cache=False)
         recall = audit(nodes, number, threshold)
-        if recall >= LEAST_RECALL or overlap > 12:
+        if recall >= LEAST_RECALL:
             break
+        if overlap >= MOST_OVERLAP:
+            raise RuntimeError(f"recall {recall:.4f} of the audited nodes is below {LEAST_RECALL} at overlap {overlap}")
         overlap, beam = 2 * overlap, 2 * beam
     reached = components(found.select("node", "low"))
     first = nodes.select("node", "first", "copies", "vector")

@@ -5,8 +5,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from llm_helpers import pairs_to_roots  # noqa: I001
+from pyspark.sql import functions as F
 
 from strata.llm import components, cws, embed_graph, simhash
 
@@ -176,3 +178,17 @@ def test_links_of_a_group_over_many_shards(spark):
     a, b = np.nonzero(np.triu(near, 1))
     roots = pairs_to_roots(range(len(x)), list(zip(a.tolist(), b.tolist())))
     assert sum(got[i]["component_id"] != roots[i] for i in range(len(x))) <= 2
+
+
+def test_audit_counts_nodes_alike_and_binds(spark, monkeypatch):
+    x, near = group_over_shards()
+    nodes = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "node long, vector array<double>, copies long")
+    have = [(i, int(n) - 1 if i < 1500 else 0) for i, n in enumerate(near.sum(axis=1))]  # no link of the small groups
+    found = spark.createDataFrame(have, "node long, n long")
+    true = near.sum(axis=1) > 1
+    share = embed_graph.audit(nodes, found, queries=len(x))
+    assert share == pytest.approx(true[:1500].sum() / true.sum())
+    monkeypatch.setattr(embed_graph, "audit", lambda *a, **k: 0.5)
+    df = nodes.select(F.col("node").alias("vec_id"), F.col("vector").alias("embedding")).where("node % 20 = 0")
+    with pytest.raises(RuntimeError, match="recall 0.5"):
+        embed_graph.near_duplicates(df, overlap=embed_graph.MOST_OVERLAP)
