@@ -140,6 +140,12 @@ def test_base_scores(spark, corpus):
             assert math.isfinite(r["score"]) and r["score"] < 0
 
 
+def test_scores_do_not_depend_on_the_table(spark, corpus):
+    small, large = ({r["doc_id"]: r["score"] for r in attention_lm.scores(corpus[0], table_words=n).collect()}
+                    for n in (10, 100_000))
+    assert small == pytest.approx(large, rel=1e-9)
+
+
 def test_windows_score_each_symbol_once():
     stops = np.array([0, 0, 1, 15, 16, 33, 133])
     symbols = np.arange(2, 135)
