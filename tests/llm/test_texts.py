@@ -146,6 +146,32 @@ def test_scores_do_not_depend_on_the_table(spark, corpus):
     assert small == pytest.approx(large, rel=1e-9)
 
 
+def test_order_is_learned_from_all_documents(spark, corpus):
+    rows = corpus[0].where("doc_id < 30").select("doc_id", "text")
+    path = wordbpe.default_path()
+    scorer, _, _ = attention_lm.fit(rows, path, train_docs=0)  # the weights see no document
+    tok, pairs = wordbpe.encoder(path), Counter()
+    for r in rows.collect():
+        symbols = scorer.symbol_of[tok.tok.encode(r["text"], add_special_tokens=False).ids].tolist()
+        pairs.update(zip([attention_lm.START, *symbols], [*symbols, attention_lm.END]))
+    got = np.exp(scorer.pair_log.reshape(-1, attention_lm.SYMBOLS).astype(np.float64)) / attention_lm.PAIRED
+    assert np.allclose(got.sum(axis=1), 1.0, atol=1e-4)
+    total, kinds = Counter(), Counter(a for a, _ in pairs)
+    for (a, _), n in pairs.items():
+        total[a] += n
+    assert all(n / (total[a] + kinds[a]) < got[a, b] < (n + kinds[a]) / (total[a] + kinds[a]) for (a, b), n in pairs.items())
+    text = rows.first()["text"]
+    order = [text, " ".join(reversed(text.split()))]
+    ids, stops = tok.join(*tok.split(pa.array(order)))
+    p = np.split(scorer.ids_log_p(ids, stops), [stops[1] + 1])
+    assert p[0].sum() > p[1].sum()  # the order that the documents have
+
+
+def test_neighbours_of_empty_and_other_texts():
+    got = attention_lm.neighbours(np.array([3, 4, 5]), np.array([0, 0, 2, 2, 3, 3]), 10)
+    assert [(c // 12, c % 12) for c in got.tolist()] == [(10, 11), (10, 3), (3, 4), (4, 11), (10, 11), (10, 5), (5, 11), (10, 11)]
+
+
 def test_windows_score_each_symbol_once():
     stops = np.array([0, 0, 1, 15, 16, 33, 133])
     symbols = np.arange(2, 135)
