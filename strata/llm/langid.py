@@ -8,9 +8,11 @@ n-gram with a directory over the hash's leading bits, so that one look-up serves
 
 A document is given the language of the lowest cross-entropy a symbol over its whole text.  ``score``
 is the softmax of the cross-entropies at a temperature fitted on the calibration part.  A document is
-rejected if it has no letter, or if its cross-entropy exceeds its language's limit: ``strictness`` of the
-way from the mean of the calibration texts to the mean of the same texts with their letters shuffled,
-which no order of letters tells apart from noise.  Texts that mix learned languages stay below it.
+rejected if it has no letter, or if its pieces of ``PART`` symbols, each under the language that fits it best,
+exceed its language's limit, so that texts that mix learned languages stay below it.  The limit lies halfway from a high
+quantile of the language's calibration texts to a low one of the other languages' texts that fall to it when their own model is
+left out, at least at the former, and at most ``strictness`` of the way from the mean of its texts to that
+of the same texts with their letters shuffled, which no order of letters tells apart from noise.
 
 Defined cases: null or empty text and text without a letter get ``und``, score 0, rejected;
 null languages are not learned from; equal texts get equal results; without any labelled row
@@ -32,6 +34,8 @@ ORDER = 4
 LETTERS = 61  # letters with a symbol of their own; the others share one
 SAMPLE_DOCS = 600
 STRICTNESS = 0.75
+#: Symbols of a piece, and the quantiles of a language's own and of the other languages' texts.
+PART, OWN_HIGH, OTHER_LOW = 128, 0.99, 0.05
 UNKNOWN = "und"
 
 RESULT = "struct<lang:string,score:double,bits:double,rejected:boolean>"
@@ -168,9 +172,14 @@ class Models:
 
     def bits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy a symbol of each whole text under each language; which texts have a letter."""
+        return self.pieces(texts)[:2]
+
+    def pieces(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """``bits``; then of all pieces of the texts their bits under each language and their text; the texts' symbols."""
         total = np.zeros((len(texts), len(self.langs)))
         symbols = np.zeros(len(texts))
         letters = np.zeros(len(texts), dtype=bool)
+        values, owners = [np.zeros((0, len(self.langs)))], [np.zeros(0, dtype=np.int64)]
         at = 0
         for part in slices(texts):
             code, bounds = self.alphabet.grams(part, ORDER)
@@ -178,18 +187,30 @@ class Models:
             full = np.flatnonzero(n)
             if len(full):
                 value = self._log2(code, ORDER)
-                total[at + full] = np.add.reduceat(value, bounds[full], axis=0, dtype=np.float64)
+                count = -(-n // PART)
+                owner = np.repeat(np.arange(len(part)), count)
+                first = bounds[owner] + PART * (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
+                piece = np.add.reduceat(value, first, axis=0, dtype=np.float64)
+                total[at + full] = np.add.reduceat(piece, np.searchsorted(owner, full), axis=0)
                 letters[at + full] = np.add.reduceat(code % self.alphabet.size > 0, bounds[full])
+                values.append(-piece)
+                owners.append(owner + at)
             symbols[at:at + len(part)] = n
             at += len(part)
-        return -total / np.maximum(symbols, 1)[:, None], letters
+        symbols = np.maximum(symbols, 1)
+        return -total / symbols[:, None], letters, np.concatenate(values), np.concatenate(owners), symbols
 
     def calibrate(self, texts: list[str], langs: list[str], strictness: float = STRICTNESS) -> None:
         """Temperature of the score and each language's limit."""
-        bits, letters = self.bits(texts)
+        bits, letters, piece, owner, symbols = self.pieces(texts)
         truth = np.array([self.langs.index(x) if x in self.langs else -1 for x in langs], dtype=np.int64)
         use = letters & (truth >= 0)
-        bits, truth = bits[use], truth[use]
+        mixed = np.bincount(owner, piece.min(axis=1), len(bits)) / symbols
+        # as if the text's own language had not been learned
+        np.put_along_axis(piece, np.maximum(truth[owner], 0)[:, None], np.inf, axis=1)
+        without = np.bincount(owner, piece.min(axis=1), len(bits)) / symbols
+        other = np.where(np.arange(len(self.langs)) == truth[:, None], np.inf, bits).argmin(axis=1)
+        bits, truth, mixed, without, other = bits[use], truth[use], mixed[use], without[use], other[use]
         self.limits = np.full(len(self.langs), np.log2(self.alphabet.size))
         if not len(bits):
             return
@@ -204,17 +225,23 @@ class Models:
             own = truth == at
             if own.any():
                 low, high = bits[own, at].mean(), noise[own, at].mean()
-                self.limits[at] = low + strictness * max(0.0, high - low)
+                own_high, limit = np.quantile(mixed[own], OWN_HIGH), low + strictness * max(0.0, high - low)
+                if not own.all():
+                    near = ~own & (other == at)
+                    strange = np.quantile(without[near if near.any() else ~own], OTHER_LOW)
+                    limit = min(limit, own_high + 0.5 * max(0.0, strange - own_high))
+                self.limits[at] = max(limit, own_high)
 
     def predict(self, texts: list[str]) -> pa.Array:
-        bits, letters = self.bits(texts)
+        bits, letters, piece, owner, symbols = self.pieces(texts)
+        mixed = np.bincount(owner, piece.min(axis=1), len(texts)) / symbols
         best = bits.argmin(axis=1)
         low = bits[np.arange(len(bits)), best]
         share = 1.0 / np.exp((low[:, None] - bits) * self.scale).sum(axis=1)
         names = np.array([*self.langs, UNKNOWN], dtype=object)
         arrays = [pa.array(names[np.where(letters, best, len(self.langs))], pa.string()),
                   pa.array(np.where(letters, np.clip(share, 0.0, 1.0), 0.0)), pa.array(low),
-                  pa.array(~letters | (low > self.limits[best]))]
+                  pa.array(~letters | (mixed > self.limits[best]))]
         return pa.StructArray.from_arrays(arrays, fields=list(_RESULT))
 
 

@@ -216,6 +216,24 @@ def test_languages_of_held_out_documents(spark, corpus):
     assert [x["lang"] for x in odd[:2]] == ["und", "und"] and all(x["rejected"] for x in odd)
 
 
+def test_languages_without_labels_are_rejected(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def text(lang, number):  # languages over the same letters, each with syllables of its own
+        draw = np.random.default_rng(lang)
+        syllables = ["".join(draw.choice(list(letters), 3)) for _ in range(40)]
+        draw = np.random.default_rng([lang, number])
+        return " ".join("".join(draw.choice(syllables, draw.integers(1, 4))) for _ in range(60))
+    rows = [(100 * k + i, text(k, i), f"l{k}") for k in (1, 2, 3) for i in range(100)]
+    models = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    unknown = models.predict([text(k, 1000 + i) for k in (4, 5) for i in range(50)]).to_pylist()
+    assert np.mean([x["rejected"] for x in unknown]) >= 0.95
+    known = [text(k, 1000 + i) for k in (1, 2, 3) for i in range(50)]
+    mixed = [f"{text(1, 2000 + i)} {text(2, 2000 + i)}" for i in range(50)]
+    for texts in (known, mixed):
+        assert np.mean([x["rejected"] for x in models.predict(texts).to_pylist()]) <= 0.02
+
+
 def test_kneser_ney_sums_to_one():
     alphabet = langid.Alphabet("abc")
     counts = {}
