@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (attention_lm, cws, embed_graph, gam, langid, packing, pieces, secrets, simhash,
-                        toxicity)
+                        substrings, toxicity)
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-model and attention-model scores of all documents."""
     return attention_lm.scores(table(spark, sf_dir, "documents"))
+
+
+_SHARED_WINDOWS = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+    SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS k
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w)),
+owners AS (SELECT k, MIN(doc_id) AS owner FROM windows GROUP BY k HAVING MIN(doc_id) < MAX(doc_id)),
+covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM windows JOIN owners USING (k) WHERE doc_id > owner),
+kept AS (
+    SELECT s.doc_id, COUNT(*) AS n, string_agg(s.word, ' ' ORDER BY s.p) AS text
+    FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w) s
+    ANTI JOIN covered c ON s.doc_id = c.doc_id AND s.p = c.p GROUP BY s.doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - COALESCE(n, 0) AS BIGINT) AS n_removed,
+       sha256(COALESCE(kept.text, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
+"""
+
+
+@query("op12_substring_dedup", _SHARED_WINDOWS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that stand in no window of a smaller document."""
+    return substrings.deduplicated(table(spark, sf_dir, "documents"))
