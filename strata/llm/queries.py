@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (attention_lm, cws, embed_graph, gam, langid, merkle, packing, pieces, secrets, simhash,
-                        substrings, toxicity)
+                        substrings, toxicity, whitening)
 from strata.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,9 @@ FROM upper u JOIN forest f ON f.size = 1 AND u.lvl = f.lvl JOIN leaves l ON l.do
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, root, proof and verification of all documents."""
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of all whole embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
