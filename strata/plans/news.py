@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import dedup_by_key
 from strata.functions.text import clean_html, extract_tags, rfc822_wallclock, url_id
+from strata.operators.bucket_merge import merge_into
 from strata.operators.merge import keyed_merge
 from strata.operators.search import register_search_function, search
 from strata.plans import refdata as R
@@ -19,7 +20,10 @@ from strata.plans import refdata as R
 NEWS_DDL = ("ID_NOTICIA string, NM_FONTE string, DS_CATEGORIA_FONTE string, "
             "DS_TITULO string, DS_RESUMO string, DS_URL_ORIGEM string, "
             "DT_PUBLICACAO timestamp, DS_TAGS string, DT_CARGA_DW timestamp")
-NEWS_CLUSTER = ["NM_FONTE", "DT_PUBLICACAO"]
+
+
+#: What a known link takes from a new batch.
+UPDATED = ["DS_TITULO", "DS_RESUMO", "DS_TAGS", "DT_CARGA_DW"]
 
 
 def ingest(items: DataFrame) -> DataFrame:
@@ -50,11 +54,16 @@ def merge_news(target: DataFrame | None, batch: DataFrame,
     if target is None:
         target = (spark or batch.sparkSession).createDataFrame([], NEWS_DDL)
     src = batch.withColumn("DT_CARGA_DW", F.current_timestamp())
-    return keyed_merge(target, src, ["ID_NOTICIA"],
-                       update_cols=["DS_TITULO", "DS_RESUMO", "DS_TAGS", "DT_CARGA_DW"],
+    return keyed_merge(target, src, ["ID_NOTICIA"], update_cols=UPDATED,
                        duplicates="ignore")  # ``ingest`` keeps one row a link
 
 
+def merge_news_table(spark: SparkSession, path: str, batch: DataFrame) -> dict[str, int]:
+    """H3 on the stored table: only buckets with a row of the batch are rewritten."""
+    src = batch.withColumn("DT_CARGA_DW", F.current_timestamp())
+    return merge_into(spark, path, src, ["ID_NOTICIA"], update_cols=UPDATED, duplicates="ignore", schema=NEWS_DDL)
+
+
 def search_news(news: DataFrame, term: str | None, source: str | None = None,
                 limit: int = 10) -> DataFrame:
     """The table function as a DataFrame call."""

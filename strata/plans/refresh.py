@@ -4,9 +4,9 @@ Layout under ``out_dir``::
 
     bronze/{entidades,numeros,noticias}            overwritten each run
     silver/{tbl_entidades,tbl_enderecos,tbl_hierarquia,stg_silver_numeros}
-    silver/tbl_silver_numeros/vNNNNNN               merge snapshots (H2)
+    silver/tbl_silver_numeros/vNNNNNN/bucket_of_64=N  the buckets that a merge changed (H2)
     gold/{dim_entidade,...,kpi_resumo_executivo}   overwritten, clustered (A11)
-    gold/dim_inteligencia_mercado/vNNNNNN           merge snapshots (H3)
+    gold/dim_inteligencia_mercado/vNNNNNN/bucket_of_64=N  likewise (H3)
 
 Input ``in_dir`` holds the landed, untouched API answers: ``entidades*.json``,
 ``numeros*.json`` (or ``.jsonl``, one item a line) and ``feeds/<SOURCE NAME>.xml``.  Re-running on the same input
@@ -21,21 +21,20 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.bucket_merge import read_buckets
 from strata.operators.flatten import union_heterogeneous
 from strata.plans import gold as G
 from strata.plans import indicators as I
 from strata.plans import news as N
 from strata.plans import refdata as R
 from strata.plans import silver as S
-from strata.sources import snapshots
 from strata.sources.documents import read_entity_document, read_panel
 from strata.sources.feeds import read_feeds
-from strata.sources.sinks import clustered, write_table
+from strata.sources.sinks import write_table
 
 log = logging.getLogger(__name__)
 
 MARTS = list(G.MARTS)
-SILVER_CLUSTER = ["DT_ANO", "DS_FLAG"]  # A11 layout of the merged indicator table
 
 
 def _p(base: str, *parts: str) -> str:
@@ -72,7 +71,7 @@ def raw_to_bronze(spark: SparkSession, in_dir: str, out_dir: str) -> dict[str, s
 
 def bronze_to_silver(spark: SparkSession, out_dir: str, as_of: dt.date,
                      strict: bool = False, duplicates: str = "error") -> dict[str, int]:
-    """Bronze -> silver tables; the indicator table is merged into a new snapshot."""
+    """Bronze -> silver tables; the indicator table is merged by touched buckets."""
     b_ent = spark.read.parquet(_p(out_dir, "bronze", "entidades"))
     write_table(S.entities(b_ent, strict), _p(out_dir, "silver", "tbl_entidades"))
     write_table(S.addresses(b_ent, strict), _p(out_dir, "silver", "tbl_enderecos"))
@@ -80,33 +79,15 @@ def bronze_to_silver(spark: SparkSession, out_dir: str, as_of: dt.date,
     b_num = spark.read.parquet(_p(out_dir, "bronze", "numeros"))
     write_table(I.staging(b_num, as_of), _p(out_dir, "silver", "stg_silver_numeros"))
     stg = spark.read.parquet(_p(out_dir, "silver", "stg_silver_numeros"))
-    base = _p(out_dir, "silver", "tbl_silver_numeros")
-    merged = I.merge_indicators(_current(spark, base), I.unify(stg, as_of, strict),
-                                spark=spark, duplicates=duplicates)
-    path = snapshots.write_next(clustered(merged.withColumnRenamed("_action", ACTION),
-                                          SILVER_CLUSTER), base)
-    return _counts_from(spark, path)
-
-
-ACTION = "merge_action"  # kept in each snapshot: what the run did to the row
-
-
-def _current(spark: SparkSession, base: str) -> DataFrame | None:
-    df = snapshots.read_latest(spark, base)
-    return None if df is None else df.drop(ACTION)
-
-
-def _counts_from(spark: SparkSession, path: str) -> dict[str, int]:
-    """Action counts read back from the written snapshot (no recomputation)."""
-    rows = spark.read.parquet(path).groupBy(ACTION).count().collect()
-    return {r[0]: r[1] for r in rows}
+    return I.merge_indicator_table(spark, _p(out_dir, "silver", "tbl_silver_numeros"),
+                                   I.unify(stg, as_of, strict), duplicates=duplicates)
 
 
 def silver_numbers(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Current merged indicator table without the merge bookkeeping column."""
-    df = _current(spark, _p(out_dir, "silver", "tbl_silver_numeros"))
+    """Current merged indicator table."""
+    df = read_buckets(spark, _p(out_dir, "silver", "tbl_silver_numeros"))
     if df is None:
-        raise FileNotFoundError("no indicator snapshot yet: run bronze_to_silver first")
+        raise FileNotFoundError("no indicator table yet: run bronze_to_silver first")
     return df
 
 
@@ -134,9 +115,7 @@ def silver_to_gold(spark: SparkSession, out_dir: str, news: bool = True) -> dict
     if news and _exists(spark, bronze_news):
         batch = N.ingest(spark.read.parquet(bronze_news))
         base = _p(out_dir, "gold", "dim_inteligencia_mercado")
-        merged = N.merge_news(_current(spark, base), batch, spark)
-        snapshots.write_next(clustered(merged.withColumnRenamed("_action", ACTION),
-                                       N.NEWS_CLUSTER), base)
+        N.merge_news_table(spark, base, batch)
         out["dim_inteligencia_mercado"] = base
     return out
 
@@ -158,10 +137,10 @@ def _files(spark: SparkSession, folder: str, ending: str) -> dict[str, str]:
 
 
 def gold_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """The gold tables as DataFrames (news: latest snapshot, bookkeeping dropped)."""
+    """The gold tables as DataFrames (news only if any was loaded)."""
     names = ["dim_entidade", "dim_hierarquia", "fato_metricas_entidades", *MARTS]
     tables = {n: spark.read.parquet(_p(out_dir, "gold", n)) for n in names}
-    news = _current(spark, _p(out_dir, "gold", "dim_inteligencia_mercado"))
+    news = read_buckets(spark, _p(out_dir, "gold", "dim_inteligencia_mercado"))
     if news is not None:
         tables["dim_inteligencia_mercado"] = news
     return tables

@@ -6,15 +6,19 @@ articles, ``orders`` for the indicator table that the conditional merge keeps.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import clean_html, extract_tags, rfc822_wallclock, url_id
+from strata.operators.bucket_merge import merge_into, read_buckets, write_buckets
 from strata.operators.flatten import union_heterogeneous
 from strata.operators.merge import keyed_merge, value_changed
 from strata.operators.search import search
 from strata.plans.news import ingest
 from strata.plans.registry import query
+from strata.session import ensure_checkpoint_dir
 from strata.sources.tables import Tables
 
 # Fixed values for the test mapping: tag terms that occur in the synthetic prose.
@@ -135,6 +139,50 @@ def merge_conditional(t: Tables) -> DataFrame:
     return merged.withColumnRenamed("_action", "merge_action")
 
 
+# CRC-32 of a text of ASCII characters, bit by bit
+_CRC = """xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({0}, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(
+        list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+        lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+@query("merge_stored", f"""
+WITH last AS (SELECT CAST(MAX(o_orderdate) AS DATE) AS d FROM orders),
+t AS (SELECT o_orderkey, o_orderstatus, o_totalprice AS value, 1 AS batch FROM orders, last
+      WHERE CAST(o_orderdate AS DATE) < d),
+s AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN NULL
+             WHEN CAST(o_orderdate AS DATE) < d - 1 THEN o_totalprice ELSE o_totalprice + 100 END AS value
+      FROM orders, last WHERE CAST(o_orderdate AS DATE) >= d - 2),
+a AS (SELECT COALESCE(t.o_orderkey, s.o_orderkey) AS o_orderkey, t.o_orderstatus AS ts, s.o_orderstatus AS ss,
+             t.value AS tv, s.value AS sv, t.o_orderkey IS NULL AS ins,
+             t.o_orderkey IS NOT NULL AND s.o_orderkey IS NOT NULL AND (t.value <> s.value OR t.value IS NULL) AS upd
+      FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey),
+b AS (SELECT *, {_CRC.format("CAST(o_orderkey AS VARCHAR)")} % 64 AS bucket FROM a)
+SELECT o_orderkey, CASE WHEN ins THEN ss ELSE ts END AS o_orderstatus,
+       CASE WHEN ins OR upd THEN sv ELSE tv END AS value, CASE WHEN ins OR upd THEN 2 ELSE 1 END AS batch,
+       bool_or(COALESCE(ins OR upd, FALSE)) OVER (PARTITION BY bucket) AS rewritten
+FROM b""")
+def merge_stored(t: Tables) -> DataFrame:
+    """H2/D4 on a stored table: all orders but those of the last day, merged with the last three days.
+
+    The oldest of the three days brings nothing new, the next one new prices, the last one new orders; pending orders come
+    without a value.  ``rewritten`` says whether the row's bucket was written anew (from its file's path)."""
+    path = f"{ensure_checkpoint_dir(t.spark)}/orders-{uuid.uuid4().hex}"
+    day = F.col("o_orderdate").cast("date")
+    last = t.orders.agg(F.max(day)).first()[0]
+    rows = ["o_orderkey", "o_orderstatus"]
+    write_buckets(t.orders.where(day < F.lit(last)).select(*rows, F.col("o_totalprice").alias("value"),
+                                                           F.lit(1).alias("batch")), path, ["o_orderkey"])
+    value = (F.when(F.col("o_orderstatus") == "P", F.lit(None))
+             .when(day < F.date_sub(F.lit(last), 1), F.col("o_totalprice")).otherwise(F.col("o_totalprice") + 100))
+    merge_into(t.spark, path, t.orders.where(day >= F.date_sub(F.lit(last), 2)).select(
+        *rows, value.alias("value"), F.lit(2).alias("batch")), ["o_orderkey"], update_cols=["value"],
+        condition=value_changed("value"), on_update={"batch": F.lit(2)})
+    merged = read_buckets(t.spark, path)
+    return merged.select(*merged.columns, F.col("_metadata.file_path").contains("/v000002/").alias("rewritten"))
+
+
 def _news_frames(t: Tables):
     p = t.pages
     tgt = p.select(url_id("url").alias("news_id"), F.col("url"),

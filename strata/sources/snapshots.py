@@ -33,16 +33,22 @@ def _folders(spark: SparkSession, base: str) -> list[tuple[int, str]]:
     return sorted(((int(m.group(1)), path) for m, path in found if m), reverse=True)
 
 
-def latest_path(spark: SparkSession, base: str) -> str | None:
-    """The newest committed version; None for a table that was never written."""
+def committed(spark: SparkSession, base: str) -> list[str]:
+    """Committed versions, the newest first; none for a table that was never written."""
     folders = _folders(spark, base)
+    out = []
     for _, path in folders:
         fs, _, jvm = _fs(spark, path)
         if any(fs.exists(jvm.org.apache.hadoop.fs.Path(path, mark)) for mark in (RECORD, "_SUCCESS")):
-            return path
-    if folders:
+            out.append(path)
+    if folders and not out:
         raise RuntimeError(f"{base} holds versions but no commit record: refusing to take it for an empty table")
-    return None
+    return out
+
+
+def latest_path(spark: SparkSession, base: str) -> str | None:
+    """The newest committed version; None for a table that was never written."""
+    return next(iter(committed(spark, base)), None)
 
 
 def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
