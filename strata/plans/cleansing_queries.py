@@ -6,6 +6,9 @@ F4 (deterministic dedup), Q12 (lookup by punctuated id), H13 (domain checks).
 
 from __future__ import annotations
 
+import uuid
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +16,9 @@ from strata.functions import clean as C
 from strata.functions.keys import dedup_by_key
 from strata.operators.quality import DomainRule, domain_report
 from strata.operators.enrich import lookup_join
+from strata.operators.layout import along_curve, share_read
 from strata.plans.registry import query
+from strata.session import ensure_checkpoint_dir
 from strata.sources.tables import Tables
 
 # DuckDB has no initcap; Spark's capitalises the first letter after each space.
@@ -201,3 +206,26 @@ def domain_check(t: Tables) -> DataFrame:
     """Allowed-domain violations per rule, one aggregate pass per table."""
     return domain_report(t.orders, ORDER_RULES).unionByName(
         domain_report(t.lineitem, LINE_RULES))
+
+
+@query("clustered_two_keys", """
+SELECT l_suppkey, COUNT(*) AS n_lines, CAST(SUM(l_quantity) AS BIGINT) AS quantity, MIN(l_shipdate) AS first_ship,
+       TRUE AS skips_by_date, TRUE AS skips_by_supplier
+FROM lineitem WHERE l_suppkey BETWEEN (SELECT MAX(l_suppkey) // 3 FROM lineitem)
+  AND (SELECT MAX(l_suppkey) // 3 + MAX(l_suppkey) // 20 FROM lineitem)
+GROUP BY l_suppkey""")
+def clustered_two_keys(t: Tables) -> DataFrame:
+    """All line items written along the curve of ship date and supplier, read back by supplier.
+
+    The last columns say whether at most half of the files can hold a month of ship dates, and the suppliers asked for."""
+    path = f"{ensure_checkpoint_dir(t.spark)}/lines-{uuid.uuid4().hex}"
+    along_curve(t.lineitem, ["l_shipdate", "l_suppkey"], files=64).write.parquet(path)
+    lines = t.spark.read.parquet(path)
+    top, day = lines.agg(F.max("l_suppkey"), F.percentile_approx("l_shipdate", 0.5)).first()
+    low, high = top // 3, top // 3 + top // 20
+    by_date = share_read(lines, "l_shipdate", day, day + timedelta(days=30))
+    by_supplier = share_read(lines, "l_suppkey", low, high)
+    return (lines.where(F.col("l_suppkey").between(low, high)).groupBy("l_suppkey")
+            .agg(F.count("*").alias("n_lines"), F.sum("l_quantity").cast("long").alias("quantity"),
+                 F.min("l_shipdate").alias("first_ship"))
+            .select("*", F.lit(by_date <= 0.5).alias("skips_by_date"), F.lit(by_supplier <= 0.5).alias("skips_by_supplier")))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.layout import along_curve
+
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
              infer: bool = False) -> DataFrame:
@@ -44,7 +46,8 @@ def write_raw_json(df: DataFrame, path: str) -> None:
 
 def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Range-partition by the clustering keys and sort inside each file, so
-    parquet min/max statistics let later filters on those keys skip files.
+    parquet min/max statistics let later filters on the first of those keys skip files
+    (``operators/layout.py``: on any of them).
 
     A hash of the row is the last range key: rows that share a common clustering value spread
     over several tasks.  The number of partitions is left to AQE."""
@@ -55,8 +58,10 @@ def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] | None = None,
                 partition_by: Sequence[str] | None = None) -> None:
-    """Full overwrite with schema replacement (parquet)."""
-    out = clustered(df, cluster_by) if cluster_by else df
+    """Full overwrite with schema replacement (parquet); several clustering keys share a curve."""
+    out = df
+    if cluster_by:
+        out = clustered(df, cluster_by) if len(cluster_by) == 1 else along_curve(df, cluster_by)
     w = out.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
