@@ -8,10 +8,13 @@
                                               (null element -> ``'None'``; empty -> null)
 * scalar                                   -> itself
 
-The number of positions of each array of structs is measured by one aggregate
-job (``max(size(...))`` for all such arrays at once), the only pass besides the
-projection itself; nothing is collected but that one row.  Spark infers a list
-mixing objects and scalars as ``array<string>``, so it takes the join path.
+The number of positions of every array of structs, nested ones included, is measured by one
+aggregate over their sizes in each row, the only pass besides the projection itself; what is collected is
+one row an array and position.
+
+A list's first element alone says whether it is one of objects, row by row.  ``parse_json_column`` finds the lists
+whose elements have no common type (Spark's reader takes them for lists of text): of rows where such a list starts with an
+object the elements become structs, of the others they are joined.
 
 ``unpivot_panel`` (B2) turns items of the form ``{indicator: value, ...}`` into
 long rows, using only the first key of each item (JSON parsed into a map keeps
@@ -22,7 +25,7 @@ become columns and may overwrite ``indicator``/``position``.
 
 from __future__ import annotations
 
-import re
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,69 +44,145 @@ def _scalar_list(c: Column, elem: T.DataType) -> Column:
     return F.when(F.size(c) > 0, F.array_join(s, ", "))
 
 
+#: Ends the name of a field that holds the objects of a list whose type differs from row to row.
+OBJECTS = "\x00objects"
+
+
+def _is_objects(t: T.DataType) -> bool:
+    return isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType)
+
+
+def _named(name: str, parent: str | None, sep: str) -> str:
+    name = name.removesuffix(OBJECTS)
+    return f"{parent}{sep}{name}" if parent else name
+
+
+def _holds_objects(t: T.DataType) -> bool:
+    return _is_objects(t) or isinstance(t, T.StructType) and any(_holds_objects(f.dataType) for f in t.fields)
+
+
+def _lengths(ref: Column, t: T.DataType, path: Column) -> Column:
+    """``array<struct<path, n>>``: every array of structs within a value, with its length."""
+    none = F.array().cast("array<struct<path:string,n:int>>")
+    if _is_objects(t):
+        own = F.array(F.struct(path.alias("path"), F.size(ref).alias("n")))
+        if not _holds_objects(t.elementType):
+            return F.when(ref.isNotNull(), own).otherwise(none)
+        inner = F.flatten(F.transform(ref, lambda x, i: _lengths(
+            x, t.elementType, F.concat(path, F.lit("\x01"), i.cast("string")))))
+        return F.when(ref.isNotNull(), F.concat(own, inner)).otherwise(none)
+    if isinstance(t, T.StructType):
+        parts = [_lengths(ref.getField(f.name), f.dataType, F.concat(path, F.lit("\x01" + f.name)))
+                 for f in t.fields if _holds_objects(f.dataType)]
+        return F.concat(*parts) if parts else none
+    return none
+
+
+def _leaves(ref: Column, t: T.DataType, name: str, path: str, lengths: dict[str, int], sep: str):
+    """``(name, column)`` of everything below a value, in the order of the document's schema."""
+    if isinstance(t, T.StructType):
+        for f in t.fields:
+            yield from _leaves(ref.getField(f.name), f.dataType, _named(f.name, name, sep), f"{path}\x01{f.name}",
+                               lengths, sep)
+    elif _is_objects(t):
+        for i in range(lengths.get(path, 0)):
+            yield from _leaves(F.get(ref, i), t.elementType, f"{name}{sep}{i}", f"{path}\x01{i}", lengths, sep)
+    elif isinstance(t, T.ArrayType):
+        yield name, _scalar_list(ref, t.elementType)
+    else:
+        yield name, ref
+
+
 def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
     """B1: flatten every struct and array column of ``df`` (see module doc)."""
-    while True:
-        arrays = [f.name for f in df.schema.fields
-                  if isinstance(f.dataType, T.ArrayType)
-                  and isinstance(f.dataType.elementType, T.StructType)]
-        structs = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StructType)]
-        scal_arrays = [f.name for f in df.schema.fields
-                       if isinstance(f.dataType, T.ArrayType) and f.name not in arrays]
-        if not arrays and not structs and not scal_arrays:
-            return df
-        sizes = {}
-        if arrays:
-            row = df.agg(*[F.max(F.size(F.col(f"`{a}`"))).alias(f"s{i}")
-                           for i, a in enumerate(arrays)]).first()
-            sizes = {a: max(int(row[f"s{i}"] or 0), 0) for i, a in enumerate(arrays)}
-        cols: dict[str, Column] = {}
-        for f in df.schema.fields:
-            ref = F.col(f"`{f.name}`")
-            if f.name in structs:
-                for sub in f.dataType.fields:
-                    cols[f"{f.name}{sep}{sub.name}"] = ref.getField(sub.name)
-            elif f.name in arrays:
-                for i in range(sizes[f.name]):
-                    cols[f"{f.name}{sep}{i}"] = F.get(ref, i)
-            elif f.name in scal_arrays:
-                cols[f.name] = _scalar_list(ref, f.dataType.elementType)
-            else:
-                cols[f.name] = ref
+    refs = [(F.col(f"`{f.name}`"), f) for f in df.schema.fields]
+    nested = [_lengths(ref, f.dataType, F.lit(f.name)) for ref, f in refs if _holds_objects(f.dataType)]
+    lengths = {}
+    if nested:
+        found = df.select(F.explode(F.concat(*nested)).alias("e")).groupBy("e.path").agg(F.max("e.n").alias("n"))
+        lengths = {r["path"]: r["n"] for r in found.collect()}  # one row an array and position
+    columns: dict[str, Column] = {}
+    for ref, f in refs:
         # later duplicates win, as with dict updates
-        df = df.select(*[c.alias(n) for n, c in cols.items()])
-
+        columns.update(_leaves(ref, f.dataType, _named(f.name, None, sep), f.name, lengths, sep))
+    return df.select(*[c.alias(n) for n, c in columns.items()])
 
-_TYPE_AT = r"(?<=: )|(?<=ARRAY<)|^"
 
+def json_schema(texts: DataFrame, mode: str = "PERMISSIVE") -> T.StructType:
+    """The schema that Spark's JSON reader infers from a column of texts, all of them, inside the JVM.
 
-def _variant_schema_to_ddl(s: str) -> str:
-    """``schema_of_variant_agg`` text -> DDL with the JSON reader's type choices."""
-    s = re.sub(rf"(?:{_TYPE_AT})OBJECT<", "STRUCT<", s)
-    s = re.sub(rf"(?:{_TYPE_AT})(?:VOID|VARIANT)(?=[,>]|$)", "STRING", s)
-    return re.sub(rf"(?:{_TYPE_AT})DECIMAL\(\d+,[1-9]\d*\)", "DOUBLE", s)
+    Damaged texts count as null, or raise with ``FAILFAST``."""
+    spark = texts.sparkSession
+    reader = spark._jsparkSession.read().option("mode", mode)
+    found = reader.json(getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING()))
+    return T.StructType.fromJson(json.loads(found.schema().json()))
 
 
 def infer_json_schema(spark: SparkSession, df: DataFrame, col: str) -> T.StructType:
-    """Schema of a JSON text column, inferred inside the JVM.
-
-    ``schema_of_variant_agg(try_parse_json(col))`` is a distributed aggregate that
-    merges per-row schemas map-side, so no text leaves the executors; object
-    fields come out sorted by name, as with the JSON reader.  Invalid JSON rows
-    count as null.  Give a schema where one is known.
-    """
-    text = df.select(F.expr(f"schema_of_variant_agg(try_parse_json(`{col}`))")).first()[0]
-    dtype = T.DataType.fromDDL(_variant_schema_to_ddl(text))
-    if not isinstance(dtype, T.StructType):
-        raise ValueError(f"column {col} holds no JSON objects but {text}")
-    return dtype
+    """Schema of a JSON text column, by the JSON reader's own inference."""
+    found = json_schema(df.select(F.col(f"`{col}`").cast("string").alias("value")))
+    fields = [f for f in found.fields if f.name != "_corrupt_record"]
+    if not fields:
+        raise ValueError(f"column {col} holds no JSON objects")
+    return T.StructType(fields)
+
+
+def _text_lists(t: T.StructType, path: tuple[str, ...] = ()):
+    """Paths of the lists of text in a schema, those below other lists left out."""
+    for f in t.fields:
+        if isinstance(f.dataType, T.StructType):
+            yield from _text_lists(f.dataType, (*path, f.name))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
+            if not any("'" in name for name in (*path, f.name)):
+                yield (*path, f.name)
+
+
+def _elements(doc: Column, path: Sequence[str]) -> Column:
+    """The list at a path of a variant as an array of variants; null if there is no list."""
+    return F.try_variant_get(doc, "$" + "".join(f"['{name}']" for name in path), "array<variant>")
+
+
+def _with_objects(ref: Column, path: Sequence[str], objects: Column) -> Column:
+    """A struct whose list at ``path`` is null where ``objects`` is not, which becomes a field beside it."""
+    name, *rest = path
+    if rest:
+        return F.when(ref.isNotNull(), ref.withField(f"`{name}`", _with_objects(ref.getField(name), rest, objects)))
+    texts = F.when(objects.isNull(), ref.getField(name))
+    return F.when(ref.isNotNull(), ref.withField(f"`{name}`", texts).withField(f"`{name}{OBJECTS}`", objects))
+
+
+def split_mixed_lists(df: DataFrame, doc: str, parsed: str, schema: T.StructType) -> DataFrame:
+    """Lists of objects in rows where a list of text starts with one; ``doc``: the variant, ``parsed``: the struct.
+
+    One aggregate finds the lists that start with an object somewhere; only these are inferred and read again."""
+    paths = list(_text_lists(schema))
+    if not paths:
+        return df
+    firsts = [F.schema_of_variant(F.get(_elements(F.col(doc), p), 0)).startswith("OBJECT<") for p in paths]
+    found = df.agg(*[F.bool_or(F.coalesce(f, F.lit(False))).alias(f"p{i}") for i, f in enumerate(firsts)]).first()
+    out = F.col(parsed)
+    for i, (path, first) in enumerate(zip(paths, firsts)):
+        if not found[i]:
+            continue
+        elements = F.when(first, F.transform(_elements(F.col(doc), path), lambda e: F.to_json(e)))
+        kind = json_schema(df.select(F.explode(elements).alias("value")))
+        kind = T.StructType([f for f in kind.fields if f.name != "_corrupt_record"])
+        out = _with_objects(out, path, F.transform(elements, lambda e: F.from_json(e, kind)))
+    return df.withColumn(parsed, out)
 
 
 def parse_json_column(df: DataFrame, col: str, schema: T.StructType | None = None,
                       alias: str | None = None) -> DataFrame:
-    """JSON text column -> struct column (schema inferred when not given)."""
-    schema = schema or infer_json_schema(df.sparkSession, df, col)
-    return df.withColumn(alias or col, F.from_json(F.col(col), schema))
+    """JSON text column -> struct column (schema inferred when not given).
+
+    With an inferred schema, lists that start with an object in some rows and not in others are split by
+    row (see module doc)."""
+    name = alias or col
+    if schema is not None:
+        return df.withColumn(name, F.from_json(F.col(col), schema))
+    schema = infer_json_schema(df.sparkSession, df, col)
+    both = df.withColumn("_doc", F.try_parse_json(F.col(col))).withColumn(name, F.from_json(F.col(col), schema))
+    return split_mixed_lists(both, "_doc", name, schema).drop("_doc")
 
 
 def union_heterogeneous(frames: Sequence[DataFrame]) -> DataFrame:

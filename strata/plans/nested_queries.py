@@ -6,12 +6,17 @@ parse/flatten work grows with the tables and no group is ever collected.
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.flatten import flatten, parse_json_column, unpivot_panel
 from strata.operators.hierarchy import edges_from_parent_array, edges_from_parent_columns, parent_columns
 from strata.plans.registry import query
+from strata.session import ensure_checkpoint_dir
+from strata.sources.documents import read_entity_document
 from strata.sources.tables import Tables
 
 
@@ -96,6 +101,57 @@ def flatten_nested(t: Tables) -> DataFrame:
     return flatten(docs.select(F.col("doc.*")))
 
 
+@query("flatten_mixed", """
+SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'F' THEN
+         CASE WHEN o_orderstatus = 'O' THEN o_orderkey || ', ' || '{"a":' || o_custkey || '}' ELSE o_orderpriority END
+       END AS info_l,
+       CASE WHEN o_orderstatus = 'F' THEN o_custkey END AS info_l_0_a, CAST(NULL AS VARCHAR) AS info_l_0_b,
+       CAST(NULL AS BIGINT) AS info_l_1_a,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS info_l_1_b
+FROM orders""")
+def flatten_mixed(t: Tables) -> DataFrame:
+    """B1 on a list that differs from row to row: objects, text, or numbers with an object behind them.
+
+    The first element decides in each row whether the list becomes positions or one joined text."""
+    a = F.to_json(F.struct(F.col("o_custkey").alias("a")))
+    b = F.to_json(F.struct(F.col("o_orderpriority").alias("b")))
+    text = F.to_json(F.array("o_orderpriority"))
+    items = (F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("["), a, F.lit(","), b, F.lit("]")))
+             .when(F.col("o_orderstatus") == "O", F.concat(F.lit("["), F.col("o_orderkey"), F.lit(","), a, F.lit("]")))
+             .otherwise(text))
+    doc = F.concat(F.lit('{"id":'), F.col("o_orderkey"), F.lit(',"info":{"l":'), items, F.lit("}}"))
+    return flatten(parse_json_column(t.orders.select(doc.alias("doc")), "doc").select("doc.*"))
+
+
+def _documents_of(rows: DataFrame, item: str, path: str) -> None:
+    """Write JSON texts as documents, one file a partition: an object with all its items in one list."""
+    def work(batches):
+        first = True
+        yield pa.RecordBatch.from_arrays([pa.array(['{"versao": 2, "entidades": ['])], ["value"])
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            lines = [t if first and not i else f",{t}" for i, t in enumerate(texts)]
+            first = first and not lines
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]}"])], ["value"])
+    rows.select(item).mapInArrow(work, "value string").write.text(path)
+
+
+@query("entity_documents", """
+SELECT c_custkey AS id, c_name AS nome, c_nationkey AS endereco_pais, c_mktsegment AS endereco_setor,
+       c_custkey AS ids_pai_0_id, c_nationkey AS ids_pai_1_id
+FROM customer""")
+def entity_documents(t: Tables) -> DataFrame:
+    """A1: all customers landed as documents with one long list each, read back element by element and flattened."""
+    folder = f"{ensure_checkpoint_dir(t.spark)}/entities-{uuid.uuid4().hex}"
+    item = F.to_json(F.struct(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"),
+        F.struct(F.col("c_nationkey").alias("pais"), F.col("c_mktsegment").alias("setor")).alias("endereco"),
+        F.array(F.struct(F.col("c_custkey").alias("id")), F.struct(F.col("c_nationkey").alias("id"))).alias("ids_pai")))
+    _documents_of(t.customer.select(item.alias("item")), "item", folder)
+    return read_entity_document(t.spark, folder)
+
+
 def _panel_items(t: Tables) -> DataFrame:
     c = t.conversations.select("turn", "role", "text")
     sentences = F.split(F.col("text"), r"\. ", -1)

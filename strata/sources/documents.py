@@ -1,14 +1,12 @@
 """A1/A2: landed API documents -> DataFrames.
 
-A1 ``read_entity_document``: a JSON object with a list under a key (``entidades``),
-read with Spark's JSON reader (schema inferred), one row per list element, then
-flattened (B1) so the result has the flat column names of the bronze table.
-
-A2 ``read_panel_items``: a JSON array of one-key objects.  The file is read as
-text and split into item strings with ``from_json(..., 'array<string>')``; the
-items keep their key order, which the unpivot (B2) needs.  JSON-lines files
-(one item per line) are split by Spark across tasks; an array document is one
-record per file, which is the shape of the API's answer.
+A1 ``read_entity_document``: a JSON object with a list under a key (``entidades``), one row per list element
+(schema inferred by Spark's JSON reader), then flattened (B1) so the result has the flat column names of the
+bronze table.
+
+A2 ``read_panel_items``: a JSON array of one-key objects, one row per item; the items keep their key order,
+which the unpivot (B2) needs.  Both documents are split over tasks (``sources/json_lists.py``), as are
+JSON-lines files (one item per line).
 """
 
 from __future__ import annotations
@@ -16,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.flatten import flatten, unpivot_panel
+from strata.operators.flatten import flatten, json_schema, split_mixed_lists, unpivot_panel
+from strata.sources.json_lists import json_elements
 
 FILE_COL, TIME_COL = "nome_arquivo", "data_insercao"
 
@@ -28,13 +27,12 @@ def read_entity_document(spark: SparkSession, path: str, list_key: str = "entida
     A damaged document or one without ``list_key`` raises, like the API client it replaces.
     ``lineage`` adds the source file name and load time (A12).
     """
-    raw = (spark.read.option("multiLine", True).option("mode", "FAILFAST")
-           .json(path))
-    if list_key not in raw.columns:
-        raise KeyError(f"document at {path} has no '{list_key}' list")
-    extra = [F.col("_metadata.file_name").alias(FILE_COL)] if lineage else []
-    rows = raw.select(F.explode(F.col(list_key)).alias("_e"), *extra).select("_e.*", *(
-        [FILE_COL] if lineage else []))
+    items = json_elements(spark, path, list_key)
+    schema = json_schema(items.select("item"), "FAILFAST")
+    extra = [F.element_at(F.split("file", "/"), -1).alias(FILE_COL)] if lineage else []
+    both = items.select(F.parse_json("item").alias("_doc"),
+                        F.from_json("item", schema, {"mode": "FAILFAST"}).alias("_e"), *extra)
+    rows = split_mixed_lists(both, "_doc", "_e", schema).select("_e.*", *([FILE_COL] if lineage else []))
     out = flatten(rows) if flat else rows
     return out.withColumn(TIME_COL, F.current_timestamp()) if lineage else out
 
@@ -48,10 +46,7 @@ def read_panel_items(spark: SparkSession, path: str, json_lines: bool = False) -
                 .select(F.trim("value").alias("item"),
                         F.col("_metadata.file_name").alias(FILE_COL))
                 .filter(F.length("item") > 0))
-    docs = spark.read.text(path, wholetext=True)
-    damaged = F.raise_error(F.concat(F.lit("not a JSON array: "), F.col("_metadata.file_path"))).cast("array<string>")
-    arr = F.coalesce(F.from_json(F.col("value"), "array<string>"), damaged)
-    return docs.select(F.explode(arr).alias("item"), F.col("_metadata.file_name").alias(FILE_COL))
+    return json_elements(spark, path).select("item", F.element_at(F.split("file", "/"), -1).alias(FILE_COL))
 
 
 def read_panel(spark: SparkSession, path: str, fields=None, json_lines: bool = False,

@@ -248,3 +248,17 @@ def test_unpivot_keeps_strings_that_look_like_lists(spark):
     assert got == [("b", 0, '{"valor": 9}'), ("b", 1, "5"), ("e", 0, None), ("e", 1, "true"), ("e", 2, "1.5")]
     rest = [(r["indicador"], r["valor"]) for r in unpivot_panel(df, "item").collect() if r["indice"] is None]
     assert sorted(rest, key=str) == [("a", "[1,2]"), ("d", None)]
+
+
+def test_flatten_decides_by_row(spark):
+    docs = [{"id": 1, "m": [{"a": 1, "n": [{"z": 5}, {"z": 6}]}, {"a": 2}]}, {"id": 2, "m": ["x", "y"]}, {"id": 3, "m": []},
+            {"id": 4, "m": [7, {"a": 9}]}, {"id": 5, "o": {"m": [{"b": "q"}]}}, {"id": 6, "o": {"m": ["{not}"]}},
+            {"id": 7, "l": [{"k": [{"v": 1}]}, {"k": [{"v": 2}, {"v": 3}]}]}]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "doc string")
+    flat = flatten(parse_json_column(df, "doc").select("doc.*"))
+    rows = {r["id"]: r.asDict() for r in flat.collect()}
+    assert {k: v for k, v in rows[4].items() if v is not None} == {"id": 4, "m": '7, {"a":9}'}
+    for d in docs[:3] + docs[4:]:
+        want = {k: v for k, v in py_flatten(d).items() if v is not None}
+        assert {k: v for k, v in rows[d["id"]].items() if v is not None} == want
+    assert "l_0_k_1_v" not in flat.columns and "l_1_k_1_v" in flat.columns  # as many positions as any row has there
