@@ -12,7 +12,7 @@ from pyspark.sql.types import DataType
 from strata.session import checkpoint
 
 #: Characters handed to numpy at a time; whole texts, a longer one goes alone.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 250_000
 
 
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[list[str]]:

@@ -41,7 +41,7 @@ VOCABULARY = 1500
 #: A feature needs this share of the toxic sample, and these log-odds against the clean one.
 LEAST_SHARE, LEAST_ODDS = 0.004, 3.0
 BEGINNINGS = (4, 5)
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 
 def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
