@@ -15,6 +15,7 @@ from strata.functions.text import clean_html, extract_tags, rfc822_wallclock, ur
 from strata.operators.bucket_merge import merge_into
 from strata.operators.merge import keyed_merge
 from strata.operators.search import register_search_function, search
+from strata.operators.search_index import indexed_texts, write_index
 from strata.plans import refdata as R
 
 NEWS_DDL = ("ID_NOTICIA string, NM_FONTE string, DS_CATEGORIA_FONTE string, "
@@ -74,6 +75,17 @@ def search_news(news: DataFrame, term: str | None, source: str | None = None,
                                       "DT_PUBLICACAO")
 
 
+def index_news(news: DataFrame, path: str) -> None:
+    """Trigrams of titles and summaries, so that a search reads only news that can match."""
+    write_index(news, path, "ID_NOTICIA", ["DS_TITULO", "DS_RESUMO"])
+
+
+def search_news_indexed(spark: SparkSession, path: str, term: str | None, source: str | None = None,
+                        limit: int = 10) -> DataFrame:
+    """``search_news`` through the index at ``path``."""
+    return search_news(indexed_texts(spark, path, term, "ID_NOTICIA"), term, source, limit)
+
+
 def register_news_search(spark: SparkSession, view: str,
                          name: str = "fn_consultar_inteligencia_setorial",
                          temporary: bool = True) -> None:

@@ -7,6 +7,7 @@ Layout under ``out_dir``::
     silver/tbl_silver_numeros/vNNNNNN/bucket_of_64=N  the buckets that a merge changed (H2)
     gold/{dim_entidade,...,kpi_resumo_executivo}   overwritten, clustered (A11)
     gold/dim_inteligencia_mercado/vNNNNNN/bucket_of_64=N  likewise (H3)
+    gold/idx_inteligencia_mercado/{texts,postings}    trigrams of the news (H12)
 
 Input ``in_dir`` holds the landed, untouched API answers: ``entidades*.json``,
 ``numeros*.json`` (or ``.jsonl``, one item a line) and ``feeds/<SOURCE NAME>.xml``.  Re-running on the same input
@@ -35,6 +36,7 @@ from strata.sources.sinks import write_table
 log = logging.getLogger(__name__)
 
 MARTS = list(G.MARTS)
+NEWS_INDEX = "idx_inteligencia_mercado"
 
 
 def _p(base: str, *parts: str) -> str:
@@ -115,7 +117,8 @@ def silver_to_gold(spark: SparkSession, out_dir: str, news: bool = True) -> dict
     if news and _exists(spark, bronze_news):
         batch = N.ingest(spark.read.parquet(bronze_news))
         base = _p(out_dir, "gold", "dim_inteligencia_mercado")
-        N.merge_news_table(spark, base, batch)
+        if N.merge_news_table(spark, base, batch):
+            N.index_news(read_buckets(spark, base), _p(out_dir, "gold", NEWS_INDEX))
         out["dim_inteligencia_mercado"] = base
     return out
 

@@ -16,6 +16,7 @@ from strata.operators.bucket_merge import merge_into, read_buckets, write_bucket
 from strata.operators.flatten import union_heterogeneous
 from strata.operators.merge import keyed_merge, value_changed
 from strata.operators.search import search
+from strata.operators.search_index import indexed_search, write_index
 from strata.plans.news import ingest
 from strata.plans.registry import query
 from strata.session import ensure_checkpoint_dir
@@ -91,6 +92,16 @@ def search_docs(t: Tables) -> DataFrame:
         .select("doc_id", "source", "n_chars")
 
 
+@query("search_indexed", """
+SELECT doc_id, source, n_chars FROM documents WHERE lower(text) LIKE lower('%keit_ich%the%') AND upper(source) LIKE upper('%src1%')""")
+def search_indexed(t: Tables) -> DataFrame:
+    """H12/C11/Q22 by index: all documents written with their trigrams, all matches of a term with wildcards."""
+    path = f"{ensure_checkpoint_dir(t.spark)}/search-{uuid.uuid4().hex}"
+    write_index(t.documents.select("doc_id", "source", "n_chars", "text"), path, "doc_id", ["text"])
+    return indexed_search(t.spark, path, "KEIT_ich%The", "src1", id_col="doc_id", text_cols=["text"], source_col="source",
+                          limit=0).select("doc_id", "source", "n_chars")
+
+
 _MERGE_T = ("SELECT o_orderkey, o_orderstatus, o_totalprice AS value, 1 AS batch "
             "FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01'")
 _MERGE_S = ("SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'O' THEN "

@@ -154,6 +154,15 @@ def test_search_function_sql(spark, run):
     assert spark.sql("SELECT * FROM fn_busca(NULL, 'ancd')").count() == 3
 
 
+def test_indexed_news_search(spark, run):
+    from strata.plans import news as N
+    path = os.path.join(run["out"], "gold", RF.NEWS_INDEX)
+    for term, source in (("drex", None), (None, "ancd"), ("dr_x", "CRYPTO"), ("no such words", None)):
+        got = N.search_news_indexed(spark, path, term, source)
+        want = N.search_news(run["gold"]["dim_inteligencia_mercado"], term, source)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+
+
 def test_second_batch_updates_and_is_idempotent(spark, run):
     panel = [dict(i) for i in FX.PANEL]
     panel[9] = {"cerVisGerAtivos": 1100}          # changed value -> update
