@@ -6,6 +6,7 @@ classes) plus the four information separators that Python's ``str.isspace`` also
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from html.entities import html5
 
@@ -107,16 +108,67 @@ def keyword_pattern(term: str) -> str:
     return r"(?iuU)\b\Q" + term.replace(r"\E", r"\E\\E\Q") + r"\E\b"
 
 
+def _fold(c: Column) -> Column:
+    """One form of texts that differ in case alone."""
+    # nothing is added: it keeps the optimizer from taking ``lower(upper(x))`` for ``lower(x)``
+    return F.lower(F.concat(F.upper(F.concat(F.lower(c), F.lit(""))), F.lit("")))
+
+
+def _trie_pattern(terms: Sequence[str]) -> str:
+    """Alternatives that share their beginnings once, longer terms before shorter ones; each ends at a word's end."""
+    tree: dict = {}
+    for term in terms:
+        node = tree
+        for char in term:
+            node = node.setdefault(char.lower() if len(char.lower()) == 1 else char, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        ways = [f"\\Q{char}\\E{pattern(rest)}" if char != "\\" else rf"\\{pattern(rest)}"
+                for char, rest in sorted(node.items(), reverse=True) if char]
+        ways += [r"\b"] if "" in node else []
+        return ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})"
+    return pattern(tree)
+
+
+def _with_beginnings(terms: Sequence[str]) -> list[list[int]]:
+    """For each term the numbers of those that stand wherever it does, from the same place on: itself and the
+    terms that it begins with up to the end of a word."""
+    out = []
+    for term in terms:
+        out.append([i for i, t in enumerate(terms) if t.lower() == term.lower()
+                    or len(t) < len(term) and re.match(rf"(?i){re.escape(t)}\b", term)])
+    return out
+
+
 def extract_tags(c, terms: Sequence[str], default: str) -> Column:
     """Terms found as whole words (any case), in list order, joined ``', '``.
 
-    No hit, null or empty text -> ``default``.
-    """
+    No hit, null or empty text -> ``default``.  The text is searched once, whatever the number of terms: a look-ahead takes
+    the longest term at each place, as terms may overlap, and those it begins with follow from it."""
+    terms = [t for t in dict.fromkeys(terms) if t]
+    if not terms:
+        return F.lit(default)
     text = F.coalesce(_c(c), F.lit(""))
-    found = F.array(F.array_join(F.array(*[F.when(text.rlike(keyword_pattern(t)), F.lit(t))
-                                           for t in terms]), ", "))
-    # a lambda's argument is computed once; a column that is read twice would run every pattern twice
-    return F.transform(found, lambda tags: F.when(tags == "", F.lit(default)).otherwise(tags))[0]
+    found = F.regexp_extract_all(text, F.lit(rf"(?iuU)(?=\b({_trie_pattern(terms)}))"), 1)
+    numbers = F.map_from_entries(F.array_distinct(F.array(*[
+        F.struct(_fold(F.lit(t)), F.array(*[F.lit(i) for i in own]))
+        for t, own in _one_spelling(terms, _with_beginnings(terms))])))
+    hits = F.transform(F.array_distinct(F.transform(found, _fold)), lambda hit: F.try_element_at(numbers, hit))
+    names = F.array(*[F.lit(t) for t in terms])
+
+    def listed(of: Column) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.array_distinct(F.flatten(of))), lambda i: F.get(names, i)), ", ")
+    # spellings that a pattern takes for a term's, but no folding (a dotted capital I): one pattern a term decides
+    each = F.array_join(F.array(*[F.when(text.rlike(keyword_pattern(t)), F.lit(t)) for t in terms]), ", ")
+    # a lambda's argument is computed once; a column that is read twice would search twice
+    tags = F.transform(F.array(hits), lambda of: F.when(F.exists(of, lambda h: h.isNull()), each).otherwise(listed(of)))
+    return F.transform(tags, lambda t: F.when(t == "", F.lit(default)).otherwise(t))[0]
+
+
+def _one_spelling(terms: Sequence[str], numbers: list[list[int]]) -> list[tuple[str, list[int]]]:
+    """The terms without those that differ from an earlier one in case alone."""
+    return list({t.lower().upper().lower(): (t, own) for t, own in reversed(list(zip(terms, numbers)))}.values())
 
 
 # FIXED VALUES: RFC 822 zone names and their offsets in minutes

@@ -1,6 +1,7 @@
 """Golden and rule tests for the column functions."""
 
 import datetime as dt
+import random
 import re
 
 import pytest
@@ -52,6 +53,30 @@ def test_extract_tags_matches_python(spark, text):
     assert got == (", ".join(want) or R.DEFAULT_TAG)
 
 
+OVERLAPPING = ["AC", "AC Raiz", "Raiz", "AC Raiz Brasileira", "ac", "Brasileira v5", "C++", "C", ".NET", "NET", "a|b", "x\\y", "É",
+               "straße", "K9", "K", "R$ 5", "AC-R", "Raiz Brasil", "\\E", "(", "ſ", "ITI"]
+
+
+def test_overlapping_terms_against_one_pattern_a_term(spark):
+    draw = random.Random(5)
+    pieces = [*OVERLAPPING, "ac raiz", "STRASSE", "STRAẞE", "é", "É", "k9", "S", "brasileira", " İTI ", "RAİZ", " ", " ", "-", ".", "\n", "xAC", "AC_"]
+    texts = ["".join(draw.choice(pieces) + draw.choice(["", " "]) for _ in range(draw.randrange(9))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in [*texts, None, ""]], "v string")
+    slow = F.array_join(F.array(*[F.when(F.col("v").rlike(X.keyword_pattern(t)), F.lit(t)) for t in OVERLAPPING]), ", ")
+    got = df.select("v", X.extract_tags(F.col("v"), OVERLAPPING, "NONE").alias("got"), slow.alias("want")).collect()
+    for text, tags, want in got:
+        assert tags == (want or "NONE"), text
+    assert sum(bool(r["want"]) for r in got) > 250
+
+
+def test_many_terms_are_one_search(spark):
+    terms = [f"term{i} of {i % 7}" for i in range(200)]
+    col = X.extract_tags(F.col("v"), terms, "NONE")
+    plan = spark.createDataFrame([("TERM7 of 0, term12 of 5; term8 of 2",)], "v string").select(col.alias("t"))
+    assert plan.first()["t"] == "term7 of 0, term12 of 5"
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") <= 1
+
+
 def test_rfc822(spark):
     vals = ["Wed, 07 May 2025 06:45:10 -0300", "9 May 2025 18:20 GMT", "bad", None,
             "Wed, 07 May 25 06:45:10 GMT", "Wednesday, 07-May-97 06:45:10 GMT", "7 MAY 2025 06:45 Z"]
