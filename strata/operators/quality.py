@@ -41,20 +41,3 @@ def domain_flags(df: DataFrame, rules: Sequence[DomainRule], col: str = "violati
     """Row-level variant: the names of the rules each row breaks (empty when clean)."""
     names = F.array(*[F.when(~F.coalesce(r.ok, F.lit(False)), F.lit(r.name)) for r in rules])
     return df.withColumn(col, F.filter(names, lambda x: x.isNotNull()))
-
-
-def reject_counts(df: DataFrame, checks: dict[str, tuple[Column, Column]]) -> dict[str, int]:
-    """How many values the lenient mode turned into null, per check.
-
-    ``checks`` maps a name to ``(raw, parsed)``: a reject is a raw value that is present
-    (not null, not blank) while its parsed value is null.  One aggregate pass, one row
-    back to the driver.
-    """
-    if not checks:
-        return {}
-    aggs = []
-    for i, (raw, parsed) in enumerate(checks.values()):
-        present = raw.isNotNull() & (F.trim(raw.cast("string")) != "")
-        aggs.append(F.sum(F.when(present & parsed.isNull(), 1).otherwise(0)).alias(f"_r{i}"))
-    row = df.agg(*aggs).first()
-    return {name: int(row[f"_r{i}"] or 0) for i, name in enumerate(checks)}

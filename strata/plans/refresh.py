@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 
 from strata.operators.bucket_merge import read_buckets
 from strata.operators.flatten import union_heterogeneous
+from strata.operators.watch import Watch, outside
 from strata.plans import gold as G
 from strata.plans import indicators as I
 from strata.plans import news as N
 from strata.plans import refdata as R
 from strata.plans import silver as S
+from strata.plans.quality import RULES
 from strata.sources.documents import read_entity_document, read_panel
-from strata.sources.feeds import read_feeds
+from strata.sources.feeds import damage, read_feeds, whole
 from strata.sources.sinks import write_table
 
 log = logging.getLogger(__name__)
@@ -43,8 +45,10 @@ def _p(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
-def raw_to_bronze(spark: SparkSession, in_dir: str, out_dir: str) -> dict[str, str]:
-    """Landed documents -> bronze parquet (flattened, with lineage columns)."""
+def raw_to_bronze(spark: SparkSession, in_dir: str, out_dir: str, report: dict | None = None) -> dict[str, str]:
+    """Landed documents -> bronze parquet (flattened, with lineage columns).
+
+    ``report`` takes the damaged feed items of each source, counted while the feeds are written."""
     written = {}
     ent = read_entity_document(spark, _p(in_dir, "entidades*.json"), lineage=True)
     write_table(ent, _p(out_dir, "bronze", "entidades"))
@@ -66,20 +70,32 @@ def raw_to_bronze(spark: SparkSession, in_dir: str, out_dir: str) -> dict[str, s
     feeds = [(landed[name], name, category[name]) for name in category if name in landed]
     items = read_feeds(spark, feeds) if feeds else None
     if items is not None:
-        write_table(items, _p(out_dir, "bronze", "noticias"))
+        watch = Watch(damage([name for _, name, _ in feeds]))
+        write_table(whole(watch.over(items)), _p(out_dir, "bronze", "noticias"))
+        broken = {name: n for name, n in watch.counts.items() if n}
+        if broken:
+            log.warning("damaged feed items: %s", broken)
+        if report is not None:
+            report["noticias"] = broken
         written["noticias"] = _p(out_dir, "bronze", "noticias")
     return written
 
 
 def bronze_to_silver(spark: SparkSession, out_dir: str, as_of: dt.date,
-                     strict: bool = False, duplicates: str = "error") -> dict[str, int]:
-    """Bronze -> silver tables; the indicator table is merged by touched buckets."""
+                     strict: bool = False, duplicates: str = "error", report: dict | None = None) -> dict[str, int]:
+    """Bronze -> silver tables; the indicator table is merged by touched buckets.
+
+    ``report`` takes, per bronze table, the values that lenient mode nulled (T15), counted on the way."""
     b_ent = spark.read.parquet(_p(out_dir, "bronze", "entidades"))
-    write_table(S.entities(b_ent, strict), _p(out_dir, "silver", "tbl_entidades"))
+    of_entities = Watch(S.rejects(b_ent))
+    write_table(S.entities(of_entities.over(b_ent), strict), _p(out_dir, "silver", "tbl_entidades"))
     write_table(S.addresses(b_ent, strict), _p(out_dir, "silver", "tbl_enderecos"))
     write_table(S.hierarchy(b_ent), _p(out_dir, "silver", "tbl_hierarquia"))
     b_num = spark.read.parquet(_p(out_dir, "bronze", "numeros"))
-    write_table(I.staging(b_num, as_of), _p(out_dir, "silver", "stg_silver_numeros"))
+    of_numbers = Watch(I.rejects(b_num))
+    write_table(I.staging(of_numbers.over(b_num), as_of), _p(out_dir, "silver", "stg_silver_numeros"))
+    if report is not None:
+        report |= {"entidades": of_entities.counts, "numeros": of_numbers.counts}
     stg = spark.read.parquet(_p(out_dir, "silver", "stg_silver_numeros"))
     return I.merge_indicator_table(spark, _p(out_dir, "silver", "tbl_silver_numeros"),
                                    I.unify(stg, as_of, strict), duplicates=duplicates)
@@ -93,10 +109,17 @@ def silver_numbers(spark: SparkSession, out_dir: str) -> DataFrame:
     return df
 
 
-def silver_to_gold(spark: SparkSession, out_dir: str, news: bool = True) -> dict[str, str]:
+def silver_to_gold(spark: SparkSession, out_dir: str, news: bool = True, report: dict | None = None) -> dict[str, str]:
     """Silver -> gold star schema and the merged news table.
 
-    ``news=False`` leaves the news table alone: the bronze batch has been merged by an earlier run."""
+    ``news=False`` leaves the news table alone: the bronze batch has been merged by an earlier run.  ``report`` takes, per
+    table and rule, the rows outside the documented domains (H13), counted while the table is written."""
+
+    def write(df: DataFrame, name: str, keys: list[str]) -> None:
+        watch = Watch(outside(RULES.get(name, [])))
+        write_table(df, _p(out_dir, "gold", name), cluster_by=keys, watch=watch)
+        if report is not None and name in RULES:
+            report[name] = watch.counts
     ent = spark.read.parquet(_p(out_dir, "silver", "tbl_entidades"))
     adr = spark.read.parquet(_p(out_dir, "silver", "tbl_enderecos"))
     edg = spark.read.parquet(_p(out_dir, "silver", "tbl_hierarquia"))
@@ -106,12 +129,11 @@ def silver_to_gold(spark: SparkSession, out_dir: str, news: bool = True) -> dict
         ("dim_hierarquia", G.dim_hierarquia(edg), ["ID_ENTIDADE_PAI"]),
         ("fato_metricas_entidades", G.fato_metricas_entidades(edg, ent, adr), ["DS_TIPO"]),
     ]:
-        write_table(df, _p(out_dir, "gold", name), cluster_by=keys)
+        write(df, name, keys)
         out[name] = _p(out_dir, "gold", name)
     num = silver_numbers(spark, out_dir)
     for name in MARTS:
-        write_table(G.build_mart(num, name), _p(out_dir, "gold", name),
-                    cluster_by=G.cluster_keys(name))
+        write(G.build_mart(num, name), name, G.cluster_keys(name))
         out[name] = _p(out_dir, "gold", name)
     bronze_news = _p(out_dir, "bronze", "noticias")
     if news and _exists(spark, bronze_news):
@@ -152,17 +174,10 @@ def gold_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
 def refresh(spark: SparkSession, in_dir: str, out_dir: str, as_of: dt.date,
             strict: bool = False, duplicates: str = "error") -> dict:
     """Run every layer in order; returns what each step wrote."""
-    bronze = raw_to_bronze(spark, in_dir, out_dir)
-    merge = bronze_to_silver(spark, out_dir, as_of, strict, duplicates)
-    rej = rejects(spark, out_dir)
-    gold = silver_to_gold(spark, out_dir, news="noticias" in bronze)
-    log.info("refresh done: bronze=%s merge=%s rejects=%s gold=%s", bronze, merge, rej,
+    rej, outside_domain = {}, {}
+    bronze = raw_to_bronze(spark, in_dir, out_dir, rej)
+    merge = bronze_to_silver(spark, out_dir, as_of, strict, duplicates, rej)
+    gold = silver_to_gold(spark, out_dir, "noticias" in bronze, outside_domain)
+    log.info("refresh done: bronze=%s merge=%s rejects=%s outside=%s gold=%s", bronze, merge, rej, outside_domain,
              sorted(gold))
-    return {"bronze": bronze, "merge": merge, "rejects": rej, "gold": gold}
-
-
-def rejects(spark: SparkSession, out_dir: str) -> dict[str, dict[str, int]]:
-    """Per bronze table, the values lenient mode nulled (one aggregate each)."""
-    return {"entidades": S.rejects(spark.read.parquet(_p(out_dir, "bronze", "entidades"))),
-            "numeros": I.rejects(spark.read.parquet(_p(out_dir, "bronze", "numeros")))}
-
+    return {"bronze": bronze, "merge": merge, "rejects": rej, "outside": outside_domain, "gold": gold}

@@ -8,12 +8,13 @@ bad value (T15).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import clean as C
 from strata.functions.keys import dedup_by_key
 from strata.operators.hierarchy import edges_from_parent_columns, parent_columns
+from strata.operators.watch import lost
 from strata.plans import refdata as R
 
 UF_REGION = C.invert_groups(R.REGION_UFS)
@@ -85,11 +86,10 @@ def hierarchy(bronze: DataFrame) -> DataFrame:
                     F.current_timestamp().alias("data_processamento"))
 
 
-def rejects(bronze: DataFrame) -> dict[str, int]:
-    """Entity values the lenient projection nulled (bad ids, codes, dates)."""
-    from strata.operators.quality import reject_counts
+def rejects(bronze: DataFrame) -> dict[str, Column]:
+    """Conditions for entity values that the lenient projection nulls (bad ids, codes, dates)."""
     raw = lambda n: _col(bronze, n).cast("string")
-    return reject_counts(bronze, {
+    return lost({
         "id": (raw("id"), C.safe_long(raw("id"))),
         "nivel": (raw("nivel"), raw("nivel").try_cast("int")),
         "situacao": (raw("situacao"), raw("situacao").try_cast("int")),

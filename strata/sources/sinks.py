@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.layout import along_curve
+from strata.operators.watch import Watch
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
@@ -57,11 +58,15 @@ def clustered(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] | None = None,
-                partition_by: Sequence[str] | None = None) -> None:
-    """Full overwrite with schema replacement (parquet); several clustering keys share a curve."""
+                partition_by: Sequence[str] | None = None, watch: Watch | None = None) -> None:
+    """Full overwrite with schema replacement (parquet); several clustering keys share a curve.
+
+    ``watch`` counts among the rows as they are written."""
     out = df
     if cluster_by:
         out = clustered(df, cluster_by) if len(cluster_by) == 1 else along_curve(df, cluster_by)
+    if watch:
+        out = watch.over(out)
     w = out.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)

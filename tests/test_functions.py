@@ -1,6 +1,7 @@
 """Golden and rule tests for the column functions."""
 
 import datetime as dt
+import decimal
 import random
 import re
 
@@ -95,6 +96,24 @@ def test_whole_numbers_keep_every_digit(spark):
         2, 2, 9007199254740993, 9210000000000000000, -9223372036854775808, None, None, None, None, None, 1000]
 
 
+def test_whole_numbers_are_never_rounded(spark):
+    draw = random.Random(9)
+    vals = ["1.00000000001", "0.99999999999", "0.5", ".0", "5.", "00", "-0.0", "1e-400000", "0e999999", "12e-1", "120e-1", "1.5E1",
+            "+7", " 8 ", "9\n", "1 2", "1e", "e5", ".", "-", "NaN", "Infinity", "1d", "٣", "99999999999999999999.0", "1e19", "1e18"]
+    vals += ["".join(draw.choice(["0", "1", "9", ".", "e", "-", "00"]) for _ in range(draw.randrange(1, 8))) for _ in range(400)]
+
+    def plain(text):
+        if not re.fullmatch(r"\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,6})?\s*", text):
+            return None
+        number = decimal.Decimal(text.strip())
+        if number == 0:
+            return 0
+        if number.adjusted() > 20 or number.adjusted() < 0 or number != number.to_integral_value():
+            return None
+        return int(number) if -2 ** 63 <= number < 2 ** 63 else None
+    assert col_values(spark, C.whole_number, vals) == [plain(v) for v in vals]
+
+
 def test_tax_id(spark):
     out = col_values(spark, C.tax_id, ["00.394.460/0058-87", "", None, "123456789012345"])
     assert out == ["00394460005887", "00000000000000", None, "12345678901234"]

@@ -40,6 +40,15 @@ def test_lenient_rejects_are_counted(run):
     assert rej["numeros"]["valor"] == 3  # "x" and the two boolean metadata values
 
 
+def test_domains_are_checked_while_gold_is_written(run):
+    out = run["first"]["outside"]
+    # the fixtures carry an 'OUTROS' certificate type on purpose
+    assert out["fato_segmentacao_certificados"]["tipo_certificado"] == 1
+    assert out["fato_segmentacao_certificados"]["titular"] == 1
+    assert out["dim_entidade"]["uf_formato"] == 0 and out["dim_entidade"]["tipo"] == 0
+    assert out["fato_emissao_mensal"]["serie"] == 0 and out["dim_hierarquia"]["nivel"] == 0
+
+
 def test_entity_master(run):
     d = run["gold"]["dim_entidade"]
     assert d.count() == 10  # null id dropped, duplicate id 4 kept once

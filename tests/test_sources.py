@@ -113,3 +113,35 @@ def test_damaged_documents_raise(spark, scratch):
         f.write('{"a": 1}\n{"b": \n')
     with pytest.raises(Exception):
         read_panel(spark, os.path.join(scratch, "lines.jl"), json_lines=True).collect()
+
+
+def test_a_broken_feed_item_is_counted_and_the_others_load(spark, scratch):
+    from strata.operators.watch import Watch
+    from strata.sources.feeds import damage, read_feeds, whole
+    item = "<item><title>{0}</title><link>http://x/{0}</link></item>"
+    good, broken = [item.format(i) for i in range(3)], "<item><title>bad</link></item>"
+    more = ('<item rdf:about="x">\n<title><![CDATA[a <b> & c]]></title><media:content url="u"/><dc:creator>z</dc:creator>'
+            "<link>http://x/m</link><description>&lt;p&gt;é&lt;/p&gt;</description><pubDate>d</pubDate></item >")
+    unended = "<item><title>no end</title>"
+    for name, items in (("a", [good[0], broken, good[1], more]), ("b", [unended, good[0], good[2]])):
+        with open(f"{scratch}/{name}.xml", "w") as f:
+            f.write(f"<rss><channel>{''.join(items)}</channel></rss>")
+    feeds = [(f"{scratch}/{n}.xml", n.upper(), "cat") for n in ("a", "b", "missing")]
+    items = read_feeds(spark, feeds)
+    watch = Watch(damage(["A", "B"]))
+    whole(watch.over(items)).write.parquet(f"{scratch}/out")
+    assert watch.counts == {"A": 1, "B": 1}
+    got = spark.read.parquet(f"{scratch}/out")
+    assert sorted(r["title"] for r in got.collect()) == ["0", "1", "2", "a <b> & c"]
+    assert got.where("description is not null").first()[2:] == ("a <b> & c", "http://x/m", "d", "<p>é</p>")
+    assert got.columns == ["source", "category", "title", "link", "pub_date", "description"]
+    assert read_feeds(spark, feeds[2:]) is None
+
+
+def test_watch_counts_what_is_written(spark, scratch):
+    from strata.operators.watch import Watch
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("k"), F.when(F.col("id") % 10 > 0, F.col("id")).alias("n"))
+    watch = Watch({"three": F.col("k") == 3, "null": F.col("n").isNull(), "unknown": F.col("n") > 10_000})
+    sinks.write_table(df, f"{scratch}/w", cluster_by=["k", "n"], watch=watch)
+    assert watch.counts == {"three": 143, "null": 100, "unknown": 0}
+    assert Watch({}).over(df) is df and Watch({"x": F.lit(True)}).counts == {"x": 0}
