@@ -6,6 +6,7 @@ parse/flatten work grows with the tables and no group is ever collected.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from strata.operators.flatten import flatten, parse_json_column, unpivot_panel
 from strata.operators.hierarchy import edges_from_parent_array, edges_from_parent_columns, parent_columns
+from strata.plans import refdata as R
+from strata.plans.refresh import gold_tables, refresh, silver_numbers
 from strata.plans.registry import query
 from strata.session import ensure_checkpoint_dir
 from strata.sources.documents import read_entity_document
@@ -123,17 +126,17 @@ def flatten_mixed(t: Tables) -> DataFrame:
     return flatten(parse_json_column(t.orders.select(doc.alias("doc")), "doc").select("doc.*"))
 
 
-def _documents_of(rows: DataFrame, item: str, path: str) -> None:
-    """Write JSON texts as documents, one file a partition: an object with all its items in one list."""
+def _land(rows: DataFrame, item: str, path: str, head: str = '{"versao": 2, "entidades": [', tail: str = "]}") -> None:
+    """Write JSON texts as documents, one file a partition: all its items in one list."""
     def work(batches):
         first = True
-        yield pa.RecordBatch.from_arrays([pa.array(['{"versao": 2, "entidades": ['])], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([head])], ["value"])
         for batch in batches:
             texts = batch.column(0).to_pylist()
             lines = [t if first and not i else f",{t}" for i, t in enumerate(texts)]
             first = first and not lines
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
-        yield pa.RecordBatch.from_arrays([pa.array(["]}"])], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([tail])], ["value"])
     rows.select(item).mapInArrow(work, "value string").write.text(path)
 
 
@@ -148,10 +151,65 @@ def entity_documents(t: Tables) -> DataFrame:
         F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"),
         F.struct(F.col("c_nationkey").alias("pais"), F.col("c_mktsegment").alias("setor")).alias("endereco"),
         F.array(F.struct(F.col("c_custkey").alias("id")), F.struct(F.col("c_nationkey").alias("id"))).alias("ids_pai")))
-    _documents_of(t.customer.select(item.alias("item")), "item", folder)
+    _land(t.customer.select(item.alias("item")), "item", folder)
     return read_entity_document(t.spark, folder)
 
 
+@query("refresh_layers", """
+WITH nodes AS (
+  SELECT c_custkey AS id, c_name AS name, 900000000 + c_nationkey AS parent, c_acctbal AS balance FROM customer
+  UNION ALL SELECT 900000000 + n_nationkey, n_name, 1000000000 + n_regionkey, NULL FROM nation
+  UNION ALL SELECT 1000000000 + r_regionkey, r_name, NULL, NULL FROM region),
+orders_of AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n FROM orders),
+counted AS (
+  SELECT 900000000 + c_nationkey AS id, 0 AS nations, COUNT(*) AS customers FROM customer GROUP BY c_nationkey
+  UNION ALL
+  SELECT 1000000000 + n_regionkey, COUNT(DISTINCT n_nationkey), COUNT(c_custkey)
+  FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_regionkey)
+SELECT CAST(nodes.id AS BIGINT) AS entity_id, trim(regexp_replace(name, '\\s+', ' ', 'g')) AS entity_name,
+       CASE WHEN nodes.id >= 1000000000 THEN 'ROOT' WHEN nodes.id >= 900000000 THEN 'NATION' ELSE 'AR' END AS entity_type,
+       CASE WHEN balance < 0 THEN 'EM CREDENCIAMENTO' ELSE 'CREDENCIADA' END AS status,
+       CAST(COALESCE(nations, 0) AS BIGINT) AS n_nations, CAST(COALESCE(customers, 0) AS BIGINT) AS n_customers,
+       n AS indicator, (SELECT COUNT(*) FROM customer) AS lost_dates
+FROM nodes LEFT JOIN counted ON nodes.id = counted.id, orders_of""")
+def refresh_layers(t: Tables) -> DataFrame:
+    """Customers, nations and regions landed as documents, the number of orders as a panel, then all layers.
+
+    From gold: the entity master, the descendants counted over the hierarchy, one indicator; and, from the run's report, how
+    many dates the lenient mode nulled (each customer's is bad)."""
+    base = f"{ensure_checkpoint_dir(t.spark)}/refresh-{uuid.uuid4().hex}"
+    def parent(c):
+        return F.array(F.struct(c.cast("long").alias("id")))
+    none = F.array().cast("array<struct<id:bigint>>")
+    code = F.when(F.col("c_acctbal") < 0, F.lit(4001)).otherwise(F.lit(R.ACCREDITED_CODE))
+    kinds = [(t.customer, "c_custkey", F.lit(0), "c_name", "AR", 3, parent(F.col("c_nationkey") + 900_000_000), code, "2020-13-01"),
+             (t.nation, "n_nationkey", F.lit(900_000_000), "n_name", "Nation", 1, parent(F.col("n_regionkey") + 1_000_000_000),
+              F.lit(R.ACCREDITED_CODE), "2020-01-01"),
+             (t.region, "r_regionkey", F.lit(1_000_000_000), "r_name", "Root", 0, none, F.lit(R.ACCREDITED_CODE), "2020-01-01")]
+    rows = None
+    for df, key, offset, name, kind, level, parents, status, date in kinds:
+        part = df.select(F.to_json(F.struct(
+            (F.col(key) + offset).cast("long").alias("id"), F.col(name).alias("nome"), F.lit(kind).alias("entidade"),
+            F.lit(level).alias("nivel"), status.alias("situacao"), F.lit(date).alias("dt_credenciamento"),
+            parents.alias("ids_pai"))).alias("item"))
+        rows = part if rows is None else rows.union(part)
+    _land(rows, "item", f"{base}/in/entidades.json")
+    total = t.orders.agg(F.count("*").alias("n")).select(
+        F.concat(F.lit('{"cerVisGerAtivos":'), F.col("n"), F.lit("}")).alias("item"))
+    _land(total, "item", f"{base}/in/numeros.json", "[", "]")
+    result = refresh(t.spark, f"{base}/in", f"{base}/out", dt.date(2025, 12, 31))
+    gold = gold_tables(t.spark, f"{base}/out")
+    counts = gold["fato_metricas_entidades"].select("ID_ENTIDADE", "NR_AGREGADOS_AC_NIVEL_1", "NR_AGREGADOS_AR")
+    indicator = silver_numbers(t.spark, f"{base}/out").agg(F.max("VL_METRICA").alias("indicator"))
+    master = gold["dim_entidade"].join(counts, "ID_ENTIDADE", "left").join(indicator)  # one row
+    return master.select(
+        F.col("ID_ENTIDADE").alias("entity_id"), F.col("DS_ENTIDADE").alias("entity_name"),
+        F.col("DS_TIPO").alias("entity_type"), F.col("DS_SITUACAO").alias("status"),
+        F.coalesce("NR_AGREGADOS_AC_NIVEL_1", F.lit(0)).cast("long").alias("n_nations"),
+        F.coalesce("NR_AGREGADOS_AR", F.lit(0)).cast("long").alias("n_customers"), "indicator",
+        F.lit(result["rejects"]["entidades"]["dt_credenciamento"]).cast("long").alias("lost_dates"))
+
+
 def _panel_items(t: Tables) -> DataFrame:
     c = t.conversations.select("turn", "role", "text")
     sentences = F.split(F.col("text"), r"\. ", -1)
