@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -53,6 +53,11 @@ def with_row(df: DataFrame, name: str = "_row") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def boxed(df: DataFrame) -> Column:
+    """All columns of a frame as one struct, so that none can clash with columns beside it; ``doc.*`` unpacks it."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -69,6 +74,5 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-
-__all__ = ["SLICE_CHARS", "checkpoint", "documents", "slices", "table", "text_udf", "texts_of",
+__all__ = ["SLICE_CHARS", "boxed", "checkpoint", "documents", "slices", "table", "text_udf", "texts_of",
            "tokenizer_file", "with_row"]

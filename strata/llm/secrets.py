@@ -24,12 +24,13 @@ import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpoint, text_udf, texts_of, with_row
+from strata.llm.common import boxed, checkpoint, text_udf, texts_of, with_row
 
 #: Fixed values of the base kinds, in their order.
 KINDS = ("assign", "access", "hex", "owned")
@@ -151,19 +152,34 @@ def redact(df: DataFrame, text_col: str = "text", owner_col: str = "source", id_
 
     Rows are numbered in the order in which ``df`` gives them: it must be a table, or a frame that
     gives the same rows in the same order whenever it is read."""
-    docs = with_row(df)
-    rows = docs.select("_row", F.col(owner_col).cast("string").alias("owner"), F.col(id_col).cast("string").alias("repo"),
-                       scanner()(F.coalesce(F.col(text_col), F.lit(""))).alias("found"))
+    docs = df.select(boxed(df).alias("doc"), F.monotonically_increasing_id().alias("_row"))
+    of = F.col("doc").getField
+    rows = docs.select("_row", of(owner_col).cast("string").alias("owner"), of(id_col).cast("string").alias("repo"),
+                       scanner()(F.coalesce(of(text_col), F.lit(""))).alias("found"))
     live = judged(checkpoint(rows.where(F.size("found") > 0), cache=False), example_owners)
-    live = live.select("_row", F.filter("spans", lambda s: s["live"]).alias("_spans")).where("size(_spans) > 0")
-    joined = docs.join(live, "_row", "left")
-    # the text between the spans that have been passed, and the place that has been reached
-    step = F.aggregate(
-        "_spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
-        lambda a, s: F.struct(
-            F.when(s["start"] >= a["at"], F.concat(a["out"], F.substr(text_col, (a["at"] + 1).cast("int"),
-                   (s["start"] - a["at"]).cast("int")), F.lit(mask))).otherwise(a["out"]).alias("out"),
-            F.greatest(a["at"], s["end"]).alias("at")),
-        lambda a: F.concat(a["out"], F.substr(text_col, (a["at"] + 1).cast("int"), F.length(text_col))))
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(step)).select(
-        *df.columns)
+    live = live.select("_row", F.filter("spans", lambda s: s["live"]).alias("hits")).where("size(hits) > 0")
+    joined = docs.join(live, "_row", "left").withColumn(
+        "masked", _masked(mask)(F.when(F.col("hits").isNotNull(), of(text_col)),
+                                F.transform("hits", lambda s: s["start"]), F.transform("hits", lambda s: s["end"])))
+    return joined.select(*[(F.coalesce("masked", of(c)) if c == text_col else of(c)).alias(c) for c in df.columns])
+
+
+def _masked(mask: str):
+    """Column function: a text with the spans between starts and ends replaced, in one walk; null stays null."""
+
+    def work(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, starts, ends in batches:
+            out = []
+            for text, first, last in zip(texts, starts, ends):
+                if not text.is_valid or not first.is_valid:
+                    out.append(None)
+                    continue
+                whole, parts, at = text.as_py(), [], 0
+                for start, end in zip(first.as_py(), last.as_py()):
+                    if start >= at:
+                        parts += [whole[at:start], mask]
+                    at = max(at, end)
+                out.append("".join([*parts, whole[at:]]))
+            yield pa.array(out, pa.string())
+    work.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(work, "string").asNondeterministic()

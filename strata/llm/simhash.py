@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import checkpoint, documents, text_udf, texts_of, with_row
+from strata.llm.common import boxed, checkpoint, documents, text_udf, texts_of
 from strata.llm.components import components
 
 SHINGLE = 3
@@ -228,13 +228,14 @@ def deduplicated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows are numbered in the order in which ``df`` gives them: it must be a table, or a frame that
     gives the same rows in the same order whenever it is read."""
-    numbered = with_row(df)
+    numbered = df.select(boxed(df).alias("doc"), F.monotonically_increasing_id().alias("row"))
+    text = F.col("doc").getField(text_col)
     rows = checkpoint(numbered.select(
-        "_row", F.col(id_col).alias("doc_id"),
-        fingerprints(shingle)(F.coalesce(F.col(text_col), F.lit(""))).alias("fp")), cache=False)
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+        "row", F.col("doc").getField(id_col).alias("doc_id"),
+        fingerprints(shingle)(F.coalesce(text, F.lit(""))).alias("fp")), cache=False)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     first = checkpoint(rows.groupBy("fp").agg(F.min(place).alias("place")), cache=False)
     roots = _roots(first.select("fp"), distance)
     stay = first.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(
-        F.min("place").alias("place")).select(F.col("place._row").alias("_row"))
-    return numbered.join(stay, "_row", "left_semi").select(*df.columns)
+        F.min("place").alias("place")).select(F.col("place.row").alias("row"))
+    return numbered.join(stay, "row", "left_semi").select("doc.*")

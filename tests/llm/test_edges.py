@@ -64,6 +64,51 @@ def test_filters_keep_columns(spark, odd):
     assert secrets.redact(odd).count() == odd.count()
 
 
+CLASHING = ["_row", "row", "doc", "_p", "p", "_spans", "spans", "hits", "masked", "fp", "root", "place", "found", "owner", "value"]
+
+
+def _clashing(spark):
+    secret = 'password = "hunter2hunter2" '
+    rows = [(i, f"{secret if i % 3 == 0 else ''}text of number {i} with words {i * 7} and more {i * 11}", "xx", f"s{i}", 1)
+            + tuple(f"{c}{i}" for c in CLASHING) for i in range(12)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
+                                 + ", ".join(f"`{c}` string" for c in CLASHING))
+
+
+def test_clashing_columns_keep_their_values(spark):
+    df = _clashing(spark)
+    want = {r["doc_id"]: [r[c] for c in CLASHING] for r in df.collect()}
+    for out in (simhash.deduplicated(df), secrets.redact(df)):
+        assert out.columns == df.columns
+        assert {r["doc_id"]: [r[c] for c in CLASHING] for r in out.collect()} == want
+
+
+def test_stages_keep_columns_and_take_odd_tables(spark, corpus, odd, tmp_path):
+    import corpus_pipeline
+    _labels(spark, [(i, 1, int(i % 7 == 0)) for i in range(12)]).write.parquet(f"{tmp_path}/labels.parquet")
+    df = _clashing(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, str(tmp_path))
+        assert out.columns == df.columns, name
+        want = {r["doc_id"]: [r[c] for c in CLASHING] for r in df.collect()}
+        assert all([r[c] for c in CLASHING] == want[r["doc_id"]] for r in out.collect()), name
+        for table in (odd, df.limit(0), odd.where("text is null")):
+            got = stage(spark, table, str(tmp_path))
+            assert got.columns == table.columns and got.count() <= table.count(), name
+    for table in (odd, df.limit(0)):
+        corpus_pipeline.pack(spark, table, str(tmp_path)).count()
+
+
+def test_redaction_of_many_and_touching_spans(spark):
+    secret = "token=abcdef123456"
+    text = " ".join(f"é{secret}{i:04d}" for i in range(3000))
+    df = spark.createDataFrame([(1, text, "s"), (2, None, "s"), (3, "none here", "s"), (4, f"{secret},{secret}", "t")],
+                               "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert "abcdef" not in got[1] and got[1].count("<secret>") == 3000
+    assert got[2] is None and got[3] == "none here" and got[4].count("<secret>") == 2
+
+
 def test_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [1.0, None]),
             (7, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (9, [2.0, 0.01]), (10, [1.0, 0.0, 0.0]),
