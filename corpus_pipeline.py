@@ -4,6 +4,10 @@ Each stage takes what the one before has kept, as a written Parquet table, and w
 columns they got.  The first two keep every document that they don't reject, the third one document
 of each group of near copies, the fourth all documents with live-looking secrets masked, and the last
 gives the pieces of the packed sequences.
+
+Defined cases, for every stage: a null text counts as empty and stays null; repeated rows are kept or dropped alike, but
+for near copies, of which the smallest ``doc_id`` stays (nulls last), of rows that share it the first; long texts are
+read whole; an empty table gives an empty table; further columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import langid, packing, secrets, simhash, toxicity
-from strata.llm.common import documents, table
+from strata.llm.common import boxed, documents, table
 from strata.session import ensure_checkpoint_dir, scratch_tables
 
 #: Probability from which a document counts as toxic.
@@ -24,8 +28,8 @@ TOXIC = 0.5
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of ``toxic``, the last category of the chain, is below ``TOXIC``."""
     chain = toxicity.fit(documents(docs), table(spark, sf_dir, "labels"))
-    scored = docs.withColumn("_p", toxicity.predict(chain)(F.coalesce("text", F.lit(""))))
-    return scored.where(F.col("_p.p_toxic") < TOXIC).select(*docs.columns)
+    scored = docs.select(boxed(docs).alias("doc"), toxicity.predict(chain)(F.coalesce("text", F.lit(""))).alias("p"))
+    return scored.where(F.col("p.p_toxic") < TOXIC).select("doc.*")
 
 
 def reject_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +37,8 @@ def reject_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     models = langid.fit(docs)
     if models is None:  # nothing to learn from: nothing to reject by
         return docs
-    named = docs.withColumn("_p", langid.identify(models)(F.coalesce("text", F.lit(""))))
-    return named.where(~F.col("_p.rejected")).select(*docs.columns)
+    named = docs.select(boxed(docs).alias("doc"), langid.identify(models)(F.coalesce("text", F.lit(""))).alias("p"))
+    return named.where(~F.col("p.rejected")).select("doc.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
