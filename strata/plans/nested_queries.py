@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from strata.operators.flatten import flatten, parse_json_column, unpivot_panel
 from strata.operators.hierarchy import edges_from_parent_array, edges_from_parent_columns, parent_columns
 from strata.plans import refdata as R
-from strata.plans.refresh import gold_tables, refresh, silver_numbers
+from strata.plans.refresh import gold_tables, raw_to_csv, refresh, silver_numbers
 from strata.plans.registry import query
 from strata.session import ensure_checkpoint_dir
 from strata.sources.documents import read_entity_document
+from strata.sources.sinks import read_csv
 from strata.sources.tables import Tables
 
 
@@ -155,6 +156,25 @@ def entity_documents(t: Tables) -> DataFrame:
     return read_entity_document(t.spark, folder)
 
 
+@query("csv_records", """
+SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority || ', "x"' END AS nota,
+       CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS VARCHAR) END AS cliente_id,
+       CASE WHEN o_orderstatus = 'P' THEN '0' || o_custkey END AS codigo
+FROM orders""")
+def csv_records(t: Tables) -> DataFrame:
+    """Orders as JSON records with different keys, written as CSV under all their keys, read back as text."""
+    base = f"{ensure_checkpoint_dir(t.spark)}/csv-{uuid.uuid4().hex}"
+    status = F.col("o_orderstatus")
+    item = F.to_json(F.struct(
+        F.col("o_orderkey").alias("id"),
+        F.when(status != "P", F.concat("o_orderpriority", F.lit(', "x"'))).alias("nota"),
+        F.when(status != "F", F.struct(F.col("o_custkey").alias("id"))).alias("cliente"),
+        F.when(status == "P", F.concat(F.lit("0"), F.col("o_custkey"))).alias("codigo")))  # to_json leaves nulls out
+    _land(t.orders.select(item.alias("item")), "item", f"{base}/in/entidades.json")
+    written = raw_to_csv(t.spark, f"{base}/in", f"{base}/out")
+    return read_csv(t.spark, written["csv"]).select("id", "nota", "cliente_id", "codigo")
+
+
 @query("refresh_layers", """
 WITH nodes AS (
   SELECT c_custkey AS id, c_name AS name, 900000000 + c_nationkey AS parent, c_acctbal AS balance FROM customer

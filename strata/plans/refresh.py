@@ -31,9 +31,10 @@ from strata.plans import news as N
 from strata.plans import refdata as R
 from strata.plans import silver as S
 from strata.plans.quality import RULES
-from strata.sources.documents import read_entity_document, read_panel
+from strata.sources.documents import parse_entities, read_entity_document, read_panel
 from strata.sources.feeds import damage, read_feeds, whole
-from strata.sources.sinks import write_table
+from strata.sources.json_lists import json_elements
+from strata.sources.sinks import first_seen_keys, in_order_of_keys, write_csv, write_raw_json, write_table
 
 log = logging.getLogger(__name__)
 
@@ -81,6 +82,19 @@ def raw_to_bronze(spark: SparkSession, in_dir: str, out_dir: str, report: dict |
     return written
 
 
+def raw_to_csv(spark: SparkSession, in_dir: str, out_dir: str) -> dict[str, str]:
+    """The landed entities as raw JSON lines (A6) and as CSV (A7), for readers outside Spark.
+
+    The CSV's header has the flattened names in the order in which the documents show their keys."""
+    items = json_elements(spark, _p(in_dir, "entidades*.json"), "entidades")
+    flat = parse_entities(items)
+    keys = first_seen_keys(items, "item", ["file", "block", "seq"])
+    raw, csv = _p(out_dir, "raw", "entidades"), _p(out_dir, "bronze_csv", "entidades")
+    write_raw_json(parse_entities(items, flat=False), raw)
+    write_csv(flat, csv, in_order_of_keys(flat.columns, keys))
+    return {"raw": raw, "csv": csv}
+
+
 def bronze_to_silver(spark: SparkSession, out_dir: str, as_of: dt.date,
                      strict: bool = False, duplicates: str = "error", report: dict | None = None) -> dict[str, int]:
     """Bronze -> silver tables; the indicator table is merged by touched buckets.

@@ -28,6 +28,11 @@ def read_entity_document(spark: SparkSession, path: str, list_key: str = "entida
     ``lineage`` adds the source file name and load time (A12).
     """
     items = json_elements(spark, path, list_key)
+    return parse_entities(items, flat, lineage)
+
+
+def parse_entities(items: DataFrame, flat: bool = True, lineage: bool = False) -> DataFrame:
+    """B1 on the elements of documents (``item, file``)."""
     schema = json_schema(items.select("item"), "FAILFAST")
     extra = [F.element_at(F.split("file", "/"), -1).alias(FILE_COL)] if lineage else []
     both = items.select(F.parse_json("item").alias("_doc"),

@@ -216,19 +216,19 @@ def _starts(records: DataFrame, key: str | None) -> dict[tuple, tuple]:
 
 
 def json_elements(spark: SparkSession, path: str, list_key: str | None = None) -> DataFrame:
-    """``(item, file)``: the text of every element of the arrays at ``path`` (files or a glob), or of the
-    lists under ``list_key`` of the objects there."""
+    """``(item, file, block, seq)``: the text of every element of the arrays at ``path`` (files or a glob), or of the
+    lists under ``list_key`` of the objects there; ``file, block, seq`` give their order."""
     records = _records(spark, path)
     pieces = checkpoint(records.mapInArrow(_pieces(_starts(records, list_key), list_key), PIECES), cache=False)
     order = Window.partitionBy("file").orderBy("block", "seq")  # at most two pieces a range
     begun = F.sum((F.col("kind") == START).cast("int")).over(order)
     crossing = pieces.where(F.col("kind") != WHOLE).withColumn("element", begun)
     joined = crossing.groupBy("file", "element").agg(
-        F.array_sort(F.collect_list(F.struct("block", "seq", "text"))).alias("parts"),
+        F.array_sort(F.collect_list(F.struct("block", "seq", "text"))).alias("parts"), F.min(F.struct("block", "seq")).alias("at"),
         F.bool_or("opens").alias("opens"), F.bool_or("closes").alias("closes")).select(
-        "file", "opens", "closes", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"))
-    items = pieces.where(F.col("kind") == WHOLE).select("file", "opens", "closes", "text").union(joined)
+        "file", "opens", "closes", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), "at.*")
+    items = pieces.where(F.col("kind") == WHOLE).select("file", "opens", "closes", "text", "block", "seq").union(joined)
     blank = F.length(F.regexp_replace("text", r"^\s+", "")) == 0
     checked = F.when(blank, F.raise_error(F.concat(F.lit("blank element in "), F.col("file"))).cast("string"))
     items = items.where(~(blank & F.col("opens") & F.col("closes")))
-    return items.select(F.coalesce(checked, F.col("text")).alias("item"), "file")
+    return items.select(F.coalesce(checked, F.col("text")).alias("item"), "file", "block", "seq")

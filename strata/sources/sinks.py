@@ -21,7 +21,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None =
              infer: bool = False) -> DataFrame:
     """A4: CSV with a header.  An explicit (string) schema keeps leading zeros of
     ids and postal codes and ``yyyy-MM`` text, which inference would change (T5, T6)."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    r = spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -33,11 +33,33 @@ def all_string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header = the frame's columns; empty input is an error."""
+def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
+    """CSV with a header, the frame's columns or ``columns`` (those it lacks are empty cells); empty input is an error.
+
+    Quotes within a value are doubled, so that any reader takes them."""
     if df.isEmpty():
         raise ValueError(f"refusing to write an empty CSV to {path}")
-    df.write.mode("overwrite").option("header", True).csv(path)
+    if columns is not None:
+        df = df.select(*[F.col(f"`{c}`") if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def first_seen_keys(records: DataFrame, col: str, order: Sequence[str]) -> list[str]:
+    """Keys of all JSON objects of a column, in the order in which a reader from top to bottom meets them.
+
+    ``order``: columns that give the place of a record; one row a key is collected."""
+    keys = records.select(*order, F.posexplode(F.json_object_keys(col)).alias("place", "key"))
+    first = keys.groupBy("key").agg(F.min(F.struct(*order, "place")).alias("first"))
+    return [r["key"] for r in first.orderBy("first").collect()]
+
+
+def in_order_of_keys(columns: Sequence[str], keys: Sequence[str], sep: str = "_") -> list[str]:
+    """Flattened column names in the order of the keys that they come from (the longest that fits); others last."""
+    def place(name: str) -> int:
+        fits = [k for k in keys if name == k or name.startswith(k + sep)]
+        return keys.index(max(fits, key=len)) if fits else len(keys)
+    keys = list(keys)
+    return sorted(columns, key=place)
 
 
 def write_raw_json(df: DataFrame, path: str) -> None:

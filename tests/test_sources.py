@@ -145,3 +145,28 @@ def test_watch_counts_what_is_written(spark, scratch):
     sinks.write_table(df, f"{scratch}/w", cluster_by=["k", "n"], watch=watch)
     assert watch.counts == {"three": 143, "null": 100, "unknown": 0}
     assert Watch({}).over(df) is df and Watch({"x": F.lit(True)}).counts == {"x": 0}
+
+
+def test_csv_header_in_first_seen_order(spark, scratch):
+    import csv
+    import json
+    from strata.plans.refresh import raw_to_csv
+    docs = [{"z": "00012", "id": 1, "end": {"uf": "SP", "cep": "0131"}}, {"id": 2, "novo": 'say "hi", é', "z": None},
+            {"a": [{"k": 1}, {"k": 2}], "id": 3}, {"id": 4, "z": "line\nbreak"}]
+    os.makedirs(f"{scratch}/in")
+    with open(f"{scratch}/in/entidades.json", "w", encoding="utf-8") as f:
+        json.dump({"entidades": docs}, f, ensure_ascii=False)
+    written = raw_to_csv(spark, f"{scratch}/in", f"{scratch}/out")
+    rows = []
+    for name in sorted(os.listdir(written["csv"])):
+        if name.endswith(".csv"):
+            with open(os.path.join(written["csv"], name), encoding="utf-8", newline="") as f:
+                rows += list(csv.DictReader(f))
+    assert list(rows[0]) == ["z", "id", "end_cep", "end_uf", "novo", "a_0_k", "a_1_k"]
+    by = {r["id"]: r for r in rows}
+    assert by["1"]["z"] == "00012" and by["1"]["end_cep"] == "0131" and by["1"]["novo"] == ""
+    assert by["2"]["novo"] == 'say "hi", é' and by["3"]["a_1_k"] == "2" and by["4"]["z"] == "line\nbreak"
+    raw = spark.read.json(written["raw"])
+    assert raw.count() == 4 and raw.where("id = 2").first()["novo"] == 'say "hi", é'
+    with pytest.raises(ValueError):
+        sinks.write_csv(spark.createDataFrame([], "a string"), f"{scratch}/none", ["a"])
