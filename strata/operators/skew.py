@@ -11,17 +11,19 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> dict:
     """Keys that hold more than ``share`` of the rows, each with its number of buckets: its rows
-    in units of ``share``."""
+    in units of ``share``.  The total is summed up while the largest keys are looked for, in the same job."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.count()
-    rows = counts.where(F.col("_n") > share * total).collect()
-    return {r[0]: ceil(r["_n"] / (share * total)) for r in rows}
+    seen = Observation()
+    largest = counts.observe(seen, F.sum("_n").alias("total")).orderBy(F.desc("_n")).limit(int(1 / share) + 1)
+    rows = largest.collect()  # at most so many keys can hold more than a share
+    limit = share * (seen.get["total"] or 0)
+    return {r[0]: ceil(r["_n"] / limit) for r in rows if r["_n"] > limit}
 
 
 def salted_join(small: DataFrame, small_key: str, big: DataFrame, big_key: str,
