@@ -142,8 +142,8 @@ def _land(rows: DataFrame, item: str, path: str, head: str = '{"versao": 2, "ent
 
 
 @query("entity_documents", """
-SELECT c_custkey AS id, c_name AS nome, c_nationkey AS endereco_pais, c_mktsegment AS endereco_setor,
-       c_custkey AS ids_pai_0_id, c_nationkey AS ids_pai_1_id
+SELECT c_custkey AS id, c_name AS nome, CAST(c_nationkey AS BIGINT) AS endereco_pais, c_mktsegment AS endereco_setor,
+       c_custkey AS ids_pai_0_id, CAST(c_nationkey AS BIGINT) AS ids_pai_1_id
 FROM customer""")
 def entity_documents(t: Tables) -> DataFrame:
     """A1: all customers landed as documents with one long list each, read back element by element and flattened."""
