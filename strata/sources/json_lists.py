@@ -1,8 +1,8 @@
 """A1/A2: the elements of one large JSON list, read by many tasks.
 
 A JSON document has no line ends to split at, so Spark's JSON reader gives a file to one task.  Here it is read as text
-records that end at ``},``, whatever that is part of: Spark's text source splits such a file into byte ranges as any other, and
-``_metadata.file_block_start`` orders the ranges.  Whether a range starts within a string, and how deep, follows from
+records that end at a comma, whatever that is part of, as some comma stands between any two elements: Spark's text source
+splits such a file into byte ranges as any other, and ``_metadata.file_block_start`` orders the ranges.  Whether a range starts within a string, and how deep, follows from
 those before it, in three passes over the text, each one row a range or less at the driver:
 
 1. every range counts its quotes and its opening and closing brackets, once for each of the two possible starts;
@@ -14,7 +14,7 @@ Only places outside strings at the list's own depth separate elements; their tex
 
 Defined cases: an empty list gives no rows; blank elements (``[1,,2]``), text around an array, a file without the
 key, and documents that end within a string or bracket raise; an element of any length is kept whole; damage within an
-element shows when it is parsed; a file without ``},`` is one record.
+element shows when it is parsed; a file without a comma is one record; a comma after the document raises.
 """
 
 from __future__ import annotations
@@ -23,34 +23,40 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.session import checkpoint
 
-SEPARATOR = "},"
+SEPARATOR = ","
 _ESCAPE = re.compile(r"\\.", re.S)
 _TOKEN = re.compile(r'\\.|["\[\]{},]', re.S)
 PIECES = "file string, block long, seq long, kind string, opens boolean, closes boolean, text string"
+COUNTS = "file string, block long, odd long, outside long, inside long, bytes long, ends long, bare long, size long"
 #: Kinds of pieces: a whole element, the end of one, what neither starts nor ends here, the start of one.
 WHOLE, END, MIDDLE, START = "whole", "end", "middle", "start"
 
 
 def _records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", SEPARATOR).text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col("_metadata.file_size").alias("size"))
 
 
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, str]]:
-    """``(file, block, text)`` of the records of a batch that belong to one range, with their separators."""
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, str]]:
+    """``(file, block, size of the file, text)`` of the records of a batch that belong to one range, with their separators."""
     for batch in batches:
-        values, files, blocks = (c.to_pylist() for c in batch.columns)
-        start = 0
-        for i in range(1, len(values) + 1):
-            if i == len(values) or (files[i], blocks[i]) != (files[start], blocks[start]):
-                yield files[start], blocks[start], SEPARATOR.join([*values[start:i], ""])
-                start = i
+        values, files, blocks, sizes = batch.columns
+        n = max(0, len(values) - 1)
+        other = pc.or_(pc.not_equal(files.slice(1), files.slice(0, n)), pc.not_equal(blocks.slice(1), blocks.slice(0, n)))
+        cuts = [0, *(np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist(), len(values)]
+        for start, stop in zip(cuts, cuts[1:]):
+            if start < stop:
+                part = pa.ListArray.from_arrays([0, stop - start], values.slice(start, stop - start))
+                yield *(c[start].as_py() for c in (files, blocks, sizes)), pc.binary_join(part, SEPARATOR)[0].as_py() + SEPARATOR
 
 
 def _balance(segments: list[str]) -> int:
@@ -59,18 +65,23 @@ def _balance(segments: list[str]) -> int:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each range: whether its quotes are odd, and its depth if it starts outside or inside a string."""
+    """Of each range: whether its quotes are odd, its depth if it starts outside or inside a string, its bytes, and
+    the separators at its end (all of it if ``bare``)."""
     found: dict[tuple, list[int]] = {}
-    for file, block, text in _ranges(batches):
+    for file, block, whole, text in _ranges(batches):
         parts = _ESCAPE.sub("", text).split('"')
-        odd, *depth = found.get((file, block), [0, 0, 0])
+        odd, outside, inside, size, ends, bare, _ = found.get((file, block), [0, 0, 0, 0, 0, 1, 0])
+        depth = [outside, inside]
         for start in (0, 1):  # the batch starts inside if the range does, or an odd number of quotes came before
             depth[start] += _balance(parts[start ^ odd::2])
-        found[file, block] = [odd ^ (len(parts) - 1) % 2, *depth]
+        kept = text.rstrip(SEPARATOR + " \t\r\n")
+        more = text.count(SEPARATOR, len(kept))
+        found[file, block] = [odd ^ (len(parts) - 1) % 2, *depth, size + len(text.encode()), more if kept else ends + more,
+                              int(bare and not kept), whole]
     rows = [(*at, *state) for at, state in found.items()]
-    columns = list(zip(*rows)) if rows else [()] * 5
+    columns = list(zip(*rows)) if rows else [()] * 9
     yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if i == 0 else pa.int64()) for i, c in enumerate(columns)],
-                                     ["file", "block", "odd", "outside", "inside"])
+                                     [c.split()[0] for c in COUNTS.split(", ")])
 
 
 @dataclass
@@ -146,7 +157,7 @@ class _Scan:
 def _scans(batches: Iterator[pa.RecordBatch], starts: dict, key: str | None):
     """Ranges one after the other, as ``(file, block, scan, text)``; no text at the end of a range."""
     last = None
-    for file, block, text in _ranges(batches):
+    for file, block, _, text in _ranges(batches):
         if last is None or last[:2] != (file, block):
             if last is not None:
                 yield *last, None
@@ -187,17 +198,18 @@ def _pieces(starts: dict, key: str | None):
 
 def _starts(records: DataFrame, key: str | None) -> dict[tuple, tuple]:
     """Where each range starts: within a string, how deep, within the list, and whether it is its file's first one."""
-    starts, quoted, depth, before = {}, 0, 0, None
-    counted = records.mapInArrow(_count, "file string, block long, odd long, outside long, inside long")
-    ranges = counted.orderBy("file", "block").collect()  # one row a range of bytes
-    for i, (file, block, odd, outside, inside) in enumerate(ranges):
+    starts, quoted, depth, before, read, after = {}, 0, 0, None, 0, 0
+    ranges = records.mapInArrow(_count, COUNTS).orderBy("file", "block").collect()  # one row a range of bytes
+    for i, (file, block, odd, outside, inside, size, ends, bare, whole) in enumerate(ranges):
         if file != before:
-            quoted, depth = 0, 0
+            quoted, depth, read, after = 0, 0, 0, 0
         starts[file, block] = (bool(quoted), depth, False, file != before)
         depth += inside if quoted else outside
-        quoted, before = quoted ^ odd, file
-        # the file's last record has no separator after it
-        if (i + 1 == len(ranges) or ranges[i + 1][0] != file) and (quoted or depth != -1):
+        quoted, before, read, after = quoted ^ odd, file, read + size, after + ends if bare else ends
+        # one separator more than the file has stands after its last record, unless the file ends with one (a byte
+        # order mark, 3 bytes, is not read)
+        if (i + 1 == len(ranges) or ranges[i + 1][0] != file) and (
+                quoted or depth or after != 1 or read - whole in (0, -3)):
             raise ValueError(f"not a whole JSON document: {file}")
     if key is None:
         return {at: (q, d, d > 0, first) for at, (q, d, _, first) in starts.items()}

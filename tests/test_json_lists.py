@@ -68,6 +68,23 @@ def test_one_file_is_read_by_many_tasks(spark, scratch, small_ranges):
     assert json_elements(spark, f"{scratch}/big.json").count() == 500
 
 
+def test_items_that_end_with_a_list_are_read_by_many_tasks(spark, scratch, small_ranges):
+    from strata.sources.json_lists import _records
+    items = [{"id": i, "up": [{"id": i % 3}]} for i in range(400)]
+    lines = "\n,".join(json.dumps(x) for x in items)  # nowhere a comma behind a bracket
+    write(f"{scratch}/big.json", f'{{"entidades": [\n{lines}\n]}}\n')
+    records = _records(spark, f"{scratch}/big.json")
+    assert records.agg(F.max(F.length("value"))).first()[0] < 100
+    assert records.select(F.spark_partition_id()).distinct().count() > 20
+    assert parsed(json_elements(spark, f"{scratch}/big.json", "entidades")) == wanted({"big.json": items})
+
+
+@pytest.mark.parametrize("text", ["[1,2],", "[1,2],\n", "[1,2]," + " " * 900, "[1],,", '[{"a":1}],{"b":2}'])
+def test_a_comma_after_the_document_raises(spark, scratch, small_ranges, text):
+    with pytest.raises(Exception):  # noqa: B017
+        json_elements(spark, write(f"{scratch}/d.json", text)).collect()
+
+
 def test_long_elements_and_empty_lists(spark, scratch, small_ranges):
     long = [{"s": "y},{" * 1000}, 1, ["},"] * 700, "end"]
     write(f"{scratch}/l.json", long)
