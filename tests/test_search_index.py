@@ -79,6 +79,29 @@ def test_other_folders_are_not_read(spark, tmp_path):
         S.indexed_texts(spark, str(tmp_path), "xt", "id").collect()
 
 
+@pytest.mark.parametrize("chars", [4_000_000, 50])
+def test_postings_of_blocks(spark, rows, indexed, tmp_path, monkeypatch, chars):
+    import pyarrow as pa
+    monkeypatch.setattr(S, "BLOCK_CHARS", chars)
+    want = {(r[0], g) for r in indexed[1].where("id is not null").select("id", *[
+        F.explode(F.array_distinct(F.flatten(F.array(S.grams(F.col("title")), S.grams(F.col("summary")))))).alias("g")]).collect()
+        for g in [r["g"]]}
+    some = [r for r in rows if r[0] is not None]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in some]), pa.array(
+        [[t and t.lower() for t in r[1:3]] for r in some], pa.list_(pa.string()))], ["id", "texts"])
+    made = [(g, i) for b in S._postings(iter([batch])) for g, ids in zip(b["gram"].to_pylist(), b["ids"].to_pylist()) for i in ids]
+    assert {(i, g) for g, i in made} == want
+    assert sum(b.num_rows for b in S._postings(iter([batch]))) < len(made)
+
+
+def test_postings_take_a_row_a_gram_and_block(spark, tmp_path):
+    df = spark.range(400).select("id", F.lit("the same words in all texts").alias("t")).coalesce(1)
+    S.write_index(df, str(tmp_path), "id", ["t"])
+    postings = spark.read.parquet(f"{tmp_path}/postings")
+    assert postings.count() < 400 * 5
+    assert postings.select(F.explode("ids")).count() == 400 * len(S.term_grams(spark, "the same words in all texts"))
+
+
 def test_no_texts(spark, tmp_path):
     df = spark.createDataFrame([], "id int, t string, source string")
     S.write_index(df, str(tmp_path), "id", ["t"])
