@@ -11,8 +11,11 @@ a probability.  One causal attention layer (queries, keys and values by symbol a
 distance) and one hidden layer that also reads the last two symbols
 predict the next symbol in two steps, a class of 32 and one of its 32 members.  Windows of ``WINDOW`` places overlap by ``OVERLAP``: a
 window's first places only give context, so each id is scored once; the windows of many documents are
-multiplied together under one causal mask.  The weights are trained in numpy on a bounded sample of training
-documents (``TRAIN_DOCS`` in the mean, at most about ``TRAIN_WINDOWS`` windows).  Order is also counted: the pairs of neighbouring ids of all training
+multiplied together under one causal mask.  The weights are trained in numpy on every window of all training documents:
+they start from a few passes over some of them (``TRAIN_DOCS`` in the mean, at most about ``TRAIN_WINDOWS`` windows); unless
+those were all, every task then trains a copy on all windows of its documents, each id predicted once, and the copies' mean by
+windows is the model.
+Order is also counted: the pairs of neighbouring ids of all training
 documents, starts and ends included, give a Witten-Bell estimate of the next symbol that is mixed with the model's by
 ``PAIRED``.  All counts cover all training documents.  A word's probability mixes its
 share of all training tokens with the product of its ids' probabilities.
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -45,6 +49,10 @@ END, ESCAPE, START = 0, 1, SYMBOLS
 WINDOW, OVERLAP = 16, 4
 WIDTH, HIDDEN = 16, 48
 TRAIN_DOCS, TRAIN_WINDOWS, EPOCHS, BATCH, RATE = 1200, 80_000, 3, 256, 1e-2
+#: Rate and batch of the pass over all training documents, from the weights that the first ones gave.
+WHOLE_RATE, WHOLE_BATCH = 4e-3, 256
+#: Numbers of a row of weights.
+WEIGHTS = 4096
 #: Weight of the attention model in the mixture with the corpus's word shares.
 SPELLED = 0.5
 #: Weight of the corpus's symbol pairs in the mixture with the attention model.
@@ -172,24 +180,45 @@ class Attention:
     def train(self, ids: np.ndarray, target: np.ndarray, use: np.ndarray, epochs: int = EPOCHS,
               seed: int = 5) -> list[float]:
         """Adam over shuffled batches of windows; the rate falls to zero."""
-        draw = np.random.default_rng(seed)
-        mean = {k: np.zeros_like(x) for k, x in self.w.items()}
-        square = {k: np.zeros_like(x) for k, x in self.w.items()}
+        draw, adam = np.random.default_rng(seed), Adam(self)
         batches = max(1, -(-len(ids) // BATCH))
-        losses, at = [], 0
+        losses = []
         for _ in range(epochs):
             for part in np.array_split(draw.permutation(len(ids)), batches):
-                at += 1
-                loss, grad = self.step(ids[part], target[part], use[part])
-                losses.append(loss)
-                rate = RATE * (1 - at / (epochs * batches + 1))
-                for k, x in self.w.items():
-                    mean[k] += np.float32(0.1) * (grad[k] - mean[k])
-                    square[k] += np.float32(0.01) * (grad[k] ** 2 - square[k])
-                    x -= (rate * (mean[k] / (1 - 0.9 ** at)) / (np.sqrt(square[k] / (1 - 0.99 ** at)) + 1e-7)
-                          ).astype(np.float32)
+                losses.append(adam.step(ids[part], target[part], use[part],
+                                        RATE * (1 - (adam.at + 1) / (epochs * batches + 1))))
         return losses
 
+    def flat(self) -> np.ndarray:
+        """All weights in one row."""
+        return np.concatenate([x.ravel() for x in self.w.values()])
+
+    def load(self, flat: np.ndarray) -> None:
+        """Take the weights that ``flat`` gave."""
+        stops = np.cumsum([x.size for x in self.w.values()])[:-1]
+        for x, new in zip(self.w.values(), np.split(flat, stops)):
+            x[:] = new.reshape(x.shape)
+
+
+class Adam:
+    """Steps of a model down its loss."""
+
+    def __init__(self, model: Attention):
+        self.model, self.at = model, 0
+        self.mean = {k: np.zeros_like(x) for k, x in model.w.items()}
+        self.square = {k: np.zeros_like(x) for k, x in model.w.items()}
+
+    def step(self, ids: np.ndarray, target: np.ndarray, use: np.ndarray, rate: float) -> float:
+        self.at += 1
+        mean, square = self.mean, self.square
+        loss, grad = self.model.step(ids, target, use)
+        for k, x in self.model.w.items():
+            mean[k] += np.float32(0.1) * (grad[k] - mean[k])
+            square[k] += np.float32(0.01) * (grad[k] ** 2 - square[k])
+            x -= (rate * (mean[k] / (1 - 0.9 ** self.at)) / (np.sqrt(square[k] / (1 - 0.99 ** self.at)) + 1e-7)
+                  ).astype(np.float32)
+        return loss
+
 
 class Frozen:
     """The forward pass over tables that need no scaling or slicing, in blocks that stay in a core's cache."""
@@ -250,15 +279,15 @@ def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[float, np.nda
     return loss, p
 
 
-def windows(symbols: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+def windows(symbols: np.ndarray, stops: np.ndarray, overlap: int = OVERLAP) -> tuple[np.ndarray, ...]:
     """Windows over the documents' symbols: ``(read, target, use, owner)`` with places after a document's end unused.
 
     A document reads START and its symbols and predicts its symbols and END."""
     size = np.diff(stops)
-    n_windows = 1 + np.maximum(0, -(-(size + 1 - WINDOW) // (WINDOW - OVERLAP)))
+    n_windows = 1 + np.maximum(0, -(-(size + 1 - WINDOW) // (WINDOW - overlap)))
     owner = np.repeat(np.arange(len(size)), n_windows)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-    place = (number * (WINDOW - OVERLAP))[:, None] + np.arange(WINDOW)
+    place = (number * (WINDOW - overlap))[:, None] + np.arange(WINDOW)
     length = size[owner][:, None]
     base = stops[:-1][owner][:, None]
     padded = np.concatenate([symbols, [END]])
@@ -267,7 +296,7 @@ def windows(symbols: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
     read[place > length] = END
     target = np.where(place < length, padded[np.minimum(base + place, last)], END)
     use = place <= length
-    use[number > 0, :OVERLAP] = False
+    use[number > 0, :overlap] = False
     return read, target, use, owner
 
 
@@ -461,6 +490,49 @@ def _sample_symbols(path: str, symbol_of: np.ndarray):
     return run
 
 
+def _train_part(path: str, symbol_of: np.ndarray, frequency: np.ndarray, start: np.ndarray):
+    """Rows ``block, windows, weights`` of the copy that has learned from every window of a task's texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok, model, n = encoder(path), Attention(frequency), 0
+        model.load(start)
+        adam, draw = Adam(model), np.random.default_rng(7)
+        for batch in batches:
+            for part in _parts(batch.column(0)):
+                ids, stops = tok.join(*tok.split(part))
+                read, target, use, _ = windows(symbol_of[ids], stops, 0)
+                n += len(read)
+                for some in np.array_split(draw.permutation(len(read)), -(-len(read) // WHOLE_BATCH)):
+                    adam.step(read[some], target[some], use[some], WHOLE_RATE)
+        if n:
+            flat = model.flat()
+            bounds = np.append(np.arange(0, len(flat), WEIGHTS), len(flat)).astype(np.int32)
+            blocks = np.arange(len(bounds) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(blocks), pa.array(np.full(len(blocks), n)), pa.ListArray.from_arrays(
+                pa.array(bounds), pa.array(flat))], ["block", "windows", "weights"])
+    return run
+
+
+def _mean_weights(copies: pa.Table) -> pa.Table:
+    """A block's weights: the mean of its copies by their windows."""
+    n = copies["windows"].to_numpy()
+    rows = pc.list_flatten(copies["weights"]).to_numpy().reshape(len(n), -1)
+    mean = (rows.astype(np.float64) * (n / n.sum())[:, None]).sum(axis=0)
+    return pa.table({"block": copies["block"].slice(0, 1), "windows": pa.array([n.sum()]),
+                     "weights": pa.array([mean.astype(np.float32)], pa.list_(pa.float32()))})
+
+
+def train_on_all(docs: DataFrame, path: str, symbol_of: np.ndarray, frequency: np.ndarray, model: Attention) -> int:
+    """One pass over every window of all documents ``(text)``, split over tasks; the windows read."""
+    kind = "block long, windows long, weights array<float>"
+    copies = checkpoint(docs.select("text").mapInArrow(_train_part(path, symbol_of, frequency, model.flat()), kind),
+                        cache=False)
+    got = copies.groupBy("block").applyInArrow(_mean_weights, kind).orderBy("block").collect()  # the weights once
+    if not got:
+        return 0
+    model.load(np.concatenate([np.asarray(r["weights"], dtype=np.float32) for r in got]))
+    return got[0]["windows"]
+
+
 def _score_rows(scorer: Scorer):
     """Rows ``row, doc_id, n_tokens, n_known, base, score`` and the words that the table lacks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -556,6 +628,8 @@ def fit(docs: DataFrame, path: str, table_words: int = TABLE_WORDS, train_docs:
                              for c in ("read", "target", "use"))
         order = np.lexsort(read.T)  # the same windows in the same order, however tasks end
         model.train(read[order], target[order], use[order] > 0)
+        if share < 1 or limit < 1 << 20:  # else these were all windows
+            train_on_all(docs, path, symbol_of, frequency, model)
     return Scorer(path, symbol_of, escape_log, model, table, table_count, tokens, distinct, n_docs, pairs), words, least
 
 

@@ -183,6 +183,35 @@ def test_windows_score_each_symbol_once():
     assert np.repeat(owner, use.sum(axis=1)).tolist() == np.repeat(np.arange(6), np.diff(stops) + 1).tolist()
 
 
+def test_weights_learn_from_all_training_documents(spark):
+    path = wordbpe.default_path()
+    rows = spark.createDataFrame([(i, "green apples are sweet " * 6 if i % 2 else "red stones are heavy " * 6)
+                                  for i in range(60)], "doc_id long, text string").repartition(3)
+    few, _, _ = attention_lm.fit(rows, path, train_docs=4)
+    model = attention_lm.Attention(np.ones(attention_lm.SYMBOLS))
+    symbol_of, before = few.symbol_of, model.flat()
+    ids = [wordbpe.encoder(path).join(*wordbpe.encoder(path).split(pa.array([r["text"]]))) for r in rows.collect()]
+    total = sum(len(attention_lm.windows(symbol_of[i], stops, 0)[0]) for i, stops in ids)
+    assert attention_lm.train_on_all(rows, path, symbol_of, np.ones(attention_lm.SYMBOLS), model) == total
+    # symbols of every document have moved, and the mean over tasks is a mean by windows
+    table = model.w["table"] - attention_lm.Attention(np.ones(attention_lm.SYMBOLS)).w["table"]
+    assert len(before) == len(model.flat())
+    assert all(np.abs(table[s]).max() > 0 for s in {int(x) for i, _ in ids for x in symbol_of[i]})
+    a, b = np.full(5, 1, np.float32), np.full(5, 4, np.float32)
+    mean = attention_lm._mean_weights(pa.table({"block": [0, 0], "windows": [2, 1], "weights": [a, b]}))
+    assert mean["weights"].to_pylist() == [[2.0] * 5] and mean["windows"].to_pylist() == [3]
+
+
+def test_fit_passes_over_all_documents_unless_the_first_ones_were_all(spark, monkeypatch):
+    seen, path = [], wordbpe.default_path()
+    rows = spark.createDataFrame([(i, "red stones are heavy") for i in range(40)], "doc_id long, text string")
+    monkeypatch.setattr(attention_lm, "train_on_all", lambda docs, *_: seen.append(docs.count()))
+    attention_lm.fit(rows, path)
+    assert seen == []
+    attention_lm.fit(rows, path, train_docs=10)
+    assert seen == [40]
+
+
 def test_attention_is_causal_and_normalised():
     model = attention_lm.Attention(np.ones(attention_lm.SYMBOLS))
     draw = np.random.default_rng(0)
