@@ -15,6 +15,7 @@ multiplied together under one causal mask.  The weights are trained in numpy on
 they start from a few passes over some of them (``TRAIN_DOCS`` in the mean, at most about ``TRAIN_WINDOWS`` windows); unless
 those were all, every task then trains a copy on all windows of its documents, each id predicted once, and the copies' mean by
 windows is the model.
+Texts are cut into ids once; the training passes and the scores read them from a table below ``spark.checkpoint.dir``.
 Order is also counted: the pairs of neighbouring ids of all training
 documents, starts and ends included, give a Witten-Bell estimate of the next symbol that is mixed with the model's by
 ``PAIRED``.  All counts cover all training documents.  A word's probability mixes its
@@ -27,6 +28,7 @@ into fold 0; an empty table gives no rows; further columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import checkpoint, documents
 from strata.llm.langid import HashArray, fold
 from strata.llm.toxicity import _parts
-from strata.llm.wordbpe import default_path, encoder, values
+from strata.llm.wordbpe import WordBpe, default_path, encoder, values
 
 TABLE_WORDS = 1_000_000
 GROUPS = 32
@@ -61,8 +63,12 @@ PAIRED = 0.5
 CHUNK = 2048
 #: Keys of counts that a task adds up before it gives them away.
 HELD = 500_000
+#: Ids of whole documents whose windows are dealt to batches together.
+PART_IDS = 180_000
 #: Windows of one block.
 BLOCK = 128
+#: Weights that Adam moves together, and rows of a name that are added one by one.
+CACHED, FEW = 8192, 12
 HASH_SEED = 42
 
 _LOG10 = np.log(10.0)
@@ -79,26 +85,36 @@ class Attention:
             return (draw.standard_normal(shape) * scale).astype(np.float32)
         smooth = np.log((frequency.astype(np.float64) + 0.5).reshape(GROUPS, GROUPS))
         group = np.log(np.exp(smooth).sum(axis=1))
-        self.w = {
+        start = {
             # query, key and value of a symbol, and what it adds to the hidden layer as the last one read and the one before
             "table": normal(SYMBOLS + 1, 3 * WIDTH + 2 * HIDDEN),
             "place": normal(WINDOW, 3 * WIDTH, scale=0.02),
             "near": -0.2 * np.arange(WINDOW, dtype=np.float32),
             "mix": normal(WIDTH, HIDDEN, scale=0.2),
-            "group": normal(HIDDEN, GROUPS, scale=0.05), "group_bias": (group - group.mean()).astype(np.float32),
-            "member": normal(GROUPS, HIDDEN, GROUPS, scale=0.05),
-            "member_bias": (smooth - smooth.mean(axis=1, keepdims=True)).astype(np.float32)}
+            # the last row is the bias
+            "group": np.append(normal(HIDDEN, GROUPS, scale=0.05), (group - group.mean())[None], axis=0),
+            "member": np.append(normal(GROUPS, HIDDEN, GROUPS, scale=0.05),
+                                (smooth - smooth.mean(axis=1, keepdims=True))[:, None], axis=1)}
+        self.shapes = {k: x.shape for k, x in start.items()}
+        self.all = np.concatenate([x.ravel() for x in start.values()]).astype(np.float32)
+        self.w = self.named(self.all)
         self.back = np.maximum(0, np.arange(WINDOW)[:, None] - np.arange(WINDOW))  # how far back a place looks
         self.mask = np.triu(np.full((WINDOW, WINDOW), -1e9, dtype=np.float32), 1)
 
+    def named(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """The parts of a row of all weights, or of their gradients."""
+        stops = np.cumsum([math.prod(s) for s in self.shapes.values()])
+        return {k: flat[stop - math.prod(s):stop].reshape(s) for (k, s), stop in zip(self.shapes.items(), stops)}
+
     def hidden(self, ids: np.ndarray, keep: bool = False):
         """(windows, places, hidden) of symbols read at the places of windows."""
         w, n = self.w, ids.shape[1]
-        x = w["table"][ids]
-        qkv = x[..., :3 * WIDTH] + w["place"][:n]
-        q, k = qkv[..., :WIDTH], qkv[..., WIDTH:2 * WIDTH]
+        table = w["table"]
+        qkv = table[:, :3 * WIDTH].take(ids, axis=0)
+        qkv += w["place"][:n]
         v = np.ones((*ids.shape, WIDTH + 1), dtype=np.float32)  # the last column adds up the weights
         v[..., :WIDTH] = qkv[..., 2 * WIDTH:]
+        q, k = qkv[..., :WIDTH], qkv[..., WIDTH:2 * WIDTH]
         a = np.matmul(q * np.float32(WIDTH ** -0.5), k.transpose(0, 2, 1))
         a += w["near"][self.back[:n, :n]] + self.mask[:n, :n]
         np.minimum(a, 60, out=a)
@@ -106,11 +122,14 @@ class Attention:
         o = np.matmul(a, v)
         total = o[..., WIDTH:]
         o = o[..., :WIDTH] / total
-        h = o @ w["mix"]
-        h += x[..., 3 * WIDTH:3 * WIDTH + HIDDEN]
-        h[:, 1:] += x[:, :-1, 3 * WIDTH + HIDDEN:]
+        h = np.matmul(o.reshape(-1, WIDTH), w["mix"]).reshape(*ids.shape, HIDDEN)
+        h += table[:, 3 * WIDTH:3 * WIDTH + HIDDEN].take(ids, axis=0)
+        h[:, 1:] += table[:, 3 * WIDTH + HIDDEN:].take(ids[:, :-1], axis=0)
         np.maximum(h, 0, out=h)
-        return (h, (q, k, v[..., :WIDTH], a / total, o)) if keep else h
+        if not keep:
+            return h
+        a /= total
+        return h, (q, k, v[..., :WIDTH], a, o)
 
     def frozen(self) -> Frozen:
         """The weights laid out for scoring."""
@@ -119,63 +138,81 @@ class Attention:
     def log_p(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each row's target symbol."""
         w = self.w
-        group, member = target // GROUPS, target % GROUPS
-        logits = h @ w["group"]
-        logits += w["group_bias"]
-        out = _picked(logits, group)
+        group = target // GROUPS
         order = np.argsort(group.astype(np.uint8), kind="stable")
-        rows, member = h.take(order, axis=0), member[order]
-        bounds = np.searchsorted(group[order], np.arange(GROUPS + 1)).tolist()
-        inner = np.empty(len(out), dtype=out.dtype)
-        for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
+        rows, target = h.take(order, axis=0), target.take(order)
+        bounds = np.append(0, np.cumsum(np.bincount(group, minlength=GROUPS)))
+        logits = rows @ w["group"][:-1]
+        logits += w["group"][-1]
+        got = _picked(logits, target // GROUPS)
+        for g, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if a < b:
-                logits = rows[a:b] @ w["member"][g]
-                logits += w["member_bias"][g]
-                inner[a:b] = _picked(logits, member[a:b])
-        out[order] += inner
+                part = logits[a:b]
+                np.matmul(rows[a:b], w["member"][g, :-1], out=part)
+                part += w["member"][g, -1]
+        got += _picked(logits, target % GROUPS)
+        out = np.empty_like(got)
+        out[order] = got
         return out
 
     def step(self, ids: np.ndarray, target: np.ndarray, use: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss and gradients over the used places."""
         w = self.w
-        h, (q, k, v, a, o) = self.hidden(ids, keep=True)
-        rows = h[use]
-        t = target[use]
-        n = len(t)
-        group, member = t // GROUPS, t % GROUPS
-        loss, off = _softmax_loss(rows @ w["group"] + w["group_bias"], group)
-        off /= n
-        grad = {"group": rows.T @ off, "group_bias": off.sum(axis=0),
-                "member": np.zeros_like(w["member"]), "member_bias": np.zeros_like(w["member_bias"])}
-        back = off @ w["group"].T
-        for g in np.unique(group):
-            own = np.flatnonzero(group == g)
-            part, off = _softmax_loss(rows[own] @ w["member"][g] + w["member_bias"][g], member[own])
-            loss += part
-            off /= n
-            grad["member"][g] = rows[own].T @ off
-            grad["member_bias"][g] = off.sum(axis=0)
-            back[own] += off @ w["member"][g].T
-        dh = np.zeros_like(h)
-        dh[use] = back
-        dh *= h > 0
-        flat = dh.reshape(-1, HIDDEN)
-        grad["mix"] = o.reshape(-1, WIDTH).T @ flat
-        do = (flat @ w["mix"].T).reshape(o.shape)
+        grad = self.named(np.zeros_like(self.all))
+        blocks = [slice(at, at + BLOCK) for at in range(0, len(ids), BLOCK)]
+        seen = [self.hidden(ids[block], keep=True) for block in blocks]
+        h = np.concatenate([h for h, _ in seen]).reshape(-1, HIDDEN)
+
+        used = np.flatnonzero(use)
+        t = target.ravel()[used]
+        group = t // GROUPS
+        order = np.argsort(group.astype(np.uint8), kind="stable")  # the members of a group stand together
+        used, t, n = used[order], t[order], len(t)
+        bounds = np.append(0, np.cumsum(np.bincount(group, minlength=GROUPS))).tolist()
+        rows = np.ones((n, HIDDEN + 1), dtype=np.float32)
+        rows[:, :HIDDEN] = h.take(used, axis=0)
+        off = rows @ w["group"]
+        loss = _softmax_off(off, t // GROUPS)
+        np.matmul(rows.T, off, out=grad["group"])
+        back = off @ w["group"][:-1].T
+        spans = [(rows[a:b], off[a:b], back[a:b], w["member"][g], grad["member"][g])
+                 for g, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if a < b]
+        for row, part, _, member, _ in spans:
+            np.matmul(row, member, out=part)
+        loss += _softmax_off(off, t % GROUPS)
+        for row, part, to, member, slope in spans:
+            np.matmul(row.T, part, out=slope)
+            to += part @ member[:-1].T
+        back *= rows[:, :HIDDEN] > 0
+        dh = np.zeros((len(h) + 1, HIDDEN), dtype=np.float32)  # the last row: no place behind
+        dh[used] = back
+
+        dx = np.empty((len(h), 3 * WIDTH), dtype=np.float32)
+        for block, (_, kept) in zip(blocks, seen):
+            at = slice(block.start * WINDOW, block.stop * WINDOW)
+            self._back(dh[:-1][at], kept, dx[at], grad)
+        grad["place"][:] = (np.ones(len(ids), dtype=np.float32) @ dx.reshape(len(ids), -1)).reshape(WINDOW, -1)
+        _add_rows(grad["table"], ids, dx, dh)
+        slope = grad["table"].base
+        slope /= n
+        return loss / n, grad
+
+    def _back(self, dh: np.ndarray, kept: tuple, dx: np.ndarray, grad: dict[str, np.ndarray]) -> None:
+        """Slopes of the queries, keys and values, and what windows add to those of ``mix`` and ``near``."""
+        q, k, v, a, o = kept
+        dx = dx.reshape(*a.shape[:2], 3 * WIDTH)
+        grad["mix"] += o.reshape(-1, WIDTH).T @ dh
+        do = (dh @ self.w["mix"].T).reshape(o.shape)
         da = np.matmul(do, v.transpose(0, 2, 1))
-        dv = np.matmul(a.transpose(0, 2, 1), do)
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        grad["near"] = np.bincount(self.back.ravel(), ds.sum(axis=0).ravel(), WINDOW).astype(np.float32)
+        ds = a * da
+        da -= (ds.reshape(-1, WINDOW) @ np.ones(WINDOW, dtype=np.float32)).reshape(*a.shape[:2], 1)
+        np.multiply(a, da, out=ds)
+        grad["near"] += np.bincount(self.back.ravel(), np.ones(len(ds), dtype=np.float32) @ ds.reshape(len(ds), -1),
+                                    WINDOW).astype(np.float32)
         ds *= np.float32(WIDTH ** -0.5)
-        before = np.zeros_like(dh)
-        before[:, :-1] = dh[:, 1:]
-        dx = np.concatenate([np.matmul(ds, k), np.matmul(ds.transpose(0, 2, 1), q), dv, dh, before], axis=2)
-        grad["place"] = dx[..., :3 * WIDTH].sum(axis=0)
-        order = np.argsort(ids.ravel(), kind="stable")
-        names, first = np.unique(ids.ravel()[order], return_index=True)
-        grad["table"] = np.zeros_like(w["table"])
-        grad["table"][names] = np.add.reduceat(dx.reshape(-1, dx.shape[2])[order], first, axis=0)
-        return loss / n, grad
+        dx[..., :WIDTH] = np.matmul(ds, k)
+        dx[..., WIDTH:2 * WIDTH] = np.matmul(ds.transpose(0, 2, 1), q)
+        dx[..., 2 * WIDTH:] = np.matmul(a.transpose(0, 2, 1), do)
 
     def train(self, ids: np.ndarray, target: np.ndarray, use: np.ndarray, epochs: int = EPOCHS,
               seed: int = 5) -> list[float]:
@@ -191,13 +228,11 @@ class Attention:
 
     def flat(self) -> np.ndarray:
         """All weights in one row."""
-        return np.concatenate([x.ravel() for x in self.w.values()])
+        return self.all.copy()
 
     def load(self, flat: np.ndarray) -> None:
         """Take the weights that ``flat`` gave."""
-        stops = np.cumsum([x.size for x in self.w.values()])[:-1]
-        for x, new in zip(self.w.values(), np.split(flat, stops)):
-            x[:] = new.reshape(x.shape)
+        self.all[:] = flat
 
 
 class Adam:
@@ -205,18 +240,28 @@ class Adam:
 
     def __init__(self, model: Attention):
         self.model, self.at = model, 0
-        self.mean = {k: np.zeros_like(x) for k, x in model.w.items()}
-        self.square = {k: np.zeros_like(x) for k, x in model.w.items()}
+        self.mean, self.square = np.zeros_like(model.all), np.zeros_like(model.all)
 
     def step(self, ids: np.ndarray, target: np.ndarray, use: np.ndarray, rate: float) -> float:
         self.at += 1
-        mean, square = self.mean, self.square
         loss, grad = self.model.step(ids, target, use)
-        for k, x in self.model.w.items():
-            mean[k] += np.float32(0.1) * (grad[k] - mean[k])
-            square[k] += np.float32(0.01) * (grad[k] ** 2 - square[k])
-            x -= (rate * (mean[k] / (1 - 0.9 ** self.at)) / (np.sqrt(square[k] / (1 - 0.99 ** self.at)) + 1e-7)
-                  ).astype(np.float32)
+        slope = grad["table"].base
+        by, root = np.float32(rate / (1 - 0.9 ** self.at)), np.float32((1 - 0.99 ** self.at) ** -0.5)
+        for at in range(0, len(slope), CACHED):
+            g, x, mean, square = (y[at:at + CACHED] for y in (slope, self.model.all, self.mean, self.square))
+            part = g - mean
+            part *= np.float32(0.1)
+            mean += part
+            g *= g
+            g -= square
+            g *= np.float32(0.01)
+            square += g
+            np.sqrt(square, out=part)
+            part *= root
+            part += np.float32(1e-7)
+            np.divide(mean, part, out=part)
+            part *= by
+            x -= part
         return loss
 
 
@@ -238,45 +283,70 @@ class Frozen:
         self.bias = w["near"][model.back] + model.mask
         self.log_p = model.log_p
 
-    def hidden(self, ids: np.ndarray) -> np.ndarray:
-        """(windows, places, hidden), as ``Attention.hidden``."""
-        out = np.empty((*ids.shape, HIDDEN), dtype=np.float32)
+    def hidden(self, ids: np.ndarray, start: int = 0) -> np.ndarray:
+        """(windows, places from ``start`` on, hidden), as ``Attention.hidden``; the places before only give context."""
+        out = np.empty((len(ids), ids.shape[1] - start, HIDDEN), dtype=np.float32)
         for at in range(0, len(ids), BLOCK):
-            self._block(ids[at:at + BLOCK], out[at:at + BLOCK])
+            self._block(ids[at:at + BLOCK], out[at:at + BLOCK], start)
         return out
 
-    def _block(self, ids: np.ndarray, h: np.ndarray) -> None:
+    def _block(self, ids: np.ndarray, h: np.ndarray, start: int) -> None:
         x = self.symbol.take(ids, axis=0, mode="clip")
         x += self.place
-        a = np.matmul(x[..., :WIDTH], x[..., WIDTH:2 * WIDTH].transpose(0, 2, 1))
-        a += self.bias
+        a = np.matmul(x[:, start:, :WIDTH], x[..., WIDTH:2 * WIDTH].transpose(0, 2, 1))
+        a += self.bias[start:]
         np.minimum(a, 60, out=a)
         np.exp(a, out=a)
         o = np.matmul(a, x[..., 2 * WIDTH:]).reshape(-1, WIDTH + 1)
         np.matmul(o[:, :WIDTH] / o[:, WIDTH:], self.mix, out=h.reshape(-1, HIDDEN))
-        h += self.last.take(ids, axis=0, mode="clip")
-        before = np.full(ids.shape, len(self.before) - 1)
-        before[:, 1:] = ids[:, :-1]
+        h += self.last.take(ids[:, start:], axis=0, mode="clip")
+        if start:
+            before = ids[:, start - 1:-1]
+        else:
+            before = np.full(ids.shape, len(self.before) - 1)
+            before[:, 1:] = ids[:, :-1]
         h += self.before.take(before, axis=0, mode="clip")
         np.maximum(h, 0, out=h)
 
 
 def _picked(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
-    np.minimum(logits, 80, out=logits)
+    if len(logits) and logits.max() > 80:
+        np.minimum(logits, 80, out=logits)
     chosen = logits.ravel().take(np.arange(0, logits.size, logits.shape[1]) + target)
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], dtype=np.float32)
     return chosen - np.log(np.maximum(total, 1e-30, out=total), out=total)
 
 
-def _softmax_loss(logits: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
-    logits -= logits.max(axis=1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=1, keepdims=True)
-    at = np.arange(len(target))
-    loss = -float(np.log(np.maximum(p[at, target], 1e-30)).sum())
-    p[at, target] -= 1
-    return loss, p
+def _softmax_off(logits: np.ndarray, target: np.ndarray) -> float:
+    """The summed loss; the logits become what they add to its slope."""
+    if len(logits) and max(logits.max(), -logits.min()) > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    logits *= 1 / (logits @ np.ones(logits.shape[1], dtype=np.float32))[:, None]
+    at = np.arange(0, logits.size, logits.shape[1])
+    at += target
+    flat = logits.ravel()
+    chosen = flat.take(at)
+    flat[at] = chosen - 1
+    return -float(np.log(np.maximum(chosen, 1e-30)).sum())
+
+
+def _add_rows(out: np.ndarray, ids: np.ndarray, dx: np.ndarray, dh: np.ndarray) -> None:
+    """Adds to the row of each symbol read what its place and, by its hidden layer, the next place give."""
+    names = ids.ravel()
+    order = np.argsort(names.astype(np.uint16), kind="stable")
+    behind = np.arange(1, len(names) + 1).reshape(ids.shape)
+    behind[:, -1] = len(names)
+    rows = np.concatenate([dx.take(order, axis=0), dh.take(order, axis=0), dh.take(behind.ravel()[order], axis=0)], axis=1)
+    n = np.bincount(names, minlength=len(out))
+    first = np.cumsum(n) - n
+    for i in np.flatnonzero(n > FEW).tolist():
+        np.add.reduce(rows[first[i]:first[i] + n[i]], axis=0, out=out[i])
+    some = np.flatnonzero((n > 0) & (n <= FEW))
+    for k in range(FEW):  # the k-th row of each name
+        some = some[n[some] > k]
+        out[some] += rows.take(first[some] + k, axis=0)
 
 
 def windows(symbols: np.ndarray, stops: np.ndarray, overlap: int = OVERLAP) -> tuple[np.ndarray, ...]:
@@ -300,6 +370,10 @@ def windows(symbols: np.ndarray, stops: np.ndarray, overlap: int = OVERLAP) -> t
     return read, target, use, owner
 
 
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word, HASH_SEED)
+
+
 class Scorer:
     """What every task needs to score whole texts."""
 
@@ -311,19 +385,12 @@ class Scorer:
         self.tokens, self.divisor, self.n_docs = tokens, tokens + 0.5 * (distinct + 1), n_docs
 
     def read(self, part: pa.Array) -> tuple:
-        """Words of texts: names, hashes, table rows, word numbers, where a text's begin, table counts; ids by word."""
-        tok = encoder(self.path)
-        bounds, index, distinct = tok.split(part)
-        names = values(distinct)
-        if "" in names:  # blanks at an end leave an empty word
-            real = index != names.index("")
-            bounds = np.concatenate([[0], np.cumsum(real)])[bounds]
-            index = index[real]
-        ids, stops = tok.join(np.arange(len(index) + 1), index, distinct)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, HASH_SEED) for w in names), np.uint64, len(names))
+        """Words of texts: hashes, table rows, word numbers, where a text's begin, table counts."""
+        bounds, index, distinct = _words(encoder(self.path), part)
+        hashes = np.fromiter(map(_hash, values(distinct)), np.uint64, len(distinct))
         found = self.table.find(hashes)
         count = np.where(found >= 0, self.table_count[found], 0)
-        return names, hashes, found, index, bounds, count, ids, stops
+        return hashes, found, index, bounds, count
 
     def base(self, count: np.ndarray) -> np.ndarray:
         """log10 of the smoothed share of tokens with a count."""
@@ -332,15 +399,23 @@ class Scorer:
     def ids_log_p(self, ids: np.ndarray, stops: np.ndarray) -> np.ndarray:
         """Natural log probability of every id and of each document's end, in order."""
         symbols = self.symbol_of[ids]
-        read, target, use, _ = windows(symbols, stops)
-        got = [np.zeros(0)]
-        for at in range(0, len(read), CHUNK):
-            part = np.s_[at:at + CHUNK]
-            keep = use[part]
-            log_p = self.model.log_p(self.model.hidden(read[part])[keep], target[part][keep])
-            pair = self.pair_log.take(read[part][keep] * SYMBOLS + target[part][keep])
-            got.append(np.logaddexp(log_p + np.float32(np.log(1 - PAIRED)), pair))
-        out = np.concatenate(got, dtype=np.float64)
+        read, target, use, owner = windows(symbols, stops)
+        used = use.sum(axis=1)
+        place = np.cumsum(used) - used
+        later = np.append(False, owner[1:] == owner[:-1]) if len(owner) else np.zeros(0, dtype=bool)
+        out = np.empty(int(used.sum()))
+        for kind, start in ((~later, 0), (later, OVERLAP)):
+            kind = np.flatnonzero(kind)
+            for at in range(0, len(kind), CHUNK):
+                part = kind[at:at + CHUNK]
+                seen = read[part]
+                keep = np.flatnonzero(use[part, start:])
+                size = used[part]
+                to = np.arange(len(keep)) + np.repeat(place[part] - np.cumsum(size) + size, size)
+                aim = target[part, start:].ravel()[keep]
+                log_p = self.model.log_p(self.model.hidden(seen, start).reshape(-1, HIDDEN).take(keep, axis=0), aim)
+                log_p += np.float32(np.log(1 - PAIRED))
+                out[to] = np.logaddexp(log_p, self.pair_log.take(seen[:, start:].ravel()[keep] * SYMBOLS + aim))
         other = np.flatnonzero(symbols == ESCAPE)
         owner = np.searchsorted(stops, other, side="right") - 1
         out[other + owner] += self.escape_log[ids[other]]  # one end stands after each document before
@@ -417,29 +492,110 @@ def _equal_pairs(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return pair, np.bincount(at, np.concatenate([n for _, n in parts]), len(pair)).astype(np.int64)
 
 
-def _count(path: str):
-    """Counts of words, and of pairs of neighbouring ids, added up within a task."""
+def _words(tok: WordBpe, part: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """``split`` without the empty word that blanks at an end leave."""
+    bounds, index, distinct = tok.split(part)
+    empty = pc.index(distinct, pa.scalar("", distinct.type)).as_py()
+    if empty >= 0:
+        real = index != empty
+        bounds, index = np.append(0, np.cumsum(real))[bounds], index[real]
+    return bounds, index, distinct
+
+
+def _kind(tok: WordBpe) -> type:
+    return np.uint16 if tok.size <= 1 << 16 else np.uint32
+
+
+def _packed(numbers: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """A binary value for each stretch of numbers."""
+    return pa.Array.from_buffers(pa.binary(), len(stops) - 1, [
+        None, pa.py_buffer((stops * numbers.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_packed`` was given."""
+    column = column.cast(pa.large_binary())
+    _, stops, data = column.buffers()
+    stops = np.frombuffer(stops, np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(data or b"", np.uint8)[stops[0]:stops[-1]]
+    return data.view(kind), (stops - stops[0]) // np.dtype(kind).itemsize
+
+
+def _small(sizes: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes as bytes, each as so many of 255 and one below that add up to it; where each stretch of them begins."""
+    ends = np.append(0, np.cumsum(sizes // 255 + 1))
+    out = np.full(ends[-1], 255, dtype=np.uint8)
+    out[ends[1:] - 1] = sizes % 255
+    return out, ends[stops]
+
+
+def _ends(small: np.ndarray) -> np.ndarray:
+    """0 and the running total of the sizes that ``_small`` was given."""
+    return np.append(0, np.cumsum(small, dtype=np.int64)[small < 255])
+
+
+def _slices(column: pa.Array, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of consecutive whole documents and where each document's begin, some ``PART_IDS`` at a time."""
+    ids, stops = _unpacked(column, kind)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(stops, stops[at] + PART_IDS, side="right")) - 1)
+        yield ids[stops[at]:stops[to]], stops[at:to + 1] - stops[at]
+        at = to
+
+
+ENCODED = "doc_id long, text string, ids binary, sizes binary, word string, pair long, n long"
+_FIELDS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.binary()), ("sizes", pa.binary()),
+                     ("word", pa.string()), ("pair", pa.int64()), ("n", pa.int64())])
+
+
+def _encode(path: str):
+    """Of rows ``doc_id, text, train``: each with its ids and how many every word has (no row for an empty word), and
+    the counts of words, and of pairs of neighbouring ids, of the rows to train on, added up within a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = encoder(path)
         words, pairs = _Sums(_equal_words), _Sums(_equal_pairs)
 
-        def given(of_words: list[tuple], of_pairs: list[tuple]) -> Iterator[pa.RecordBatch]:
+        def given(size: int, **columns: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(size, f.type)
+                                               for f in _FIELDS], schema=_FIELDS)
+
+        def counts(of_words: list[tuple], of_pairs: list[tuple]) -> Iterator[pa.RecordBatch]:
             for keys, n in of_words:
-                yield pa.RecordBatch.from_arrays([keys, pa.nulls(len(n), pa.int64()), pa.array(n)], ["word", "pair", "n"])
+                yield given(len(n), word=keys, n=pa.array(n))
             for keys, n in of_pairs:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(n), pa.string()), pa.array(keys), pa.array(n)], ["word", "pair", "n"])
+                yield given(len(n), pair=pa.array(keys), n=pa.array(n))
 
         for batch in batches:
-            for part in _parts(batch.column(0)):
-                bounds, index, distinct = tok.split(part)
-                n = np.bincount(index, minlength=len(distinct)).astype(np.int64)
-                pair, times = np.unique(neighbours(*tok.join(bounds, index, distinct), tok.size), return_counts=True)
-                yield from given(words.add(distinct, n), pairs.add(pair, times.astype(np.int64)))
-        yield from given(words.rest(), pairs.rest())
+            at = 0
+            for part in _parts(batch.column(1)):
+                train = batch.column(2).slice(at, len(part)).to_numpy(zero_copy_only=False)
+                bounds, index, distinct = _words(tok, part)
+                ids, stops = tok.join(np.arange(len(index) + 1), index, distinct)
+                ends = stops[bounds]
+                yield given(len(part), doc_id=batch.column(0).slice(at, len(part)), text=part,
+                            ids=_packed(ids.astype(_kind(tok)), ends), sizes=_packed(*_small(np.diff(stops), bounds)))
+                at += len(part)
+                n = np.bincount(index[np.repeat(train, np.diff(bounds))], minlength=len(distinct)).astype(np.int64)
+                some = np.flatnonzero(n)
+                size = np.diff(ends)
+                pair, times = np.unique(neighbours(ids[np.repeat(train, size)], np.append(0, np.cumsum(size[train])),
+                                                   tok.size), return_counts=True)
+                yield from counts(words.add(distinct.take(pa.array(some)), n[some]), pairs.add(pair, times.astype(np.int64)))
+        yield from counts(words.rest(), pairs.rest())
     return run
 
 
+def encoded(docs: DataFrame, path: str, train: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents ``(doc_id, text)`` cut into ids once, ``(doc_id, text, ids, sizes)``, and the counts ``(word, pair, n)`` of
+    those to train on."""
+    flag = F.lit(True) if train is None else train
+    table = checkpoint(docs.select("doc_id", "text", flag.alias("train")).mapInArrow(_encode(path), ENCODED), cache=False,
+                       codec="zstd")
+    counts = checkpoint(table.where("n is not null").groupBy("word", "pair").agg(F.sum("n").alias("n")), cache=False)
+    return table.where("ids is not null").select("doc_id", "text", "ids", "sizes"), counts
+
+
 def _symbol_pairs(symbol_of: np.ndarray):
     """Counts of pairs of symbols from counts of pairs of ids."""
     size = len(symbol_of)
@@ -479,10 +635,9 @@ def _ids_of_words(path: str):
 
 def _sample_symbols(path: str, symbol_of: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = encoder(path)
+        kind = _kind(encoder(path))
         for batch in batches:
-            for part in _parts(batch.column(0)):
-                ids, stops = tok.join(*tok.split(part))
+            for ids, stops in _slices(batch.column(0), kind):
                 read, target, use, _ = windows(symbol_of[ids], stops)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x.astype(np.int16).tolist(), pa.list_(pa.int16())) for x in (read, target, use)],
@@ -491,14 +646,13 @@ def _sample_symbols(path: str, symbol_of: np.ndarray):
 
 
 def _train_part(path: str, symbol_of: np.ndarray, frequency: np.ndarray, start: np.ndarray):
-    """Rows ``block, windows, weights`` of the copy that has learned from every window of a task's texts."""
+    """Rows ``block, windows, weights`` of the copy that has learned from every window of a task's documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, model, n = encoder(path), Attention(frequency), 0
+        kind, model, n = _kind(encoder(path)), Attention(frequency), 0
         model.load(start)
         adam, draw = Adam(model), np.random.default_rng(7)
         for batch in batches:
-            for part in _parts(batch.column(0)):
-                ids, stops = tok.join(*tok.split(part))
+            for ids, stops in _slices(batch.column(0), kind):
                 read, target, use, _ = windows(symbol_of[ids], stops, 0)
                 n += len(read)
                 for some in np.array_split(draw.permutation(len(read)), -(-len(read) // WHOLE_BATCH)):
@@ -522,9 +676,11 @@ def _mean_weights(copies: pa.Table) -> pa.Table:
 
 
 def train_on_all(docs: DataFrame, path: str, symbol_of: np.ndarray, frequency: np.ndarray, model: Attention) -> int:
-    """One pass over every window of all documents ``(text)``, split over tasks; the windows read."""
+    """One pass over every window of all documents, ``(doc_id, text)`` or as ``encoded`` gives them, split over tasks; the
+    windows read."""
     kind = "block long, windows long, weights array<float>"
-    copies = checkpoint(docs.select("text").mapInArrow(_train_part(path, symbol_of, frequency, model.flat()), kind),
+    docs = docs if "ids" in docs.columns else encoded(docs, path)[0]
+    copies = checkpoint(docs.select("ids").mapInArrow(_train_part(path, symbol_of, frequency, model.flat()), kind),
                         cache=False)
     got = copies.groupBy("block").applyInArrow(_mean_weights, kind).orderBy("block").collect()  # the weights once
     if not got:
@@ -536,12 +692,14 @@ def train_on_all(docs: DataFrame, path: str, symbol_of: np.ndarray, frequency: n
 def _score_rows(scorer: Scorer):
     """Rows ``row, doc_id, n_tokens, n_known, base, score`` and the words that the table lacks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
+        row, kind = TaskContext.get().partitionId() << 40, _kind(encoder(scorer.path))
         for batch in batches:
             at = 0
             for part in _parts(batch.column(1)):
-                names, hashes, found, index, bounds, count, ids, stops = scorer.read(part)
                 n = len(part)
+                hashes, found, index, bounds, count = scorer.read(part)
+                ids, _ = _unpacked(batch.column(2).slice(at, n), kind)
+                stops = _ends(_unpacked(batch.column(3).slice(at, n), np.uint8)[0])
                 owner = np.repeat(np.arange(n), np.diff(bounds))
                 known = found[index] >= 0
                 score, spelled = scorer.words_log_p(ids, stops, bounds, count[index], known)
@@ -581,13 +739,12 @@ def _table_count(words: DataFrame, most: int) -> int:
     return least
 
 
-def fit(docs: DataFrame, path: str, table_words: int = TABLE_WORDS, train_docs: int = TRAIN_DOCS
-        ) -> tuple[Scorer, DataFrame, int]:
-    """From training documents ``(doc_id, text)``: the scorer, the word counts ``(word, n)`` and the lowest count
-    in the scorer's table."""
-    counted = docs.select("text").mapInArrow(_count(path), "word string, pair long, n long")
-    counted = checkpoint(counted.where("pair is not null or word <> ''").groupBy("word", "pair").agg(
-        F.sum("n").alias("n")), cache=False)
+def fit(docs: DataFrame, path: str, table_words: int = TABLE_WORDS, train_docs: int = TRAIN_DOCS,
+        counted: DataFrame | None = None) -> tuple[Scorer, DataFrame, int]:
+    """From training documents ``(doc_id, text)``, or as ``encoded`` gives them with its counts: the scorer, the word counts
+    ``(word, n)`` and the lowest count in the scorer's table."""
+    if counted is None:
+        docs, counted = encoded(docs, path)
     words = counted.where("pair is null").select("word", "n")
     n_docs = docs.count()
     size = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -618,7 +775,7 @@ def fit(docs: DataFrame, path: str, table_words: int = TABLE_WORDS, train_docs:
     model = Attention(frequency)
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("attention")), F.lit(1 << 20))
     limit = int(min(1.0, train_docs / max(1, n_docs)) * (1 << 20))
-    rows = checkpoint(docs.where(draw < limit).select("text").mapInArrow(
+    rows = checkpoint(docs.where(draw < limit).select("ids").mapInArrow(
         _sample_symbols(path, symbol_of), "read array<short>, target array<short>, use array<short>"), cache=False)
     n_windows = rows.count()
     if n_windows:
@@ -639,7 +796,9 @@ def scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     is held out."""
     path = tokenizer or default_path()
     docs = documents(df, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    scorer, words, least = fit(docs.where(fold(F.col("doc_id"), 5) != 1), path, table_words, train_docs)
+    train = fold(F.col("doc_id"), 5) != 1
+    docs, counted = encoded(docs, path, train)
+    scorer, words, least = fit(docs.where(train), path, table_words, train_docs, counted)
     rows = checkpoint(docs.mapInArrow(_score_rows(scorer), ROWS), cache=False)
     rare = rows.select("row", F.explode(F.arrays_zip("rare", "spelled")).alias("w")).select(
         "row", F.col("w.rare").alias("h"), F.col("w.spelled").alias("spelled"))

@@ -212,6 +212,66 @@ def test_fit_passes_over_all_documents_unless_the_first_ones_were_all(spark, mon
     assert seen == [40]
 
 
+def test_documents_are_cut_into_ids_once(spark):
+    path = wordbpe.default_path()
+    tok = wordbpe.encoder(path)
+    texts = ["Red stones are heavy", "", "  blanks at both ends ", "a " + "x1" * 900 + " b", "red red"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    docs, counts = attention_lm.encoded(rows, path, attention_lm.F.col("doc_id") != 4)
+    got = {r["doc_id"]: r for r in docs.collect()}
+    assert {i: r["text"] for i, r in got.items()} == dict(enumerate(texts))
+    words, pairs = Counter(), Counter()
+    for i, text in enumerate(texts):
+        ids = np.frombuffer(got[i]["ids"], attention_lm._kind(tok)).tolist()
+        assert ids == tok.tok.encode(text, add_special_tokens=False).ids
+        sizes = np.diff(attention_lm._ends(np.frombuffer(got[i]["sizes"], np.uint8))).tolist()
+        assert sizes == [len(tok.tok.encode(w, add_special_tokens=False).ids) for w in text.lower().split()]
+        if i != 4:  # counts are those of the documents to train on
+            words.update(text.lower().split())
+            pairs.update(a * (tok.size + 2) + b for a, b in zip([tok.size, *ids], [*ids, tok.size + 1]))
+    found = counts.collect()
+    assert {r["word"]: r["n"] for r in found if r["word"] is not None} == words
+    assert {r["pair"]: r["n"] for r in found if r["pair"] is not None} == pairs
+    # training reads the ids alone
+    model, symbol_of = attention_lm.Attention(np.ones(attention_lm.SYMBOLS)), np.full(tok.size, 2)
+    stops = np.cumsum([0] + [len(got[i]["ids"]) // 2 for i in range(5)])
+    total = len(attention_lm.windows(np.full(stops[-1], 2), stops, 0)[0])
+    assert attention_lm.train_on_all(docs.select("ids"), path, symbol_of, np.ones(attention_lm.SYMBOLS), model) == total
+
+
+def test_sizes_of_any_length_fit_in_bytes():
+    sizes, stops = np.array([0, 1, 254, 255, 256, 70_000, 3]), np.array([0, 0, 3, 7])
+    small, at = attention_lm._small(sizes, stops)
+    assert np.diff(attention_lm._ends(small)).tolist() == sizes.tolist()
+    assert np.diff(attention_lm._ends(small[at[1]:at[2]])).tolist() == [0, 1, 254]
+
+
+def test_slopes_are_those_of_the_loss():
+    model, draw = attention_lm.Attention(np.ones(attention_lm.SYMBOLS)), np.random.default_rng(1)
+    stops = np.array([0, 0, 5, 400])
+    symbols = draw.integers(2, 90, 400)
+    model.all += draw.normal(0, 0.2, len(model.all)).astype(np.float32)
+    batch = attention_lm.windows(symbols, stops, 0)[:3]
+    _, grad = model.step(*batch)
+    start = model.flat()
+    for name, slope in grad.items():
+        size = float((slope.astype(np.float64) ** 2).sum())
+        by, loss = 0.02 / size, []
+        for sign in (1, -1):
+            model.load(start)
+            model.w[name][:] += np.float32(sign * by / 2) * slope
+            loss.append(model.step(*batch)[0])
+        assert loss[0] - loss[1] == pytest.approx(0.02, rel=0.05), name
+
+
+def test_places_that_only_give_context_are_not_needed():
+    model, draw = attention_lm.Attention(np.ones(attention_lm.SYMBOLS)), np.random.default_rng(0)
+    ids = draw.integers(0, attention_lm.SYMBOLS, (300, attention_lm.WINDOW))
+    h, frozen = model.hidden(ids), model.frozen()
+    assert np.allclose(frozen.hidden(ids), h, atol=1e-5)
+    assert np.allclose(frozen.hidden(ids, attention_lm.OVERLAP), h[:, attention_lm.OVERLAP:], atol=1e-5)
+
+
 def test_attention_is_causal_and_normalised():
     model = attention_lm.Attention(np.ones(attention_lm.SYMBOLS))
     draw = np.random.default_rng(0)
