@@ -80,14 +80,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "(HDFS/S3/ABFS) to cut lineage on a cluster")
 
 
-def checkpoint(df: DataFrame, cache: bool = True, codec: str = "snappy") -> DataFrame:
+def checkpoint(df: DataFrame, cache: bool = True, codec: str | None = None) -> DataFrame:
     """Reliable checkpoint into the shared folder (never ``localCheckpoint``).
 
     ``cache=True`` keeps the frame while it is written, because an eager checkpoint
     runs the plan twice otherwise (once for the action, once for the files).
     ``cache=False`` writes the files within the first action that reads the frame and
     is for wide or costly frames: a plain Parquet table below the checkpoint folder,
-    written once and read back; ``codec`` is the one of its files.
+    written once and read back; ``codec`` is the one of its files, else the session's.
     """
     base = ensure_checkpoint_dir(df.sparkSession)
     if not cache:
